@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # The blanks that separate words, letters/digits/signs that form tokens, and the signs
 # cut from both ends of a word before it is looked up in a lexicon.
-BLANKS = "[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+BLANKS = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
 TOKEN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]+"
 TOKEN_OR_BLANKS = r"\s+|" + TOKEN
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -80,28 +80,21 @@ def word_counts(listed: Column) -> Column:
     """
 
     def runs(ordered: Column) -> Column:
-        numbered = F.transform(
-            ordered,
-            lambda x, i: F.struct(x["word"].alias("word"), x["place"].alias("place"), i.alias("i")),
-        )
-        firsts = F.filter(
-            numbered, lambda x, i: (i == 0) | (F.get(ordered, i - 1)["word"] != x["word"])
-        )
+        differs = lambda i: F.get(ordered, i - 1)["word"] != F.get(ordered, i)["word"]
+        heads = F.filter(F.transform(ordered, lambda _, i: i), lambda i: (i == 0) | differs(i))
 
         def counts(heads: Column) -> Column:
-            following = lambda i: F.coalesce(F.get(heads, i + 1)["i"], F.size(ordered))
-            return F.sort_array(
-                F.transform(
-                    heads,
-                    lambda x, i: F.struct(
-                        x["place"].alias("place"),
-                        x["word"].alias("word"),
-                        (following(i) - x["i"]).alias("n"),
-                    ),
-                )
+            end = lambda k: F.coalesce(F.get(heads, k + 1), F.size(ordered))
+            return F.transform(
+                heads,
+                lambda i, k: F.struct(
+                    F.get(ordered, i)["place"].alias("place"),
+                    F.get(ordered, i)["word"].alias("word"),
+                    (end(k) - i).alias("n"),
+                ),
             )
 
-        return bind(firsts, counts)
+        return F.sort_array(bind(heads, counts))
 
     placed = F.transform(listed, lambda word, i: F.struct(word.alias("word"), i.alias("place")))
     counted = bind(F.sort_array(placed), runs)
@@ -126,7 +119,13 @@ def span_text(tokens: Column, start: Column, length: Column) -> Column:
     return F.array_join(F.slice(tokens, start + 1, length), " ")
 
 
-def lexicon_term(word: Column) -> Column:
-    """Lower-cased word without signs at its ends; signs stay where two or fewer characters are left."""
-    bare = F.btrim(word, F.lit(PUNCTUATION))
-    return F.lower(F.when(F.length(bare) <= 2, word).otherwise(bare))
+def lexicon_terms(text: Column) -> Column:
+    """Lower-cased words without signs at their ends; where two or fewer characters would be left, the
+    signs stay."""
+    cut = F.transform(
+        words(F.lower(text)),
+        lambda word: F.struct(word.alias("word"), F.btrim(word, F.lit(PUNCTUATION)).alias("bare")),
+    )
+    return F.transform(
+        cut, lambda x: F.when(F.length(x["bare"]) <= 2, x["word"]).otherwise(x["bare"])
+    )

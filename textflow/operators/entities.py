@@ -212,9 +212,11 @@ class EntityLinks(Enricher):
 
     def annotations(self, requests: DataFrame) -> DataFrame:
         """One row per annotation, with the id of the passage."""
-        return self.linked(requests).select(
-            F.col("id").alias("passage_id"), F.inline("annotations")
+        # The outer form: for the inner one Spark would compute the links a second time, in a filter.
+        linked = self.linked(requests).select(
+            F.col("id").alias("passage_id"), F.inline_outer("annotations")
         )
+        return linked.filter(F.col("start").isNotNull())
 
     def enrich(self, requests: DataFrame) -> DataFrame:
         return self.linked(requests).withColumn("prediction", F.to_json("annotations")).drop(

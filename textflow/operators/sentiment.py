@@ -33,7 +33,7 @@ class Sentiment(Enricher):
         return self.weights.inline
 
     def enrich(self, requests: DataFrame) -> DataFrame:
-        terms = F.transform(X.words(F.col("text")), X.lexicon_term)
+        terms = X.lexicon_terms(F.col("text"))
         if self.row_local:
             scored = requests.withColumn("__hits", F.transform(terms, self.weights.find))
             weight = lambda hit: hit[0]["weight"]

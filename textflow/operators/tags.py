@@ -43,8 +43,12 @@ class TokenTags(Enricher):
 
     def tokens(self, requests: DataFrame) -> DataFrame:
         """One row per token: `id, position, key, text, pos, tag`, position from 1."""
-        exploded = self.tagged(requests).select("id", F.posexplode("tags").alias("position", "token"))
-        return exploded.select("id", (F.col("position") + 1).alias("position"), "token.*")
+        # The outer form: for the inner one Spark would compute the tags a second time, in a filter.
+        exploded = self.tagged(requests).select(
+            "id", F.posexplode_outer("tags").alias("position", "token")
+        )
+        found = exploded.filter(F.col("token").isNotNull())
+        return found.select("id", (F.col("position") + 1).alias("position"), "token.*")
 
     def enrich(self, requests: DataFrame) -> DataFrame:
         entry = lambda t: F.struct(t["key"], F.struct(t["text"], t["pos"], t["tag"]))

@@ -72,7 +72,8 @@ def _word_counts(stop: bool) -> str:
 def _scores(name: str, lexicon: str, source: str = "docs") -> str:
     """`<name>(id, prediction)` by a lexicon."""
     signs = _quoted(PUNCTUATION)
-    term = f"lower(CASE WHEN length(trim(word, {signs})) <= 2 THEN word ELSE trim(word, {signs}) END)"
+    bare = f"trim(lower(word), {signs})"
+    term = f"CASE WHEN length({bare}) <= 2 THEN lower(word) ELSE {bare} END"
     return (
         f"{name} AS (SELECT d.id, CASE WHEN coalesce(score, 0) > 0 THEN 'positive' ELSE 'negative' END "
         f"AS prediction FROM {source} d LEFT JOIN (SELECT w.id, "

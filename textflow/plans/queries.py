@@ -25,6 +25,7 @@ from textflow.session import work_folder
 from textflow.sources.channels import message_folder
 from textflow.sources.models import load_model, save_model
 from textflow.sources.requests import api_requests, chat_requests
+from textflow.sources.tables import read_table, splits, spread
 from textflow.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,12 +42,13 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_table(spark, f"{folder}/{name}.parquet")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as requests `id, text`."""
-    return table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    rows = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    return spread(rows, "id")
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,8 +59,8 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
 
 def calls(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as API calls `type, text` with their order of arrival."""
-    rows = table(spark, folder, "documents")
-    return api_requests(rows.select(F.col("lang").alias("type"), "text", "doc_id"), "doc_id")
+    rows = table(spark, folder, "documents").select(F.col("lang").alias("type"), "text", "doc_id")
+    return api_requests(spread(rows, "doc_id"), "doc_id")
 
 
 def stored_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -491,8 +493,9 @@ def accuracy(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The documents as a file stream. A pattern serves for one file and for a folder of files."""
-    schema = table(spark, folder, "documents").schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/documents.parque[t]")
+    files = table(spark, folder, "documents")
+    rows = spark.readStream.schema(files.schema).parquet(f"{folder}/documents.parque[t]")
+    return spread(rows, "doc_id", given=splits(files))
 
 
 def message_stream(spark: SparkSession, folder: str) -> DataFrame:
