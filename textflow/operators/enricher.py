@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,6 +59,7 @@ class RowEnricher(Enricher):
     """A prediction by a Python function of `(id, text)`.
 
     Rows reach Python in Arrow batches; `open` runs once per task, for instance to load a model.
+    The code of the class travels with the job, so executors need not have its module installed.
     """
 
     row_local = True
@@ -74,6 +77,9 @@ class RowEnricher(Enricher):
                 found = [self.predict(i, t, model) for i, t in zip(batch["id"], batch["text"])]
                 yield batch.assign(prediction=pd.Series(found, index=batch.index, dtype="object"))
 
+        for kind in type(self).__mro__:
+            if kind.__module__.partition(".")[0] not in {*sys.stdlib_module_names, "__main__"}:
+                cloudpickle.register_pickle_by_value(sys.modules[kind.__module__])
         added = T.StructField("prediction", T.StringType())
         schema = T.StructType(requests.schema.fields + [added])
         return requests.mapInPandas(run, schema)
