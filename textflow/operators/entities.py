@@ -99,25 +99,25 @@ class PhraseTable:
 def outermost(hits: Column, longest: int) -> Column:
     """The hits that lie in no strictly longer hit; `hits` is sorted by place and length.
 
-    A longer hit around another one begins fewer than `longest` tokens before it, and at most
-    `longest` hits begin at one token: looking at that many neighbours in the list decides.
+    Of the hits that begin at one token the last is the longest and covers the others. After that, a
+    hit that covers another begins up to `longest - 1` tokens before it, so it is among as many
+    predecessors in the list.
     """
-    before, after = longest * longest, longest
-    covers = lambda a, b: (
-        (a["n"] > b["n"]) & (a["i"] <= b["i"]) & (a["i"] + a["n"] >= b["i"] + b["n"])
-    )
 
-    def neighbours(k: Column) -> Column:
-        start = F.greatest(k + 1 - before, F.lit(1))
-        return F.slice(hits, start, k + 1 + after - start + 1)
+    def alone(firsts: Column) -> Column:
+        def covered(hit: Column, k: Column) -> Column:
+            start = F.greatest(k + 2 - longest, F.lit(1))
+            end = hit["i"] + hit["n"]
+            return F.exists(
+                F.slice(firsts, start, k + 1 - start), lambda before: before["i"] + before["n"] >= end
+            )
+
+        return F.filter(firsts, lambda hit, k: ~covered(hit, k))
 
-    numbered = F.transform(
-        hits,
-        lambda hit, k: F.struct(
-            hit.alias("hit"), F.exists(neighbours(k), lambda other: covers(other, hit)).alias("covered")
-        ),
+    last_of_place = F.filter(
+        hits, lambda hit, k: F.coalesce(F.get(hits, k + 1)["i"] != hit["i"], F.lit(True))
     )
-    return F.transform(F.filter(numbered, lambda x: ~x["covered"]), lambda x: x["hit"])
+    return X.bind(last_of_place, alone)
 
 
 class EntityNames(Enricher):

@@ -37,6 +37,15 @@ def already_stored(requests: DataFrame, stored: DataFrame) -> DataFrame:
     return requests.join(stored.select("id"), "id", "left_semi")
 
 
+def ids_among(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The stored ids that occur in a batch.
+
+    The batch is the right side of the semi join: a small one is broadcast by its measured size, so
+    the stored ids are read without a shuffle.
+    """
+    return stored.select("id").join(batch.select("id").distinct(), "id", "left_semi")
+
+
 def accepted(requests: DataFrame, stored: DataFrame, order: str) -> DataFrame:
     """What an intake adds to the store: first requests of new ids."""
     return only_new(first_of_each_id(requests, order), stored)

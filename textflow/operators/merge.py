@@ -31,21 +31,16 @@ def of_unknown_documents(predictions: DataFrame, documents: DataFrame) -> DataFr
     return unknown.withColumn("reason", F.lit(UNKNOWN_ID))
 
 
-def ids_among(documents: DataFrame, predictions: DataFrame) -> DataFrame:
-    """The stored ids that occur in a batch of predictions.
+def update_body(prediction_type: Column, prediction: Column, under: str | None = "predictions") -> Column:
+    """The partial document `{"predictions": {type: prediction}}`: JSON stays JSON, text is quoted.
 
-    The batch is the right side of the semi join: a small one is broadcast by its measured size, so
-    the stored ids are read without a shuffle.
+    Without `under` the type is a field of the document itself.
     """
-    return documents.select("id").join(predictions.select("id").distinct(), "id", "left_semi")
-
-
-def update_body(prediction_type: Column, prediction: Column) -> Column:
-    """The partial document `{"predictions": {type: prediction}}`: JSON stays JSON, text is quoted."""
     value = F.when(is_json(prediction), prediction).otherwise(json_quoted(prediction))
-    return F.concat(
-        F.lit('{"predictions":{'), json_quoted(prediction_type), F.lit(":"), value, F.lit("}}")
-    )
+    field = F.concat(F.lit("{"), json_quoted(prediction_type), F.lit(":"), value, F.lit("}"))
+    if under is None:
+        return field
+    return F.concat(F.lit("{"), json_quoted(F.lit(under)), F.lit(":"), field, F.lit("}"))
 
 
 def folded(latest_predictions: DataFrame) -> DataFrame:

@@ -53,6 +53,15 @@ class DocumentStore:
         """Committed before this batch; a repeated batch does not see itself."""
         return ~((F.col("run") == self.run) & (F.col("batch_id") >= batch_id))
 
+    @staticmethod
+    def _among(documents: DataFrame, batch: DataFrame) -> DataFrame:
+        """The stored ids that occur in a persisted batch.
+
+        Counting the batch fills its cache, so that Spark knows its size when it plans the join.
+        """
+        batch.count()
+        return intake.ids_among(documents, batch)
+
     def documents(self) -> DataFrame:
         return self._read("documents", STORED_DOCUMENT)
 
@@ -64,9 +73,11 @@ class DocumentStore:
 
     def add_documents(self, requests: DataFrame, order: str, batch_id: int) -> DataFrame:
         """Stores the first request of each new id and returns what was stored."""
+        firsts = intake.first_of_each_id(requests, order).persist()
         stored = self.documents().filter(self._before(batch_id))
-        new = intake.accepted(requests, stored, order)
+        new = intake.only_new(firsts, self._among(stored, firsts))
         self._commit(new.select("id", "text", "type"), "documents", batch_id)
+        firsts.unpersist()
         here = (F.col("run") == self.run) & (F.col("batch_id") == batch_id)
         return self.documents().filter(here)
 
@@ -74,7 +85,7 @@ class DocumentStore:
         """Commits `id, type, prediction, ts, seq`; updates of unknown ids go to `rejected`."""
         order = F.struct("ts", "seq")
         last = merge.latest(predictions, order, "ts", "seq").persist()
-        known = merge.ids_among(self.documents(), last)
+        known = self._among(self.documents(), last)
         accepted = merge.of_known_documents(last, known)
         columns = ("id", "type", "prediction", "ts", "seq")
         self._commit(accepted.select(*columns), "predictions", batch_id)

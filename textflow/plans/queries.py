@@ -51,6 +51,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(rows, "id")
 
 
+def document_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("id"))
+
+
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
     """The documents that `labels` covers, as requests `id, text`."""
     covered = table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("id"))
@@ -376,7 +380,7 @@ def updates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def merged_predictions(spark: SparkSession, folder: str) -> DataFrame:
     last = merge.latest(updates(spark, folder), F.col("seq"))
-    known = merge.of_known_documents(last, documents(spark, folder))
+    known = merge.of_known_documents(last, document_ids(spark, folder))
     return merge.folded(known).select("id", F.to_json("predictions").alias("predictions"))
 
 
@@ -399,7 +403,7 @@ def merged_increment(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def rejected_updates(spark: SparkSession, folder: str) -> DataFrame:
     last = merge.latest(updates(spark, folder), F.col("seq"))
-    return merge.of_unknown_documents(last, documents(spark, folder))
+    return merge.of_unknown_documents(last, document_ids(spark, folder))
 
 
 @query
