@@ -113,3 +113,23 @@ def test_typed_predictions(spark):
 def test_agreement_counts_documents_with_both(spark):
     wide = spark.createDataFrame([("1", "x", "x"), ("2", "x", "y"), ("3", None, "y")], "id string, A string, B string")
     assert rows(compare.agreement(wide, ["A", "B"]), "type_a", "type_b", "documents", "agreeing") == [("A", "B", 2, 1)]
+
+
+def test_hot_ids_are_reduced_before_the_shuffle(spark):
+    """A third of all requests and updates belongs to one id; each task sends one row of it."""
+    requests = calls(spark, *[("t", "hot" if i % 3 == 0 else f"x{i}", i) for i in range(300)]).repartition(4)
+    firsts = intake.first_of_each_id(requests, "at")
+    assert firsts.count() == 201
+    assert rows(firsts.filter("text = 'hot'"), "type", "text") == [("t", "hot")]
+    given = updates(spark, *[("hot" if i % 3 == 0 else str(i), "A", str(i), None, i) for i in range(300)])
+    last = merge.latest(given, F.col("seq"))
+    assert rows(last.filter("id = 'hot'"), "prediction", "updates") == [("297", 100)]
+    for frame in (firsts, last):
+        below = frame._jdf.queryExecution().executedPlan().toString().split("ENSURE_REQUIREMENTS")[1]
+        assert "partial_" in below
+
+
+def test_body_without_outer_field(spark):
+    given = spark.createDataFrame([("A", "x")], "type string, p string")
+    body = given.select(merge.update_body(F.col("type"), F.col("p"), under=None).alias("b")).first().b
+    assert json.loads(body) == {"A": "x"}

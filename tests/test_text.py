@@ -65,6 +65,13 @@ def test_lexicon_terms(spark):
     assert one(spark, "(Good), :) it's A. 'TIS", X.lexicon_terms) == ["good", ":)", "it's", "a.", "tis"]
 
 
+@pytest.mark.parametrize("count", [0, 1, 2, 3, 7, 8, 9, 1000])
+def test_running_sums(spark, count):
+    numbers = [(i * 7919) % 13 for i in range(count)]
+    row = spark.createDataFrame([(numbers,)], "n array<int>").select(X.running_sums(F.col("n")).alias("s")).first()
+    assert row.s == [sum(numbers[: i + 1]) for i in range(count)]
+
+
 def test_pieces_join_to_the_text(spark):
     text = " Ein Haus,\n\tn°5… 12ab\x0b ½ "
     assert "".join(one(spark, text, X.class_pieces)) == text

@@ -21,6 +21,24 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def running_sums(values: Column) -> Column:
+    """For each number of a list the sum up to it.
+
+    Each pass adds the number that lies twice as far back as in the pass before, so a list takes
+    about log2 of its length in passes.
+    """
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values))).cast("int"))
+    back = lambda p: F.pow(F.lit(2), p).cast("int")
+    summed = F.aggregate(
+        passes,
+        values,
+        lambda sums, p: F.transform(
+            sums, lambda value, i: value + F.coalesce(F.get(sums, i - back(p)), F.lit(0))
+        ),
+    )
+    return F.when(F.size(values) > 0, summed).otherwise(values)
+
+
 def tokenize(rows: DataFrame, text: str = "text", output: str = "tokens") -> DataFrame:
     """Lower-cased text split at each single blank; empty tokens stay, except at the end."""
     given, plain = f"__{output}_given", f"__{output}_plain"

@@ -247,69 +247,59 @@ def _is_blank(piece: Column) -> Column:
     return F.ascii(piece).isin(9, 10, 11, 12, 13, 32)
 
 
-def _spans(pieces: Column, mentions: Column) -> Column:
-    """For each mention the offset and piece of its begin and end: `begins` and `ends`.
+def _joined(pieces: Column, first: Column, count: Column) -> Column:
+    return F.array_join(F.slice(pieces, first + 1, count), "")
 
-    One pass over the pieces adds up their lengths and notes a place when it reaches the first or the
-    last token of the next mention. No mention lies within another, so begins and ends both ascend.
-    """
-    place = "array<struct<offset:int,piece:int>>"
-    start = F.struct(
-        F.lit(0).alias("offset"),
-        F.lit(0).alias("piece"),
-        F.lit(0).alias("token"),
-        F.array().cast(place).alias("begins"),
-        F.array().cast(place).alias("ends"),
-    )
 
-    def step(state: Column, piece: Column) -> Column:
-        token = ~_is_blank(piece)
-        after = state["offset"] + F.length(piece)
-        opening = F.get(mentions, F.size(state["begins"]))
-        closing = F.get(mentions, F.size(state["ends"]))
-        opens = token & F.coalesce(opening["i"] == state["token"], F.lit(False))
-        closes = token & F.coalesce(closing["i"] + closing["n"] - 1 == state["token"], F.lit(False))
+def _links(pieces: Column, mentions: Column) -> Column:
+    """One annotation struct for each entity of each mention.
 
-        def noted(name: str, when: Column, offset: Column) -> Column:
-            here = F.struct(offset.alias("offset"), state["piece"].alias("piece"))
-            return F.when(when, F.array_append(state[name], here)).otherwise(state[name]).alias(name)
+    The offset of a mention is that of the mention before plus the characters between their begins,
+    so each piece of the text is looked at once.
+    """
 
-        return F.struct(
-            after.alias("offset"),
-            (state["piece"] + 1).alias("piece"),
-            F.when(token, state["token"] + 1).otherwise(state["token"]).alias("token"),
-            noted("begins", opens, state["offset"]),
-            noted("ends", closes, after),
+    def of_places(places: Column) -> Column:
+        spots = F.transform(
+            mentions,
+            lambda m: F.struct(
+                F.get(places, m["i"]).alias("first"),
+                F.get(places, m["i"] + m["n"] - 1).alias("last"),
+                m["found"].alias("found"),
+            ),
         )
+        return X.bind(spots, of_spots)
 
-    return F.aggregate(pieces, start, step)
-
-
-def _links(pieces: Column, mentions: Column) -> Column:
-    """One annotation struct for each entity of each mention."""
-
-    def of_mention(mention: Column, begin: Column, end: Column) -> Column:
-        surface = F.array_join(
-            F.slice(pieces, begin["piece"] + 1, end["piece"] - begin["piece"] + 1), ""
+    def of_spots(spots: Column) -> Column:
+        before = lambda k: F.coalesce(F.get(spots, k - 1)["first"], F.lit(0))
+        gaps = F.transform(
+            spots, lambda s, k: F.length(_joined(pieces, before(k), s["first"] - before(k)))
+        )
+        return X.bind(
+            X.bind(gaps, X.running_sums),
+            lambda starts: F.flatten(
+                F.transform(
+                    spots,
+                    lambda s, k: X.bind(
+                        _joined(pieces, s["first"], s["last"] - s["first"] + 1),
+                        lambda surface: annotations(s["found"], F.get(starts, k), surface),
+                    ),
+                )
+            ),
         )
+
+    def annotations(found: Column, start: Column, surface: Column) -> Column:
         return F.transform(
-            mention["found"],
+            found,
             lambda entity: F.struct(
-                begin["offset"].alias("start"),
-                end["offset"].alias("end"),
+                start.alias("start"),
+                (start + F.length(surface)).alias("end"),
                 surface.alias("mention"),
                 *[entity[name].alias(name) for name in LINK_VALUES],
             ),
         )
 
-    all_links = X.bind(
-        _spans(pieces, mentions),
-        lambda spans: F.flatten(
-            F.transform(
-                mentions,
-                lambda m, k: of_mention(m, F.get(spans["begins"], k), F.get(spans["ends"], k)),
-            )
-        ),
+    places = F.filter(
+        F.transform(pieces, lambda _, k: k), lambda k: ~_is_blank(F.get(pieces, k))
     )
-    none = F.array().cast(ANNOTATIONS)
-    return F.when(F.size(mentions) > 0, F.sort_array(all_links)).otherwise(none)
+    listed = F.sort_array(X.bind(places, of_places))
+    return F.when(F.size(mentions) > 0, listed).otherwise(F.array().cast(ANNOTATIONS))
