@@ -199,16 +199,11 @@ class EntityLinks(Enricher):
 
     def linked(self, requests: DataFrame) -> DataFrame:
         """Requests with `annotations`, a list of annotation structs sorted by place."""
-        tokenized = requests.withColumn("__pieces", X.class_pieces(F.col("text"))).withColumn(
-            "__tokens", F.filter("__pieces", lambda piece: ~_is_blank(piece))
-        )
+        tokenized = requests.withColumn("__tokens", X.class_tokens(F.col("text")))
         found = self.table.mentions(tokenized, "__tokens", "__mentions")
-        links = X.bind(
-            F.struct(F.col("__pieces").alias("pieces"), F.col("__mentions").alias("mentions")),
-            lambda row: _links(row["pieces"], row["mentions"]),
-        )
+        links = X.bind(F.col("__mentions"), lambda mentions: _links(F.col("text"), mentions))
         listed = F.when(F.col("text").isNotNull(), links)
-        return found.withColumn("annotations", listed).drop("__pieces", "__tokens", "__mentions")
+        return found.withColumn("annotations", listed).drop("__tokens", "__mentions")
 
     def annotations(self, requests: DataFrame) -> DataFrame:
         """One row per annotation, with the id of the passage."""
@@ -251,12 +246,15 @@ def _joined(pieces: Column, first: Column, count: Column) -> Column:
     return F.array_join(F.slice(pieces, first + 1, count), "")
 
 
-def _links(pieces: Column, mentions: Column) -> Column:
-    """One annotation struct for each entity of each mention.
+def _links(text: Column, mentions: Column) -> Column:
+    """One annotation struct for each entity of each mention; a text without mentions is not cut up."""
+    listed = X.bind(X.class_pieces(text), lambda pieces: _links_in(pieces, mentions))
+    return F.when(F.size(mentions) > 0, listed).otherwise(F.array().cast(ANNOTATIONS))
 
-    The offset of a mention is that of the mention before plus the characters between their begins,
-    so each piece of the text is looked at once.
-    """
+
+def _links_in(pieces: Column, mentions: Column) -> Column:
+    """The offset of a mention is that of the mention before plus the characters between their begins,
+    so each piece of the text is looked at once."""
 
     def of_places(places: Column) -> Column:
         spots = F.transform(
@@ -301,5 +299,4 @@ def _links(pieces: Column, mentions: Column) -> Column:
     places = F.filter(
         F.transform(pieces, lambda _, k: k), lambda k: ~_is_blank(F.get(pieces, k))
     )
-    listed = F.sort_array(X.bind(places, of_places))
-    return F.when(F.size(mentions) > 0, listed).otherwise(F.array().cast(ANNOTATIONS))
+    return F.sort_array(X.bind(places, of_places))

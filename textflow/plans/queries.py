@@ -136,7 +136,8 @@ def prediction_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def preprocess(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as messages; texts of Spanish ones missing, and each text malformed a second time."""
-    rows = table(spark, folder, "documents")
+    columns = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    rows = spread(columns, "doc_id")
     given = F.when(F.col("lang") != "es", F.col("text"))
     whole = F.to_json(F.struct(F.col("doc_id").alias("id"), given.alias("text"), "source"))
     messages = rows.select(F.encode(whole, "utf-8").alias("value")).union(

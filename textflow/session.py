@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,11 @@ def local_session(cpus: int | str = "*", app_name: str = "textflow", memory: str
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="textflow-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder that the session names in `spark.checkpoint.dir`.
 
@@ -38,6 +44,5 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="textflow-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

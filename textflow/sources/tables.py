@@ -13,7 +13,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def splits(rows: DataFrame) -> int:
-    """The number of tasks that read an input; found by planning, without running it."""
+    """The number of tasks that scan a table; found by planning the scan, without running it."""
     return rows.rdd.getNumPartitions()
 
 
