@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 BLANKS = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
 TOKEN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]+"
 TOKEN_OR_BLANKS = r"\s+|" + TOKEN
+SIGN_AT_END = r"^\p{Punct}|\p{Punct}$"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -85,9 +86,11 @@ def total_words(text: Column) -> Column:
     return F.when(text == "", F.lit(1)).when(text.isNotNull(), bind(F.split(text, r"\s+"), count))
 
 
-def words(text: Column) -> Column:
-    """Parts between runs of blanks, Unicode blanks included, without empty ones."""
-    return F.filter(F.split(text, BLANKS), lambda word: word != "")
+def words(text: Column, keep: Callable[[Column], Column] | None = None) -> Column:
+    """Parts between runs of blanks, Unicode blanks included, without empty ones; on demand only those
+    to keep."""
+    wanted = (lambda word: (word != "") & keep(word)) if keep else (lambda word: word != "")
+    return F.filter(F.split(text, BLANKS), wanted)
 
 
 def word_counts(listed: Column) -> Column:
@@ -116,10 +119,7 @@ def word_counts(listed: Column) -> Column:
 
     placed = F.transform(listed, lambda word, i: F.struct(word.alias("word"), i.alias("place")))
     counted = bind(F.sort_array(placed), runs)
-    return F.when(
-        listed.isNotNull(),
-        F.to_json(F.transform(counted, lambda x: F.create_map(x["word"], x["n"]))),
-    )
+    return F.to_json(F.transform(counted, lambda x: F.create_map(x["word"], x["n"])))
 
 
 def class_tokens(text: Column) -> Column:
@@ -138,12 +138,12 @@ def span_text(tokens: Column, start: Column, length: Column) -> Column:
 
 
 def lexicon_terms(text: Column) -> Column:
-    """Lower-cased words without signs at their ends; where two or fewer characters would be left, the
-    signs stay."""
-    cut = F.transform(
-        words(F.lower(text)),
-        lambda word: F.struct(word.alias("word"), F.btrim(word, F.lit(PUNCTUATION)).alias("bare")),
-    )
-    return F.transform(
-        cut, lambda x: F.when(F.length(x["bare"]) <= 2, x["word"]).otherwise(x["bare"])
-    )
+    """The lower-cased parts between blanks, as `lexicon_term` writes them; some may be empty."""
+    return F.transform(F.split(F.lower(text), BLANKS), lexicon_term)
+
+
+def lexicon_term(word: Column) -> Column:
+    """A word without signs at its ends; where two or fewer characters would be left, the signs stay."""
+    bare = F.btrim(word, F.lit(PUNCTUATION))
+    cut = word.rlike(SIGN_AT_END) & (F.length(bare) > 2)
+    return F.when(cut, bare).otherwise(word)

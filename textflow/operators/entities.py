@@ -77,23 +77,21 @@ class PhraseTable:
 
     def _hits(self, tokens: Column) -> Column:
         """Runs that are phrases; only tokens that begin a phrase are looked at further."""
-        begun = F.filter(
-            F.transform(
-                tokens,
-                lambda token, i: F.struct(i.alias("i"), self.heads.find(token)[0]["most"].alias("most")),
-            ),
-            lambda x: x["most"].isNotNull(),
+        places = F.filter(
+            F.transform(tokens, lambda _, i: i),
+            lambda i: self.heads.find(F.get(tokens, i)).isNotNull(),
         )
 
-        def found(x: Column) -> Column:
-            lengths = F.sequence(F.lit(1), F.least(x["most"], F.size(tokens) - x["i"]))
-            grams = F.transform(lengths, lambda n: self._gram(tokens, x["i"], n))
+        def found(i: Column) -> Column:
+            most = self.heads.find(F.get(tokens, i))[0]["most"]
+            lengths = F.sequence(F.lit(1), F.least(most, F.size(tokens) - i))
+            grams = F.transform(lengths, lambda n: self._gram(tokens, i, n))
             looked_up = F.transform(
                 grams, lambda g: g.withField("found", self.phrases.find(g["key"]))
             )
             return F.filter(looked_up, lambda g: g["found"].isNotNull())
 
-        return F.flatten(F.transform(begun, found))
+        return F.flatten(F.transform(places, found))
 
 
 def outermost(hits: Column, longest: int) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,23 +37,21 @@ class Sentiment(Enricher):
     def enrich(self, requests: DataFrame) -> DataFrame:
         terms = X.lexicon_terms(F.col("text"))
         if self.row_local:
-            scored = requests.withColumn("__hits", F.transform(terms, self.weights.find))
-            weight = lambda hit: hit[0]["weight"]
-        else:
-            placed = F.transform(
-                terms, lambda term, i: F.struct(i.alias("i"), F.lit(1).alias("n"), term.alias("key"))
-            )
-            scored = self.weights.join(requests, placed, "__hits")
-            weight = lambda hit: hit["found"][0]["weight"]
-        answer = self._answer(F.col("text"), F.col("__hits"), weight)
+            return requests.withColumn("prediction", self._answer(terms, self.weights.find))
+        placed = F.transform(
+            terms, lambda term, i: F.struct(i.alias("i"), F.lit(1).alias("n"), term.alias("key"))
+        )
+        scored = self.weights.join(requests, placed, "__hits")
+        answer = self._answer(F.col("__hits"), lambda hit: hit["found"])
         return scored.withColumn("prediction", answer).drop("__hits")
 
     @staticmethod
-    def _answer(text: Column, hits: Column, weight) -> Column:
+    def _answer(items: Column, found: Callable[[Column], Column]) -> Column:
         zero = F.lit(0).cast("long")
-        score = F.aggregate(hits, zero, lambda total, hit: total + F.coalesce(weight(hit), zero))
+        weight = lambda item: F.coalesce(F.get(found(item), F.lit(0))["weight"], zero)
+        score = F.aggregate(items, zero, lambda total, item: total + weight(item))
         return (
-            F.when(text.isNull(), NO_TEXT)
+            F.when(F.col("text").isNull(), NO_TEXT)
             .when(F.coalesce(score, zero) > 0, POSITIVE)
             .otherwise(NEGATIVE)
         )

@@ -26,12 +26,11 @@ class WordCount(Enricher):
         return not isinstance(self.stop_words, LookupTable) or self.stop_words.inline
 
     def _kept(self, text: Column) -> Column:
-        listed = X.words(text)
         if isinstance(self.stop_words, LookupTable):
-            return F.filter(listed, lambda word: self.stop_words.find(word).isNull())
+            return X.words(text, lambda word: self.stop_words.find(word).isNull())
         if self.stop_words:
-            return F.filter(listed, lambda word: ~word.isin(list(self.stop_words)))
-        return listed
+            return X.words(text, lambda word: ~word.isin(list(self.stop_words)))
+        return X.words(text)
 
     def enrich(self, requests: DataFrame) -> DataFrame:
         if self.row_local:
