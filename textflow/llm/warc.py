@@ -28,7 +28,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = "1970-01-01T00:00:00Z"
 
 RECORD_COLUMNS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-INDEX_COLUMNS = "archive string, at long, length long, record_id string"
+ARCHIVE_COLUMNS = "archive string, records long, bytes long"
 
 
 def digest(payload: bytes) -> str:
@@ -163,13 +163,18 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     return written(pages.mapInArrow(run, "archive string"), "archives")
 
 
+def one_task_each(archives: DataFrame) -> DataFrame:
+    """The names of archives, one in a task: their rows are small, the files are not."""
+    return archives.repartition(max(1, archives.count()))
+
+
 def normalise(archives: DataFrame) -> DataFrame:
     """Makes each archive anew: it is inflated once from start to end, and every record becomes a gzip member
-    of its own. Next to the new archive lies its index, a line `offset length record-id` for each record. Returns the
-    index of all, `archive, at, length, record_id`.
+    of its own. Next to the new archive lies its index, a line `offset length record-id` for each record. Returns
+    `archive, records, bytes` of the new ones.
 
-    Memory is that of one record and one piece of the stream. Names are new for each attempt, as in
-    `write_archives`.
+    Memory is that of one record and one piece of the stream, and of the archive's index. Names are new for each
+    attempt, as in `write_archives`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,23 +183,23 @@ def normalise(archives: DataFrame) -> DataFrame:
                 system, path = _open(url)
                 folder, name = url.rpartition("/")[0], f"{uuid.uuid4().hex}.warc.gz"
                 target = f"{path.rpartition('/')[0]}/{name}"
-                at, found = 0, []
+                at, lines = 0, []
                 with system.open_input_stream(path, compression=None) as source, system.open_output_stream(target, compression=None) as out:
                     for each in records(source):
                         zipper = zlib.compressobj(MEMBER_LEVEL, zlib.DEFLATED, 31)
                         member = zipper.compress(each) + zipper.flush()
                         out.write(member)
-                        found.append((at, len(member), parse_head(each[: each.index(b"\r\n\r\n")])["warc-record-id"]))
+                        name_of = parse_head(each[: each.index(b"\r\n\r\n")])["warc-record-id"]
+                        lines.append(f"{at} {len(member)} {quote(name_of)}\n")
                         at += len(member)
                 with system.open_output_stream(f"{target}.idx", compression=None) as index:
-                    index.write("".join(f"{a} {n} {quote(i)}\n" for a, n, i in found).encode())
-                ats, lengths, ids = zip(*found) if found else ((), (), ())
+                    index.write("".join(lines).encode())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"{folder}/{name}"] * len(found), pa.string()), pa.array(ats, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.string())],
-                    names=["archive", "at", "length", "record_id"],
+                    [pa.array([f"{folder}/{name}"], pa.string()), pa.array([len(lines)], pa.int64()), pa.array([at], pa.int64())],
+                    names=["archive", "records", "bytes"],
                 )
 
-    return written(archives.repartition(F.col("archive")).mapInArrow(run, INDEX_COLUMNS), "index")
+    return written(one_task_each(archives).mapInArrow(run, ARCHIVE_COLUMNS), "normalised")
 
 
 def read_index(system: fs.FileSystem, path: str) -> list[tuple[int, int, str]]:
@@ -220,29 +225,27 @@ def describe(each: bytes) -> tuple[int | None, int, str, str, int | None]:
     return page_of(head["warc-record-id"]), len(payload), declared, "response", None
 
 
-def read_records(index: DataFrame) -> DataFrame:
-    """`page_id, payload_bytes, payload_digest, record_type, refers_to` of the records an index names, each read by
-    its offset and inflated alone."""
+def read_records(archives: DataFrame, at_once: int = 1000) -> DataFrame:
+    """`page_id, payload_bytes, payload_digest, record_type, refers_to` of all records of the archives: each is found
+    by its line in the index, read from its offset and inflated alone."""
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened, source = None, None
         for batch in batches:
-            rows = []
-            for url, at, length in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if url != opened:
-                    if source is not None:
-                        source.close()
-                    system, path = _open(url)
-                    opened, source = url, system.open_input_file(path)
-                source.seek(at)
-                rows.append(describe(zlib.decompress(source.read(length), 31)))
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-            names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, types)], names=names)
-        if source is not None:
-            source.close()
-
-    return index.select("archive", "at", "length").mapInArrow(run, RECORD_COLUMNS)
+            for url in batch.column(0).to_pylist():
+                system, path = _open(url)
+                index = read_index(system, path)
+                with system.open_input_file(path) as source:
+                    for first in range(0, len(index), at_once):
+                        rows = []
+                        for at, length, _ in index[first : first + at_once]:
+                            source.seek(at)
+                            rows.append(describe(zlib.decompress(source.read(length), 31)))
+                        columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)]
+                        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return one_task_each(archives.select("archive")).mapInArrow(run, RECORD_COLUMNS)
 
 
 def with_first_page(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -266,5 +269,4 @@ def archive_and_read(pages: DataFrame, least_bytes: int = 0, folder: str | None
     """Writes pages as archives to `folder` (by default one below the shared folder), makes them anew with an index
     and reads all records back through it: a row for each page, as `read_records` gives it."""
     folder = folder or work_folder(pages.sparkSession, "warc")
-    index = normalise(write_archives(with_first_page(pages, least_bytes), folder))
-    return read_records(index)
+    return read_records(normalise(write_archives(with_first_page(pages, least_bytes), folder)))
