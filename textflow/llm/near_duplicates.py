@@ -19,7 +19,9 @@ SEED = 20_240_607
 # Shingles hashed at a time, so that the matrix of hashes stays in the processor's cache.
 CHUNK = 512
 # Rounds with one partner for each text and bucket, before all pairs that are left are compared.
-LEADER_ROUNDS = 4
+LEADER_ROUNDS = 3
+# Bands whose buckets are looked at first.
+FIRST_BANDS = 10
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -94,23 +96,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return both.filter(alike).select("u", "v")
 
 
-def _leaders(members: DataFrame, order: Column) -> DataFrame:
-    """Each member with the first and the last member of its bucket in some order."""
-    ends = members.groupBy("value").agg(F.min(F.struct(order, "node")).alias("lo"), F.max(F.struct(order, "node")).alias("hi"))
-    ends = written(ends.select("value", F.col("lo.node").alias("lo"), F.col("hi.node").alias("hi")), "leaders")
-    led = members.join(ends, "value")
-    return led.select(F.greatest("node", "lo").alias("u"), F.least("node", "lo").alias("v")).union(
-        led.select(F.greatest("node", "hi").alias("u"), F.least("node", "hi").alias("v"))
-    ).filter("u != v").distinct()
-
-
-def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members with their component, of the buckets that hold more than one component."""
-    named = members.drop("component").join(labels, "node", "left")
-    named = named.withColumn("component", F.coalesce("component", "node"))
-    mixed = named.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+def _leaders(members: DataFrame, order: Column | None = None) -> DataFrame:
+    """Each member with the first and the last member of its bucket, by number or by some other order."""
+    if order is None:
+        ends = members.groupBy("value").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    else:
+        by = F.struct(order, "node")
+        ends = members.groupBy("value").agg(F.min(by).alias("lo"), F.max(by).alias("hi"))
+        ends = ends.select("value", F.col("lo.node").alias("lo"), F.col("hi.node").alias("hi"))
+    led = members.select("value", "node").join(written(ends, "leaders"), "value")
+    led = led.select("node", F.explode(F.array("lo", "hi")).alias("end"))
+    return led.select(F.greatest("node", "end").alias("u"), F.least("node", "end").alias("v")).filter("u != v").distinct()
+
+
+def _unsettled(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """`value, node, component, bands` of the buckets that hold more than one component, from all bands."""
+    named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = written(named, "named_classes")
+    placed = named.select("node", "component", F.explode("bands").alias("value"))
+    mixed = placed.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = written(mixed.filter("lo != hi").select("value"), "mixed_buckets")
-    return written(named.join(mixed, "value"), "unsettled")
+    return written(placed.join(mixed, "value"), "unsettled")
 
 
 def _open_pairs(members: DataFrame) -> tuple[int, int]:
@@ -122,40 +128,46 @@ def _open_pairs(members: DataFrame) -> tuple[int, int]:
     return int(found[0] or 0), int(found[1] or 0)
 
 
+def _cross_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of members of a bucket that are in different components, each pair in the first bucket it shares."""
+    rows = members.join(classes, "node")
+    a = rows.select("value", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("bands").alias("bu"))
+    b = rows.select("value", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("bands").alias("bv"))
+    first = F.array_min(F.array_intersect("bu", "bv")) == F.col("a.value")
+    return a.alias("a").join(b.alias("b"), (F.col("a.value") == F.col("b.value")) & (F.col("cu") < F.col("cv")) & first).select("u", "v")
+
+
 def links(
     classes: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: int = SIMILARITY
 ) -> tuple[DataFrame, DataFrame]:
     """(verified links `u, v`, components `node, component`) of the classes `node, bands`.
 
-    A bucket is a band with equal minima. Its members are first compared with its smallest and its largest
-    node only, so a bucket of m texts makes 2 m comparisons. Buckets whose members are then all in one component
-    need nothing more: no further link could change a component. In the others, members are compared with
-    the ends of other random orders while many pairs are open, and at last all pairs of members in different
-    components are compared. So a pair that shares a bucket is either compared or already known to be connected.
+    A bucket is a band with equal minima. First, in the buckets of some bands, members are compared with the smallest
+    and the largest node of their bucket only, so a bucket of m texts makes 2 m comparisons. Buckets whose
+    members are then all in one component need nothing more: no further link could change a component. In the
+    others, of all bands, members are compared with the ends of other random orders while many pairs are open, and at
+    last all pairs of members in different components are compared. So a pair that shares a bucket is
+    either compared or already known to be connected.
     """
-    placed = classes.select("node", F.explode("bands").alias("value"))
+    placed = classes.select("node", F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("value"))
     shared = placed.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1").select("value")
     members = written(placed.join(written(shared, "shared_buckets"), "value"), "members")
     known = written(sets(members.select("node").distinct()), "shingle_sets")
-    found = written(_verified(_leaders(members, F.lit(0)), known, similarity), "links")
-    labels = written(components(found), "components")
+    found = written(_verified(_leaders(members), known, similarity), "links")
     for k in range(1, LEADER_ROUNDS + 1):
-        members = _unsettled(members, labels)
+        members = _unsettled(classes, components(found, 1, exact=False))
         count, pairs = _open_pairs(members)
         if not pairs:
-            return found, labels
-        last = pairs <= 8 * count or k == LEADER_ROUNDS
-        if last:
-            a = members.select("value", F.col("node").alias("u"), F.col("component").alias("cu"))
-            b = members.select("value", F.col("node").alias("v"), F.col("component").alias("cv"))
-            asked = a.join(b, "value").filter("cu < cv").select("u", "v").distinct()
-        else:
-            asked = _leaders(members, F.xxhash64("value", "node", F.lit(k)))
+            break
+        if k == 1:
+            more = members.select("node").distinct().join(known.select("node"), "node", "left_anti")
+            known = known.union(written(sets(more), "shingle_sets"))
+        last = pairs <= count or k == LEADER_ROUNDS
+        asked = _cross_pairs(members, classes) if last else _leaders(members, F.xxhash64("value", "node", F.lit(k)))
         found = written(found.union(_verified(asked, known, similarity)), "links")
-        labels = written(components(found), "components")
         if last:
-            return found, labels
-    return found, labels
+            break
+    return found, written(components(found), "components")
 
 
 def near_duplicates(
@@ -194,7 +206,7 @@ def near_duplicates(
 
     def sets(nodes: DataFrame) -> DataFrame:
         needed = nodes.join(classes.select("node", "text_md5"), "node")
-        texts = keyed.groupBy("text_md5").agg(F.first("text").alias("text")).join(needed, "text_md5")
+        texts = keyed.join(needed, "text_md5").groupBy("node").agg(F.first("text").alias("text"))
         return texts.select("node", shingle_set(F.col("text"), words_per_shingle).alias("shingles"))
 
     found, labels = links(classes.select("node", "bands"), sets, similarity)
