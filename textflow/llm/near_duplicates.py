@@ -19,7 +19,7 @@ SEED = 20_240_607
 # Shingles hashed at a time, so that the matrix of hashes stays in the processor's cache.
 CHUNK = 512
 # Rounds with one partner for each text and bucket, before all pairs that are left are compared.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 # Bands whose buckets are looked at first.
 FIRST_BANDS = 10
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -85,15 +85,19 @@ def shingle_set(text: Column, words_per_shingle: int) -> Column:
     return bind(words, of_words)
 
 
+def _alike(a: str, b: str, similarity: int) -> Column:
+    """Whether 100 times the intersection of two sets is at least `similarity` times their union. One cannot be that
+    alike if the sizes differ more; then the sets are not compared."""
+    sizes = F.size(a) + F.size(b)
+    near = F.least(F.size(a), F.size(b)) * 100 >= F.greatest(F.size(a), F.size(b)) * similarity
+    return near & (F.size(F.array_intersect(a, b)).cast("bigint") * (100 + similarity) >= sizes * similarity)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs `u, v` whose full sets are alike: 100 times the intersection at least `similarity` times the union."""
+    """The pairs `u, v` whose full sets are alike."""
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    # One cannot be that alike if the sizes differ more; then the sets are not compared.
-    near = F.least(F.size("a"), F.size("b")) * 100 >= F.greatest(F.size("a"), F.size("b")) * similarity
-    both = pairs.join(a, "u").join(b, "v").filter(near).withColumn("n", F.size(F.array_intersect("a", "b")))
-    alike = F.col("n").cast("bigint") * 100 >= (F.size("a") + F.size("b") - F.col("n")) * similarity
-    return both.filter(alike).select("u", "v")
+    return pairs.join(a, "u").join(b, "v").filter(_alike("a", "b", similarity)).select("u", "v")
 
 
 def _leaders(members: DataFrame, order: Column | None = None) -> DataFrame:
@@ -128,13 +132,17 @@ def _open_pairs(members: DataFrame) -> tuple[int, int]:
     return int(found[0] or 0), int(found[1] or 0)
 
 
-def _cross_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of members of a bucket that are in different components, each pair in the first bucket it shares."""
-    rows = members.join(classes, "node")
-    a = rows.select("value", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("bands").alias("bu"))
-    b = rows.select("value", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("bands").alias("bv"))
-    first = F.array_min(F.array_intersect("bu", "bv")) == F.col("a.value")
-    return a.alias("a").join(b.alias("b"), (F.col("a.value") == F.col("b.value")) & (F.col("cu") < F.col("cv")) & first).select("u", "v")
+def _cross_links(members: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The alike pairs among members of a bucket that are in different components. Sets are compared inside the join, in
+    the first bucket that a pair shares, so rows are moved for members and made for links, never for pairs."""
+    rows = members.join(classes, "node").join(sets, "node")
+    side = lambda x: rows.select(
+        "value", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "component", "bands", "shingles")]
+    )
+    first = F.array_min(F.array_intersect("a_bands", "b_bands")) == F.col("a.value")
+    both = (F.col("a.value") == F.col("b.value")) & (F.col("a_component") < F.col("b_component"))
+    found = side("a").alias("a").join(side("b").alias("b"), both & first & _alike("a_shingles", "b_shingles", similarity))
+    return found.select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))
 
 
 def links(
@@ -163,8 +171,11 @@ def links(
             more = members.select("node").distinct().join(known.select("node"), "node", "left_anti")
             known = known.union(written(sets(more), "shingle_sets"))
         last = pairs <= count or k == LEADER_ROUNDS
-        asked = _cross_pairs(members, classes) if last else _leaders(members, F.xxhash64("value", "node", F.lit(k)))
-        found = written(found.union(_verified(asked, known, similarity)), "links")
+        if last:
+            new = _cross_links(members, classes, known, similarity)
+        else:
+            new = _verified(_leaders(members, F.xxhash64("node", F.lit(k))), known, similarity)
+        found = written(found.union(new), "links")
         if last:
             break
     return found, written(components(found), "components")
