@@ -192,3 +192,30 @@ def test_small_lookups_need_no_shuffle(spark, requests):
         assert "Exchange" not in text and "Join" not in text and "Aggregate" not in text
     assert not Sentiment(lexicon, max_rows=0).row_local
     assert not Sentiment(lexicon, max_bytes=1).row_local
+
+
+def test_ids_that_repeat_or_are_null_do_not_mix_texts(spark, requests):
+    """Both ways answer each row by its own text, whatever its id."""
+    given = requests(("1", "New York of"), ("1", "the x x Times"), (None, "la New York"), (None, "of of the"), ("2", None), ("1", "New York of"))
+    stop = spark.createDataFrame([("of",), ("the",)], "word string")
+    lexicon = spark.createDataFrame([("the", 1.0), ("of", -1.0)], "term string, valence double")
+    gazetteer = spark.createDataFrame([(p, "B") for p in PHRASES], "phrase string, label string")
+    entities = spark.createDataFrame(
+        [("New York", 1, "NY", "city", 0.5), ("x x", 2, "X", "sign", 0.0)],
+        "phrase string, entity_id int, entity_name string, entity_type string, prior double",
+    )
+    tags = spark.createDataFrame([("the", "DET", "DT"), ("of", "ADP", "IN")], "word string, pos string, tag string")
+    made = [
+        lambda limits: Sentiment(lexicon, **limits),
+        lambda limits: WordCount(stop_words=stop_word_table(stop, **limits)),
+        lambda limits: EntityNames(gazetteer, **limits),
+        lambda limits: EntityLinks(entities, **limits),
+        lambda limits: TokenTags(tags, **limits),
+    ]
+    order = lambda row: tuple(str(x) for x in row)
+    for make in made:
+        inline, joined = (
+            sorted((tuple(r) for r in make(limits).predictions(given).select("id", "text", "prediction").collect()), key=order)
+            for limits in ({}, {"max_rows": 0})
+        )
+        assert inline == joined and len(inline) == 6

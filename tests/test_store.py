@@ -82,6 +82,35 @@ def test_compacted_store_goes_on(spark, store):
     assert compact.stored().first()["predictions"] == {"A": "a1", "B": "b2"}
 
 
+def test_intake_and_merge_go_on_after_compaction(spark, store):
+    """Their batch ids differ; no later batch may hide or overwrite what was compacted."""
+    doc = lambda *ids: spark.createDataFrame([(i, i, "s") for i in ids], "id string, text string, type string")
+    store.add_documents(doc("x", "y"), "text", 0)
+    for batch in range(3):
+        store.add_predictions(updates(spark, (("x", "y", "y")[batch], f"T{batch}", "p", None, 1)), batch)
+    compact = store.compact_into(work_folder(spark, "store"))
+    assert compact.add_documents(doc("x", "w"), "text", 1).count() == 1
+    assert compact.add_documents(doc("x", "w"), "text", 1).count() == 1
+    compact.add_documents(doc("v"), "text", 2)
+    compact.add_predictions(updates(spark, ("y", "T2", "again", None, 1)), 2)
+    assert rows(compact.documents(), "id") == [("v",), ("w",), ("x",), ("y",)]
+    assert rows(compact.latest(), "id", "type", "prediction") == [
+        ("x", "T0", "p"), ("y", "T1", "p"), ("y", "T2", "again"),
+    ]
+
+
+def test_create_keeps_what_is_stored(spark, store):
+    store.add_documents(spark.createDataFrame([("1", "t", "s")], "id string, text string, type string"), "text", 0)
+    compact = store.compact_into(work_folder(spark, "store"))
+    assert compact.create().documents().count() == store.create().documents().count() == 1
+
+
+def test_requests_without_id_are_not_stored(spark, store):
+    for batch in range(3):
+        store.add_documents(calls(spark, ("a", None, 1), ("a", "x", 2)), "at", batch)
+    assert rows(store.documents(), "text") == [("x",)]
+
+
 def test_new_run_does_not_overwrite(spark, store):
     store.add_documents(spark.createDataFrame([("1", "t", "s")], "id string, text string, type string"), "text", 0)
     store.add_predictions(updates(spark, ("1", "A", "a0", None, 1)), 0)

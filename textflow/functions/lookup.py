@@ -82,20 +82,23 @@ class LookupTable:
     ) -> DataFrame:
         """Requests with a column of candidates, each with what was found for its key.
 
-        `candidates` is a list of structs `(i, n, key)`. The id stands for the text: rows with the
-        same id have the same candidates, which become one set before the result is joined back.
+        `candidates` is a list of structs `(i, n, key)` that depends on nothing but `text`. The hash of
+        the text is what rows are brought together by, so ids may repeat or be null, as they may where
+        the table is in the row: copies of a text have the same candidates, which become one set
+        before the result is joined back.
         """
-        spread = F.pmod(F.xxhash64("id", "i"), F.lit(self.salts)).cast("int")
+        keyed = requests.withColumn("__text", F.sha2("text", 256))
+        spread = F.pmod(F.xxhash64("__text", "i"), F.lit(self.salts)).cast("int")
         asked = (
-            requests.select("id", F.explode(candidates).alias("candidate"))
-            .select("id", "candidate.*")
+            keyed.select("__text", F.explode(candidates).alias("candidate"))
+            .select("__text", "candidate.*")
             .withColumn("salt", spread)
         )
         table = self._grouped if how != "left_anti" else self.table.select("key").distinct()
         salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
         joined = asked.join(salted, ["key", "salt"], how)
         fields = ["i", "n", "key"] + (["found"] if how != "left_anti" else [])
-        gathered = joined.groupBy("id").agg(
+        gathered = joined.groupBy("__text").agg(
             F.sort_array(F.collect_set(F.struct(*fields))).alias(output)
         )
-        return requests.join(gathered, "id", "left")
+        return keyed.join(gathered, "__text", "left").drop("__text")

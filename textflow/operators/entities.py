@@ -172,7 +172,8 @@ def annotated_passages(
 class EntityLinks(Enricher):
     """Mentions linked to every entity they may stand for.
 
-    `rho` is the prior of the entity, `confidence` its share among the entities of the phrase.
+    `rho` is the prior of the entity, `confidence` its share among the entities of the phrase; null, and
+    absent in JSON, where the priors of the phrase add up to 0.
     """
 
     def __init__(self, entities: DataFrame, label: str = "EntityLinks", **limits: int) -> None:
@@ -187,7 +188,7 @@ class EntityLinks(Enricher):
             "entity_name",
             "entity_type",
             F.col("prior").cast("double").alias("rho"),
-            (F.col("prior").cast("double") / F.col("total")).alias("confidence"),
+            F.try_divide(F.col("prior").cast("double"), F.col("total")).alias("confidence"),
         )
         self.table = PhraseTable(shared, LINK_VALUES, **limits)
 

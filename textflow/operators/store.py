@@ -14,6 +14,8 @@ from textflow.schemas import REJECTED_PREDICTION, STORED_DOCUMENT, STORED_PREDIC
 # Later commits win; within a commit the time and place in the source decide.
 FIRST_PART = "run=0/batch_id=-1"
 COMMIT_ORDER = ("run", "batch_id", "ts", "seq")
+# The run of compacted parts: no stream commits to it, and it sorts before all others.
+COMPACTED_RUN = "!compacted"
 
 
 class DocumentStore:
@@ -30,14 +32,14 @@ class DocumentStore:
         self.run = run
 
     def create(self) -> DocumentStore:
-        """Empty tables with their declared schemas."""
+        """Tables with their declared schemas: empty ones where there are none, others as they are."""
         for name, schema in (
             ("documents", STORED_DOCUMENT),
             ("predictions", STORED_PREDICTION),
             ("rejected", REJECTED_PREDICTION),
         ):
             empty = self.spark.createDataFrame([], schema).drop("run", "batch_id")
-            empty.write.mode("overwrite").parquet(f"{self.path}/{name}/{FIRST_PART}")
+            empty.write.mode("ignore").parquet(f"{self.path}/{name}/{FIRST_PART}")
         return self
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
@@ -72,8 +74,9 @@ class DocumentStore:
         return self._read("rejected", REJECTED_PREDICTION)
 
     def add_documents(self, requests: DataFrame, order: str, batch_id: int) -> DataFrame:
-        """Stores the first request of each new id and returns what was stored."""
-        firsts = intake.first_of_each_id(requests, order).persist()
+        """Stores the first request of each new id and returns what was stored. Requests without id, such as
+        those of a null text, are left out: nothing could ever be merged into their documents."""
+        firsts = intake.first_of_each_id(requests.filter("id is not null"), order).persist()
         stored = self.documents().filter(self._before(batch_id))
         new = intake.only_new(firsts, self._among(stored, firsts))
         self._commit(new.select("id", "text", "type"), "documents", batch_id)
@@ -114,16 +117,15 @@ class DocumentStore:
     def compact_into(self, path: str) -> DocumentStore:
         """A copy of the store with few large files and only the last predictions.
 
-        The copy stands for all commits so far of this run, and later ones go on after it.
+        What was committed so far becomes parts of a run of its own, which sorts before all others and
+        which no stream commits to. So intake and merge, which number their batches separately, go on with the
+        copy as they would with the store: their next batches overwrite nothing of it and find its documents. Take
+        the copy between batches.
         """
         target = DocumentStore(self.spark, path, self.run).create()
-        last_batch = F.max("batch_id").alias("batch_id")
-        mine = self.predictions().filter(F.col("run") == self.run)
-        committed = mine.agg(last_batch).first()["batch_id"]
-        batch_id = committed if committed is not None else -1
-        target._commit(self.documents().select("id", "text", "type"), "documents", batch_id)
+        compacted = DocumentStore(self.spark, path, COMPACTED_RUN)
+        compacted._commit(self.documents().select("id", "text", "type"), "documents", 0)
         kept = merge.latest(self.predictions(), F.struct(*COMMIT_ORDER), "ts", "seq")
-        target._commit(kept.select("id", "type", "prediction", "ts", "seq"), "predictions", batch_id)
-        refused = self.rejected().drop("run", "batch_id")
-        target._commit(refused, "rejected", batch_id)
+        compacted._commit(kept.select("id", "type", "prediction", "ts", "seq"), "predictions", 0)
+        compacted._commit(self.rejected().drop("run", "batch_id"), "rejected", 0)
         return target

@@ -283,8 +283,7 @@ SQL: dict[str, str] = {
     "merged_predictions": _with(UPDATES)
     + f"SELECT id, {MAPS} AS predictions FROM latest WHERE id IN (SELECT id FROM docs) GROUP BY id",
     "merged_increment": _with(UPDATES)
-    + f"SELECT id, {MAPS} AS predictions FROM latest WHERE id IN (SELECT id FROM updates WHERE seq <= 1) "
-    "GROUP BY id",
+    + f"SELECT id, {MAPS} AS predictions FROM latest GROUP BY id",
     "rejected_updates": _with(UPDATES)
     + "SELECT id, type, prediction, updates, 'no document with this id' AS reason FROM latest "
     "WHERE id NOT IN (SELECT id FROM docs)",
@@ -303,8 +302,7 @@ SQL: dict[str, str] = {
     + "SELECT id, text, '{\"Lines\":\"' || len(string_split(text, chr(10))) || '\",\"Words\":\"' || "
     f"{TOTAL} || '\"}}' AS predictions FROM labelled",
     "parent_child": _with(UPDATES)
-    + "SELECT docs.id, docs.text, u.type, u.prediction FROM docs "
-    "LEFT JOIN (SELECT id, type, prediction FROM updates WHERE seq = 2) u ON u.id = docs.id",
+    + "SELECT docs.id, docs.text, u.type, u.prediction FROM docs LEFT JOIN latest u ON u.id = docs.id",
     "typed_predictions": _with(DOCS, GAZETTEER, TOKENS, NAMES)
     + "SELECT id, row_number() OVER (PARTITION BY id ORDER BY i, n, label) - 1 AS place, name, label FROM named",
     "agreement": AGREEMENT,

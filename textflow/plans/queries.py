@@ -394,10 +394,9 @@ def merged_increment(spark: SparkSession, folder: str) -> DataFrame:
         for part in (given.filter("seq <= 1"), given.filter("seq > 1"))
     )
     old, new = stored.withColumnRenamed("predictions", "old"), update.withColumnRenamed("predictions", "new")
-    joined = old.join(new, "id", "left")
-    merged = F.map_from_entries(
-        F.sort_array(F.map_entries(merge.merged_maps(F.col("old"), F.col("new"))))
-    )
+    joined = old.join(new, "id", "full")
+    both = F.coalesce(merge.merged_maps(F.col("old"), F.col("new")), "old", "new")
+    merged = F.map_from_entries(F.sort_array(F.map_entries(both)))
     return joined.select("id", F.to_json(merged).alias("predictions"))
 
 
@@ -440,7 +439,7 @@ def documents_with_type(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parent_child(spark: SparkSession, folder: str) -> DataFrame:
-    last = merge.latest(updates(spark, folder).filter("seq = 2"), F.col("seq"))
+    last = merge.latest(updates(spark, folder), F.col("seq"))
     return views.children(documents(spark, folder), last)
 
 

@@ -130,6 +130,8 @@ def start_tag_view(
     messages: DataFrame, tagger: TokenTags, checkpoint: str | None = None, trigger: Trigger = None
 ) -> StreamingQuery:
     """Prints the tagged tokens of each message; for debugging."""
+    if not tagger.row_local:
+        raise ValueError(f"{tagger.label} needs whole batches: its lexicon is joined; use start_enricher")
     texts = envelope.message_text(messages).select(
         F.lit(None).cast("string").alias("id"), F.col("value").alias("text")
     )
