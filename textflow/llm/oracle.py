@@ -1,5 +1,49 @@
-"""DuckDB SQL for the queries that SQL can express; the tests hold the others against plain versions."""
+"""DuckDB SQL for queries that SQL expresses; the tests hold the others against plain versions."""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from textflow.llm.mixing import BLOCK, REST
+from textflow.llm.queries import REST as REST_WEIGHT
+from textflow.llm.queries import TARGETS
+
+_LANES = {**TARGETS, REST: REST_WEIGHT}
+_TOTAL = sum(_LANES.values())
+_VALUES = ", ".join(f"({k}, '{lane}', {w})" for k, (lane, w) in enumerate(_LANES.items()))
+_NAMED = ", ".join(f"'{name}'" for name in TARGETS)
+
+SQL: dict[str, str] = {
+    "op6_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p""",
+    "op8_mixing": f"""
+WITH RECURSIVE lanes(k, lane, w) AS (VALUES {_VALUES}),
+steps(slot, turns, pick) AS (
+  SELECT -1, list_transform(range({len(_LANES)}), lambda x: 0), -1
+  UNION ALL
+  SELECT slot + 1, list_transform(turns, lambda t, i: t + CASE WHEN i - 1 = next THEN 1 ELSE 0 END), next
+  FROM (
+    SELECT slot, turns, arg_min(k, CAST(ceil((t + 1) * {_TOTAL} / w) AS BIGINT) * 100 + k) AS next
+    FROM (SELECT s.slot, s.turns, l.k, l.w, s.turns[l.k + 1] AS t FROM steps s, lanes l WHERE s.slot < {_TOTAL - 1})
+    WHERE t < w AND t * {_TOTAL} // w <= slot + 1 GROUP BY slot, turns)),
+period AS (
+  SELECT l.lane, l.w, steps.slot, steps.turns[l.k + 1] - 1 AS j FROM steps JOIN lanes l ON l.k = steps.pick),
+numbered AS (
+  SELECT doc_id, source, CASE WHEN source IN ({_NAMED}) THEN source ELSE '{REST}' END AS lane,
+    row_number() OVER (PARTITION BY CASE WHEN source IN ({_NAMED}) THEN source ELSE '{REST}' END
+      ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(text), '')), doc_id, text) - 1 AS n
+  FROM documents)
+SELECT d.doc_id, d.source, d.lane, d.n // {BLOCK} AS turn,
+  (d.n // {BLOCK} // p.w) * {_TOTAL} + p.j * {_TOTAL} // p.w AS release,
+  (d.n // {BLOCK} // p.w) * {_TOTAL} + CAST(ceil((p.j + 1) * {_TOTAL} / p.w) AS BIGINT) AS deadline,
+  (d.n // {BLOCK} // p.w) * {_TOTAL} + p.slot AS slot,
+  ((d.n // {BLOCK} // p.w) * {_TOTAL} + p.slot) * {BLOCK} + d.n % {BLOCK} AS position
+FROM numbered d JOIN period p ON p.lane = d.lane AND p.j = (d.n // {BLOCK}) % p.w""",
+}
