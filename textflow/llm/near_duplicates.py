@@ -227,9 +227,10 @@ def near_duplicates(
         "digest", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     own_first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")).alias("first")
-    smallest = full.groupBy("digest").agg(own_first).join(grouped, "digest")
-    # The first row of a component, from the first rows of its classes.
-    least = smallest.groupBy("component").agg(F.min("first").alias("kept"))
+    smallest = written(full.groupBy("digest").agg(own_first).join(grouped, "digest"), "first_rows")
+    # The first row of a component, from the first rows of its classes. Both are written, so that the join of a
+    # component with very many classes can be split.
+    least = written(smallest.groupBy("component").agg(F.min("first").alias("kept")), "kept_rows")
     by_class = written(smallest.join(least, "component").select("digest", "kept", "n_links"), "by_class")
     judged = signed.select("doc_id", "text_md5", "n_shingles", "digest").join(by_class, "digest", "left")
     linked = F.col("n_shingles") > 0
