@@ -13,6 +13,7 @@ import time
 
 from textflow.plans.queries import QUERIES
 from textflow.session import local_session
+from textflow.sources.tables import INPUT_TASKS
 
 HEADLINES = (
     "intake_first_wins",
@@ -43,6 +44,8 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, "textflow-bench")
+    # The tables are single files of few splits.
+    spark.conf.set(INPUT_TASKS, str(2 * int(cpus)))
     documents = spark.read.parquet(f"{folder}/documents.parquet").count()
     seconds = {}
     for name in HEADLINES:

@@ -3,6 +3,7 @@ from oracle import connect, differences
 
 from textflow.plans.oracle import SQL
 from textflow.plans.queries import QUERIES
+from textflow.sources.tables import INPUT_TASKS
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -25,6 +26,20 @@ def test_all_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
 
 
+def test_word_count_moves_no_row(spark):
+    plan = QUERIES["word_count"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_inputs_are_dealt_out_when_asked_for(spark):
+    spark.conf.set(INPUT_TASKS, "5")
+    try:
+        plan = QUERIES["word_count"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(INPUT_TASKS)
+    assert "Exchange hashpartitioning(id" in plan
+
+
 def test_classifier_gives_an_answer_for_each_document(spark):
     answers = QUERIES["fitted_model_quality"](spark, FOLDER)
     assert answers.count() == 200

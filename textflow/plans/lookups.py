@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textflow.functions.stop_words import ENGLISH
+
 
 @dataclass(frozen=True)
 class Rows:
@@ -41,6 +43,7 @@ OTHER_LEXICON = Rows(
     (("the", -1), ("of", 1), ("a", 2), ("that", -2), ("for", 1), ("la", 1), ("das", -1), ("que", 1)),
 )
 STOP_WORDS = Rows("word string", (("the",), ("of",), ("and",), ("de",), ("la",), ("der",), ("The",)))
+ENGLISH_STOP_WORDS = Rows("word string", tuple((word,) for word in ENGLISH))
 GAZETTEER = Rows(
     "phrase string, label string",
     (

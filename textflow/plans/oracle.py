@@ -69,6 +69,27 @@ def _word_counts(stop: bool) -> str:
     )
 
 
+# Naive Bayes with one added to each count, over the words of `lexicon`: `answers(id, label)`.
+BAYES = (
+    "parts AS (SELECT id, unnest(string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]')) AS term FROM docs), "
+    "counts AS (SELECT id, term, count(*) AS n FROM parts WHERE term IN (SELECT term FROM lexicon) GROUP BY id, term), "
+    "known AS (SELECT docs.id, CAST(quality AS DOUBLE) AS label FROM docs "
+    "JOIN labels ON docs.id = CAST(labels.doc_id AS VARCHAR) WHERE text IS NOT NULL AND quality IS NOT NULL), "
+    "priors AS (SELECT label, ln(count(*) + 1.0) AS prior FROM known GROUP BY label), "
+    "seen AS (SELECT label, term, sum(n) AS n FROM known JOIN counts ON known.id = counts.id GROUP BY label, term), "
+    "totals AS (SELECT priors.label, coalesce(sum(n), 0) AS n FROM priors "
+    "LEFT JOIN seen ON priors.label = seen.label GROUP BY priors.label), "
+    "weights AS (SELECT totals.label, lexicon.term, ln(coalesce(seen.n, 0) + 1.0) - "
+    "ln(totals.n + (SELECT count(*) FROM lexicon)) AS weight FROM totals CROSS JOIN lexicon "
+    "LEFT JOIN seen ON seen.label = totals.label AND seen.term = lexicon.term), "
+    "likely AS (SELECT id, label, sum(n * weight) AS likelihood FROM counts "
+    "JOIN weights ON counts.term = weights.term GROUP BY id, label), "
+    "answers AS (SELECT docs.id, CAST(arg_max(priors.label, prior + coalesce(likelihood, 0)) AS VARCHAR) AS label "
+    "FROM docs CROSS JOIN priors LEFT JOIN likely ON likely.id = docs.id AND likely.label = priors.label "
+    "GROUP BY docs.id)"
+)
+
+
 def _scores(name: str, lexicon: str, source: str = "docs") -> str:
     """`<name>(id, prediction)` by a lexicon."""
     signs = _quoted(PUNCTUATION)
@@ -248,6 +269,8 @@ SQL: dict[str, str] = {
     "total_words": _with(DOCS)
     + f"SELECT id, 'TotalWords' AS type, text, {TOTAL} AS prediction FROM docs",
     "word_count": WORD_COUNT,
+    "word_count_english": _with(DOCS, lookups.ENGLISH_STOP_WORDS.sql("stop_words"), _words(), _word_counts(True))
+    + _typed("counted", "WordCount"),
     "word_count_all_words": _with(DOCS, _words(), _word_counts(False)) + _typed("counted", "WordCount"),
     "word_count_stop_table": WORD_COUNT,
     "word_count_large_stop_table": WORD_COUNT,
@@ -273,6 +296,9 @@ SQL: dict[str, str] = {
     "lambda line: length(line))) AS VARCHAR) AS prediction FROM docs",
     "fitted_model_tokens": _with(DOCS)
     + f"SELECT id, 'Tokens' AS type, text, {_json(LISTED_TOKENS)} AS prediction FROM docs",
+    "fitted_model_quality": _with(DOCS, lookups.LEXICON.sql("lexicon"), BAYES)
+    + "SELECT docs.id, 'Quality' AS type, text, CASE WHEN text IS NOT NULL THEN label END AS prediction "
+    "FROM docs JOIN answers ON docs.id = answers.id",
     "side_by_side_enrichers": _with(
         DOCS, lookups.LEXICON.sql("lexicon"), GAZETTEER, _words(), _scores("scored", "lexicon"),
         _word_counts(False), TOKENS, NAMES,

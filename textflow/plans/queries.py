@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textflow.functions import envelope, ids
 from textflow.functions import text as X
+from textflow.functions.stop_words import ENGLISH
 from textflow.operators import compare, intake, merge, views
 from textflow.operators.enricher import ColumnEnricher, Enricher, RowEnricher, all_predictions, side_by_side
 from textflow.operators.entities import EntityLinks, EntityNames, LinkedEntities, annotated_passages
@@ -25,7 +26,7 @@ from textflow.session import work_folder
 from textflow.sources.channels import message_folder
 from textflow.sources.models import load_model, save_model
 from textflow.sources.requests import api_requests, chat_requests
-from textflow.sources.tables import read_table, splits, spread
+from textflow.sources.tables import read_table, spread
 from textflow.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,6 +208,12 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
     return WordCount(stop_words=stop).predictions(documents(spark, folder))
 
 
+@query
+def word_count_english(spark: SparkSession, folder: str) -> DataFrame:
+    """Word counts without the standard English stop words."""
+    return WordCount(stop_words=ENGLISH).predictions(documents(spark, folder))
+
+
 @query
 def word_count_all_words(spark: SparkSession, folder: str) -> DataFrame:
     return WordCount().predictions(documents(spark, folder))
@@ -330,17 +337,18 @@ def fitted_model_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fitted_model_quality(spark: SparkSession, folder: str) -> DataFrame:
-    """A classifier fitted once on the labelled documents, applied to all documents."""
-    labels = table(spark, folder, "labels")
+    """Naive Bayes over the words of a vocabulary, fitted once on all labelled documents, applied to all documents."""
+    labels = table(spark, folder, "labels").filter("quality is not null")
     known = labels.select(F.col("doc_id").cast("string").alias("id"), F.col("quality").alias("label"))
+    vocabulary = [word for word, _ in lookups.LEXICON.rows]
     stages = [
         Tokenizer(inputCol="text", outputCol="tokens"),
-        HashingTF(inputCol="tokens", outputCol="features", numFeatures=1 << 12),
-        LogisticRegression(maxIter=10, regParam=0.01, predictionCol="quality"),
+        CountVectorizerModel.from_vocabulary(vocabulary, inputCol="tokens", outputCol="features"),
+        NaiveBayes(smoothing=1.0, predictionCol="quality"),
     ]
     rows = documents(spark, folder)
     path = work_folder(spark, "model")
-    save_model(Pipeline(stages=stages).fit(rows.join(known, "id")), path)
+    save_model(Pipeline(stages=stages).fit(rows.filter("text is not null").join(known, "id")), path)
     return ModelEnricher(load_model(path), "quality", "Quality").predictions(rows)
 
 
@@ -499,7 +507,7 @@ def document_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The documents as a file stream. A pattern serves for one file and for a folder of files."""
     files = table(spark, folder, "documents")
     rows = spark.readStream.schema(files.schema).parquet(f"{folder}/documents.parque[t]")
-    return spread(rows, "doc_id", given=splits(files))
+    return spread(rows, "doc_id")
 
 
 def message_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,27 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Tasks per core when a small input is spread, so that a few long texts do not hold up a core.
-TASKS_PER_CORE = 2
+# Session setting: the number of tasks over which inputs are dealt out. Not set, they keep the splits of their files.
+INPUT_TASKS = "textflow.input.tasks"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def splits(rows: DataFrame) -> int:
-    """The number of tasks that scan a table; found by planning the scan, without running it."""
-    return rows.rdd.getNumPartitions()
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a unique key over as many tasks as the session's `textflow.input.tasks` says.
 
-
-def spread(rows: DataFrame, key: str, given: int | None = None) -> DataFrame:
-    """Rows of an input that has fewer splits than there are cores, spread over all cores by a unique key.
-
-    Work inside a row keeps the partitions of its input, so one small file would keep one core busy.
-    An input with at least as many splits as cores, as any large table, stays as it is. `given`
-    replaces the number of splits where it cannot be planned, as for a stream.
+    Work inside a row keeps the partitions of its input, so one small file would keep one core busy. Dealing out
+    shuffles whole texts; it is for small inputs on few machines, and off unless it is asked for.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if (splits(rows) if given is None else given) >= cores:
-        return rows
-    return rows.repartition(cores * TASKS_PER_CORE, key)
+    tasks = rows.sparkSession.conf.get(INPUT_TASKS, None)
+    return rows.repartition(int(tasks), key) if tasks else rows
