@@ -98,6 +98,26 @@ def test_whole_flow(spark, place):
     assert store.rejected().count() == 0
 
 
+def test_last_message_of_a_folder_wins(spark, place):
+    store = DocumentStore(spark, f"{place}/store").create()
+    store.add_documents(spark.createDataFrame([("1", "a", None), ("2", "b", None)], "id string, text string, type string"), "id", 0)
+    source = message_folder(f"{place}/in")
+    message = lambda id, answer: f'{{"id":"{id}","type":"n","prediction":"{answer}"}}'
+    write(spark, f"{place}/in", message(1, 9), message(1, 10), message(2, 9), message(2, 8))
+    write(spark, f"{place}/in", message(2, 7), message(2, 11))
+    with pytest.raises(ValueError):
+        streams.start_merge(source.read_stream(spark).select("value"), store, f"{place}/c", ONCE)
+    streams.start_merge(source.read_stream(spark), store, f"{place}/check", ONCE).awaitTermination()
+    assert {r.id: r.prediction for r in store.latest().collect()} == {"1": "10", "2": "11"}
+
+
+def test_bodies_of_complete_predictions(spark, place):
+    source, target = message_folder(f"{place}/in"), message_folder(f"{place}/out")
+    write(spark, f"{place}/in", '{"id":"1","type":"n","prediction":"[1]"}', '{"id":"2"}', "bad", '{"id":"a\\"b","type":"t","prediction":"x"}')
+    streams.start_bodies(source.read_stream(spark), target, f"{place}/check", ONCE).awaitTermination()
+    assert values(target, spark) == ['{"id":"1","doc":{"predictions":{"n":[1]}}}', '{"id":"a\\"b","doc":{"predictions":{"t":"x"}}}']
+
+
 def test_tag_view_prints(spark, place, capfd):
     write(spark, f"{place}/in", "hello")
     lexicon = spark.createDataFrame([("hello", "INTJ", "UH")], "word string, pos string, tag string")

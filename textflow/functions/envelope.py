@@ -31,7 +31,9 @@ def predictions_from(messages: DataFrame, *keep: str) -> DataFrame:
 
 
 def request_messages(requests: DataFrame) -> DataFrame:
-    return requests.select(F.to_json(F.struct(*REQUEST.names)).alias("value"))
+    """Messages of `id, text`, and of the tokens that requests may come with."""
+    names = [*REQUEST.names, *[c for c in ("tokens", "filtered") if c in requests.columns]]
+    return requests.select(F.to_json(F.struct(*names)).alias("value"))
 
 
 def prediction_messages(predictions: DataFrame) -> DataFrame:

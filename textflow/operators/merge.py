@@ -43,6 +43,13 @@ def update_body(prediction_type: Column, prediction: Column, under: str | None =
     return F.concat(F.lit("{"), json_quoted(F.lit(under)), F.lit(":"), field, F.lit("}"))
 
 
+def body_messages(predictions: DataFrame) -> DataFrame:
+    """Messages `{"id": …, "doc": partial document}`, from which another store can update its documents."""
+    body = update_body(F.col("type"), F.col("prediction"))
+    message = F.concat(F.lit('{"id":'), json_quoted(F.col("id")), F.lit(',"doc":'), body, F.lit("}"))
+    return predictions.select(message.alias("value"))
+
+
 def folded(latest_predictions: DataFrame) -> DataFrame:
     """One map `type -> prediction` per document; a document has one entry per enricher."""
     entries = F.sort_array(F.collect_list(F.struct("type", "prediction")))

@@ -84,9 +84,10 @@ class DocumentStore:
         here = (F.col("run") == self.run) & (F.col("batch_id") == batch_id)
         return self.documents().filter(here)
 
-    def add_predictions(self, predictions: DataFrame, batch_id: int) -> None:
-        """Commits `id, type, prediction, ts, seq`; updates of unknown ids go to `rejected`."""
-        order = F.struct("ts", "seq")
+    def add_predictions(self, predictions: DataFrame, batch_id: int, order: Column | None = None) -> None:
+        """Commits `id, type, prediction, ts, seq`; updates of unknown ids go to `rejected`. The last one in the
+        batch counts, by `ts` and `seq` or by a finer `order`."""
+        order = F.struct("ts", "seq") if order is None else order
         last = merge.latest(predictions, order, "ts", "seq").persist()
         known = self._among(self.documents(), last)
         accepted = merge.of_known_documents(last, known)

@@ -343,6 +343,16 @@ SQL: dict[str, str] = {
     "stream_enrich_rows": SENTIMENT,
     "stream_tags": _with(DOCS, lookups.TAGS.sql("tags"), TOKENS, TAGGED, TAG_OBJECT)
     + _typed("answers", "Tags"),
+    "stream_dispatch_tokens": _with(DOCS) + f"SELECT id, {_json(LISTED_TOKENS)} AS filtered FROM docs",
+    "stream_bodies": _with(DOCS, _words(), _word_counts(False))
+    + "SELECT '{\"id\":\"' || id || '\",\"doc\":{\"predictions\":{\"WordCount\":' || prediction || '}}}' AS value "
+    "FROM counted",
+    "stream_merge_batches": _with(DOCS, LABELLED)
+    + f"SELECT id, 'Words' AS type, CAST(CASE WHEN id IN (SELECT id FROM labelled) "
+    f"THEN len(regexp_extract_all(text, {_quoted(TOKEN)})) ELSE length(text) END AS VARCHAR) AS prediction FROM docs",
+    "store_compacted": _with(DOCS, LABELLED)
+    + f"SELECT id, text, 'Tokens' AS answer, CAST(len(regexp_extract_all(text, {_quoted(TOKEN)})) AS VARCHAR) "
+    f"AS prediction FROM docs UNION ALL SELECT id, text, 'Words', {TOTAL} FROM labelled",
     "stream_merge": _with(DOCS, LABELLED)
     + f"SELECT id, 'Words' AS type, {TOTAL} AS prediction, CASE WHEN id IN (SELECT id FROM labelled) "
     "THEN '' ELSE 'no document with this id' END AS reason FROM docs",

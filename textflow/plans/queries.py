@@ -9,6 +9,7 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textflow.functions import envelope, ids
 from textflow.functions import text as X
@@ -538,6 +539,34 @@ def stream_dispatch(spark: SparkSession, folder: str) -> DataFrame:
     return envelope.requests_from(to_enrich.read_batch(spark))
 
 
+@query
+def stream_dispatch_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests on to the enrichers with their tokens, from one folder of messages to another."""
+    place = work_folder(spark, "dispatch")
+    requests, to_enrich = message_folder(f"{place}/requests"), message_folder(f"{place}/messages")
+    requests.write_batch(envelope.request_messages(documents(spark, folder)), "run=0")
+    streams.start_dispatch(
+        requests.read_stream(spark), to_enrich, f"{place}/checkpoint", ONCE, tokens=True
+    ).awaitTermination()
+    declared = T.StructType().add("id", T.StringType()).add("filtered", T.ArrayType(T.StringType()))
+    sent = envelope.parse(to_enrich.read_batch(spark), declared)
+    return sent.select("id", F.to_json("filtered").alias("filtered"))
+
+
+@query
+def stream_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Word counts from a channel of predictions on to a channel of partial documents."""
+    place = work_folder(spark, "bodies")
+    enriched, bodies = message_folder(f"{place}/enriched"), message_folder(f"{place}/bodies")
+    streams.start_row_enricher(
+        message_stream(spark, folder), WordCount(), enriched, f"{place}/checkpoints/enrich", ONCE
+    ).awaitTermination()
+    streams.start_bodies(
+        enriched.read_stream(spark), bodies, f"{place}/checkpoints/bodies", ONCE
+    ).awaitTermination()
+    return bodies.read_batch(spark)
+
+
 @query
 def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     place = work_folder(spark, "enrich")
@@ -578,13 +607,64 @@ def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
     store = DocumentStore(spark, f"{place}/store").create()
     held = labelled(spark, folder).withColumn("type", F.lit(None).cast("string"))
     store.add_documents(held, "id", 0)
-    rows = document_stream(spark, folder).select(F.col("doc_id").cast("string").alias("id"), "text")
-    sent = envelope.prediction_messages(TotalWords("Words").predictions(rows))
-    to_enrich = message_folder(f"{place}/messages")
+    to_enrich, enriched = message_folder(f"{place}/messages"), message_folder(f"{place}/enriched")
+    streams.start_row_enricher(
+        message_stream(spark, folder), TotalWords("Words"), enriched, f"{place}/checkpoints/enrich", ONCE
+    ).awaitTermination()
     legs = streams.start_dispatcher(
-        message_stream(spark, folder), to_enrich, sent, store, f"{place}/checkpoints", ONCE
+        message_stream(spark, folder), to_enrich, enriched.read_stream(spark), store, f"{place}/checkpoints", ONCE
     )
     for leg in legs:
         leg.awaitTermination()
     applied = store.latest().select("id", "type", "prediction", F.lit("").alias("reason"))
     return applied.unionByName(store.rejected().select("id", "type", "prediction", "reason"))
+
+
+@query
+def stream_merge_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A merge over several batches, with several predictions of each document in one: the last to arrive counts."""
+    place = work_folder(spark, "merge")
+    store = DocumentStore(spark, f"{place}/store").create()
+    held = documents(spark, folder).withColumn("type", F.lit(None).cast("string"))
+    store.add_documents(held, "id", 0)
+    enriched = message_folder(f"{place}/enriched", maxFilesPerTrigger="3")
+
+    def send(part: str, *answers: DataFrame) -> None:
+        """Each document's answers into one file, one after the other."""
+        rows = [answer.withColumn("turn", F.lit(i)) for i, answer in enumerate(answers)]
+        together = rows[0]
+        for more in rows[1:]:
+            together = together.unionByName(more)
+        in_order = together.repartition(5, "id").sortWithinPartitions("id", "turn")
+        enriched.write_batch(envelope.prediction_messages(in_order), part)
+        streams.start_merge(
+            enriched.read_stream(spark), store, f"{place}/checkpoint", ONCE
+        ).awaitTermination()
+
+    length = ColumnEnricher("Words", lambda text: F.length(text).cast("string"))
+    tokens_only = ColumnEnricher("Words", lambda text: F.size(X.class_tokens(text)).cast("string"))
+    rows = documents(spark, folder)
+    send("part=1", TotalWords("Words").predictions(rows), length.predictions(rows))
+    again = labelled(spark, folder)
+    send("part=2", length.predictions(again), tokens_only.predictions(again))
+    return store.latest().select("id", "type", "prediction")
+
+
+@query
+def store_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """A store that is compacted; then intake and merge go on with the copy, and each batch is delivered twice."""
+    place = work_folder(spark, "compacted")
+    store = DocumentStore(spark, f"{place}/store").create()
+    some, every = (
+        rows(spark, folder).withColumn("type", F.lit(None).cast("string")) for rows in (labelled, documents)
+    )
+    here = {"ts": F.lit(None).cast("timestamp"), "seq": F.lit(0).cast("long")}
+    store.add_documents(some, "id", 0)
+    store.add_predictions(TotalWords("Words").predictions(some).withColumns(here), 0)
+    copy = store.compact_into(f"{place}/copy")
+    tokens_only = ColumnEnricher("Tokens", lambda text: F.size(X.class_tokens(text)).cast("string"))
+    for _ in range(2):
+        copy.create().add_documents(every, "id", 0)
+        copy.add_predictions(tokens_only.predictions(every).withColumns(here), 0)
+    last = copy.latest().select("id", F.col("type").alias("answer"), "prediction")
+    return copy.documents().select("id", "text").join(last, "id")

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textflow.config import Options
@@ -22,10 +23,14 @@ class Channel:
     path: str | None = None
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
+        """Messages as they come. Those of a folder carry the time, path and split of their file as `timestamp`, `file`
+        and `block`, for consumers that need the order of arrival."""
         reader = spark.readStream.format(self.format).options(**self.read_options)
         if self.path is None:
             return reader.load()
-        return reader.schema(MESSAGE).load(self.path)
+        places = {"timestamp": "file_modification_time", "file": "file_path", "block": "file_block_start"}
+        found = [F.col(f"_metadata.{of}").alias(name) for name, of in places.items()]
+        return reader.schema(MESSAGE).load(self.path).select("*", *found)
 
     def read_batch(self, spark: SparkSession) -> DataFrame:
         """All messages so far."""

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from textflow.functions import envelope
 from textflow.functions.ids import text_id
 from textflow.functions.text import remove_stop_words, tokenize
+from textflow.operators import merge
 from textflow.operators.enricher import Enricher
 from textflow.operators.intake import with_id
 from textflow.operators.store import DocumentStore
@@ -67,10 +68,10 @@ def start_intake(
 
 
 def start_dispatch(
-    messages: DataFrame, to_enrich: Channel, checkpoint: str, trigger: Trigger = None
+    messages: DataFrame, to_enrich: Channel, checkpoint: str, trigger: Trigger = None, tokens: bool = False
 ) -> StreamingQuery:
-    """Complete requests on to the channel of the enrichers."""
-    requests = preprocess(messages)
+    """Complete requests on to the channel of the enrichers, on demand with their tokens."""
+    requests = preprocess(messages, tokens)
     return to_enrich.write_stream(envelope.request_messages(requests), checkpoint, trigger)
 
 
@@ -115,15 +116,30 @@ def start_row_enricher(
 def start_merge(
     messages: DataFrame, store: DocumentStore, checkpoint: str, trigger: Trigger = None
 ) -> StreamingQuery:
-    """Predictions into the store. Kafka's time and offset order updates within a batch."""
-    known = messages.columns
-    placed = messages.select(
-        "value",
-        (F.col("timestamp") if "timestamp" in known else F.lit(None).cast("timestamp")).alias("ts"),
-        (F.col("offset") if "offset" in known else F.lit(0)).cast("long").alias("seq"),
-    )
-    predictions = envelope.predictions_from(placed, "ts", "seq")
-    return _each_batch(predictions, store.add_predictions, checkpoint, trigger)
+    """Predictions into the store; of those of one id and type the last to arrive counts.
+
+    Within a batch a topic's messages are ordered by time and offset, and a folder's by the time and path of their
+    file and their place in it. Messages without such columns have no order and are refused.
+    """
+    order = [c for c in ("timestamp", "offset", "file", "block") if c in messages.columns]
+    if "timestamp" not in order or not {"offset", "file"} & set(order):
+        raise ValueError("the order of messages is unknown: timestamp and offset, or timestamp, file and block")
+    predictions = envelope.predictions_from(messages, *order)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        # Rows of a split are numbered as they follow each other in the file.
+        numbered = batch.withColumn("row", F.monotonically_increasing_id())
+        seq = F.col("offset" if "offset" in order else "row").cast("long")
+        placed = numbered.withColumns({"ts": F.col("timestamp"), "seq": seq})
+        store.add_predictions(placed, batch_id, F.struct(*order, "row"))
+
+    return _each_batch(predictions, work, checkpoint, trigger)
+
+
+def start_bodies(messages: DataFrame, bodies: Channel, checkpoint: str, trigger: Trigger = None) -> StreamingQuery:
+    """Predictions on to a channel as partial documents, for a store outside; incomplete ones are left out."""
+    predictions = envelope.predictions_from(messages).filter("id is not null and type is not null")
+    return bodies.write_stream(merge.body_messages(predictions), checkpoint, trigger)
 
 
 def start_tag_view(
