@@ -4,7 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from textflow.operators import compare, intake, merge, views
+from textflow.operators.enricher import all_predictions
+from textflow.operators.entities import EntityNames
 from textflow.operators.store import DocumentStore
+from textflow.operators.tags import TokenTags
+from textflow.operators.words import TotalWords, WordCount
 from textflow.session import work_folder
 
 
@@ -139,6 +143,20 @@ def test_typed_predictions(spark):
     assert row["SpacyNER"] is None
 
 
+def test_enrichers_declare_the_form_of_what_they_predict(spark, requests):
+    gazetteer = spark.createDataFrame([("Orre", "person")], "phrase string, label string")
+    lexicon = spark.createDataFrame([("a", "DET", "DT")], "word string, pos string, tag string")
+    enrichers = [EntityNames(gazetteer, wrapper="names"), TokenTags(lexicon), WordCount(), TotalWords()]
+    rows = requests(("1", "a Orre a"), ("2", None))
+    stored = views.with_predictions(rows, merge.latest(all_predictions(rows, enrichers), F.lit(0)))
+    found = {r.id: r for r in views.typed(stored, views.forms(enrichers)).collect()}
+    assert set(views.forms(enrichers)) == {"OpenNER", "Tags", "WordCount"}
+    assert [tuple(x) for x in found["1"].OpenNER.names] == [("Orre", "person")]
+    assert found["1"].WordCount == [{"a": 2}, {"Orre": 1}]
+    assert found["1"].Tags["key1"].pos == "DET" and found["1"].Tags["key2"].tag == "X"
+    assert found["2"].Tags is None
+
+
 def test_agreement_counts_documents_with_both(spark):
     wide = spark.createDataFrame([("1", "x", "x"), ("2", "x", "y"), ("3", None, "y")], "id string, A string, B string")
     assert rows(compare.agreement(wide, ["A", "B"]), "type_a", "type_b", "documents", "agreeing") == [("A", "B", 2, 1)]

@@ -18,10 +18,11 @@ class Enricher(ABC):
     """Subclass it, or one of the two adapters below, and implement `enrich`.
 
     `row_local` tells that each prediction needs nothing but its own row, so the enricher runs on a
-    streaming DataFrame as it is.
+    streaming DataFrame as it is. `form` is the type that a structured prediction has before it becomes JSON.
     """
 
     row_local = False
+    form: T.DataType | None = None
 
     def __init__(self, label: str) -> None:
         self.label = label

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textflow.functions import text as X
 from textflow.functions.envelope import from_passages, to_passages
 from textflow.functions.lookup import LookupTable
 from textflow.operators.enricher import Enricher
-from textflow.schemas import ANNOTATION, ANNOTATIONS
+from textflow.schemas import ANNOTATION, ANNOTATIONS, NAMED_ENTITIES
 
 LINK_VALUES = ["entity_id", "entity_name", "entity_type", "rho", "confidence"]
 
@@ -130,6 +131,7 @@ class EntityNames(Enricher):
         """`gazetteer` has the columns `phrase, label`."""
         super().__init__(label)
         self.wrapper = wrapper
+        self.form = NAMED_ENTITIES if wrapper is None else T.StructType().add(wrapper, NAMED_ENTITIES)
         self.table = PhraseTable(gazetteer, ["label"], **limits)
 
     @property
@@ -176,6 +178,8 @@ class EntityLinks(Enricher):
     absent in JSON, where the priors of the phrase add up to 0.
     """
 
+    form = ANNOTATIONS
+
     def __init__(self, entities: DataFrame, label: str = "EntityLinks", **limits: int) -> None:
         """`entities` has the columns `phrase, entity_id, entity_name, entity_type, prior`."""
         super().__init__(label)
@@ -221,6 +225,8 @@ class EntityLinks(Enricher):
 class LinkedEntities(Enricher):
     """Links taken from a ready table of annotations."""
 
+    form = ANNOTATIONS
+
     def __init__(
         self, annotations: DataFrame, label: str = "EntityLinks", keep_unannotated: bool = True
     ) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textflow.functions import text as X
 from textflow.functions.lookup import LookupTable
 from textflow.operators.enricher import Enricher
+from textflow.schemas import TAGGED_TOKENS
 
 # The key of the i-th token is "key<i>", counted from 1.
 KEY_PREFIX = "key"
@@ -17,6 +18,8 @@ UNKNOWN = "X"
 class TokenTags(Enricher):
     """Each token with its tags, as one JSON object `{"key1": {"text", "pos", "tag"}, …}`."""
 
+    form = TAGGED_TOKENS
+
     def __init__(self, lexicon: DataFrame, label: str = "Tags", **limits: int) -> None:
         """`lexicon` has the columns `word, pos, tag`; the first entry of a word counts."""
         super().__init__(label)

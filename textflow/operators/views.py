@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textflow.operators.enricher import Enricher
 from textflow.operators.merge import folded
 from textflow.schemas import TYPED_PREDICTIONS
 
@@ -56,6 +57,11 @@ def typed(stored: DataFrame, types: dict[str, T.DataType] = TYPED_PREDICTIONS) -
     return stored.select("*", *columns)
 
 
+def forms(enrichers: Sequence[Enricher]) -> dict[str, T.DataType]:
+    """The declared forms of the structured predictions of enrichers, by label, for `typed`."""
+    return {e.label: e.form for e in enrichers if e.form is not None}
+
+
 def children(documents: DataFrame, latest_predictions: DataFrame) -> DataFrame:
     """Parent documents next to their child predictions; parents without any stay."""
     return documents.join(latest_predictions.select("id", "type", "prediction"), "id", "left")

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from textflow.functions import text as X
 from textflow.functions.lookup import LookupTable
 from textflow.operators.enricher import ColumnEnricher, Enricher
+from textflow.schemas import WORD_COUNTS
 
 
 class WordCount(Enricher):
     """How often each word that is no stop word occurs; stop words match by case."""
 
+    form = WORD_COUNTS
+
     def __init__(
         self, label: str = "WordCount", stop_words: Sequence[str] | LookupTable | None = None
     ) -> None:

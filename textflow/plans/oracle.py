@@ -285,6 +285,10 @@ SQL: dict[str, str] = {
     "entity_links_large_table": ENTITY_LINKS,
     "entity_links_ready": ENTITY_LINKS,
     "entity_annotations": _with(DOCS, ENTITIES, LINKS) + "SELECT * FROM annotations",
+    "typed_links": _with(DOCS, ENTITIES, LINKS) + "SELECT * FROM annotations",
+    "typed_tags": _with(DOCS, lookups.TAGS.sql("tags"), _words(), TOKENS, TAGGED)
+    + "SELECT t.id, coalesce(n, 0) AS words, key, text, pos, tag FROM tagged t "
+    "LEFT JOIN (SELECT id, count(DISTINCT word) AS n FROM words GROUP BY id) w ON w.id = t.id",
     "annotated_only": _with(DOCS, ENTITIES, LINKS)
     + "SELECT docs.id, docs.text, found AS prediction FROM docs JOIN link_lists ON docs.id = link_lists.id",
     "token_tags": TOKEN_TAGS,

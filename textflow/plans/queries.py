@@ -462,6 +462,27 @@ def typed_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return names.select("id", F.col("place").cast("bigint").alias("place"), "entity.name", "entity.label")
 
 
+@query
+def typed_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored entity links in the form that their enricher declares, one row per link."""
+    rows = documents(spark, folder)
+    linker = EntityLinks(lookups.ENTITIES.frame(spark))
+    stored = views.with_predictions(rows, merge.latest(linker.predictions(rows), F.lit(0)))
+    typed = views.typed(stored, views.forms([linker]))
+    return typed.select(F.col("id").alias("passage_id"), F.inline(linker.label))
+
+
+@query
+def typed_tags(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored tags and word counts in their declared forms: one row per tagged token."""
+    rows = documents(spark, folder)
+    enrichers = [TokenTags(lookups.TAGS.frame(spark)), WordCount()]
+    stored = views.with_predictions(rows, merge.latest(all_predictions(rows, enrichers), F.lit(0)))
+    typed = views.typed(stored, views.forms(enrichers))
+    found = typed.select("id", F.size("WordCount").cast("bigint").alias("words"), F.explode("Tags").alias("key", "token"))
+    return found.select("id", "words", "key", "token.*")
+
+
 # Comparison
 
 

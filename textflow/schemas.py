@@ -14,7 +14,7 @@ API_REQUEST = _strings("type", "text")
 CHAT_MESSAGE = _strings("text")
 REQUEST = _strings("id", "text")
 PREDICTION = _strings("id", "type", "text", "prediction")
-TAGGED_TOKEN = _strings("key", "text", "pos", "tag")
+TAGGED_TOKENS = T.MapType(T.StringType(), _strings("text", "pos", "tag"))
 WORD_COUNTS = T.ArrayType(T.MapType(T.StringType(), T.IntegerType()))
 NAMED_ENTITIES = T.ArrayType(_strings("name", "label"))
 
