@@ -1,7 +1,8 @@
 """From raw documents to shards: language, near-duplicates, benchmark passages, mix of sources, placement.
 
 Each stage takes `(spark, docs, sf_dir)` and returns what the next one works on; it is written as Parquet and
-read again in between. All stages but the last return the columns they were given.
+read again in between. All stages but the last return the columns they were given. The last one's rows are in the
+order of the mix and are not written, as reading files again would not keep it.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that all stages kept, with `slot` and `shard`."""
+    """The documents that all stages kept, with `slot` and `shard`, in the order of the mix."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -143,7 +143,9 @@ def order_by_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def place_on_shards(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return sharding.place(docs, [F.col("doc_id"), F.md5("text")], SHARDS)
+    """Documents with their shard, in the order of the mix: reading what the stage before wrote may lose it."""
+    placed = sharding.place(docs, [F.col("doc_id"), F.md5("text")], SHARDS)
+    return mixing.in_order_of_the_mix(placed, TARGETS, REST)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
