@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import sys
 from collections import Counter
 from pathlib import Path
@@ -10,8 +11,10 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
+import brute  # noqa: E402
+
 import corpus_pipeline  # noqa: E402
-from textflow.llm import mixing, queries  # noqa: E402
+from textflow.llm import decontamination, mixing, queries  # noqa: E402
 
 
 def test_pipeline_returns_rows_in_the_order_of_the_mix(spark):
@@ -48,3 +51,47 @@ def test_pipeline_returns_rows_in_the_order_of_the_mix(spark):
         if any(counts[lane] == len(lanes[lane]) for lane in lanes):
             break
     assert t >= 4 * mixing.BLOCK
+
+
+def held_items(text, items):
+    """Items whose counted five-word shingles are alike to those of a passage by 0.8: plain, or as `brute` weighs them."""
+    words, found = brute.plain_words(text), set(brute.leaks(text, items))
+    cut = lambda w: Counter(tuple(w[k : k + min(5, len(w))]) for k in range(len(w) - min(5, len(w)) + 1))
+    for i, item in items:
+        own = brute.plain_words(item)
+        for k in range(max(1, len(words) - len(own) + 1)):
+            a, b = cut(own), cut(words[k : k + len(own)])
+            if (a & b).total() >= 0.8 * (a | b).total():
+                found.add(i)
+    return found
+
+
+def test_leaks_of_repeated_items_of_one_word_and_of_blocks(spark):
+    choose = random.Random(4)
+    word = lambda: "".join(choose.choice("abcdefghijklm") for _ in range(4))
+    template = [word() for _ in range(60)]
+    half = [word() for _ in range(30)]
+    items = [(i, " ".join(template)) for i in range(4)]
+    items += [(10 + i, " ".join(half + [word() for _ in range(30)])) for i in range(6)]
+    items += [(20, "\u4eca\u65e5\u306f\u826f\u3044\u5929\u6c17"), (21, "single")]
+    edited = [*template[:30], "EDITED", *template[31:]]
+    texts = [
+        " ".join([word(), *edited, word()]),
+        " ".join([word() for _ in range(20)]),
+        f"{word()} {word()}, \u4eca\u65e5\u306f\u826f\u3044\u5929\u6c17 {word()} Single {word()} single",
+        "single",
+    ]
+    for _, item in items[4:7]:
+        words = item.split()
+        texts += [" ".join([word(), *words[:15], "EDITED", *words[16:], word()])]
+        texts += [" ".join([word(), *words[:45], "EDITED", *words[46:], word()])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = {(d, i) for d, text in enumerate(texts) for i in held_items(text, items)}
+    assert {(0, i) for i in range(4)} | {(2, 20), (2, 21), (3, 21)} <= expected and len(expected) == 13
+    seen = []
+    for at_once in (20_000, 6, 2):
+        rows = decontamination.with_leaks(frame, benchmark, items_at_once=at_once).collect()
+        seen.append({(r.doc_id, x.item_id): x.similarity for r in rows for x in r.leaks})
+        assert seen[-1].keys() == expected
+    assert seen[0] == seen[1] == seen[2]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from itertools import combinations
 
 import numpy as np
@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textflow.llm.tables import Texts, WordHashes, add_from_text, shingle_hashes, without
+from textflow.llm.tables import Texts, WordHashes, add_from_text, shingle_hashes, without, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 BITS, BLOCKS, RADIUS = 64, 4, 11
@@ -115,18 +115,20 @@ class HammingIndex:
 
 
 class Items:
-    """Benchmark items, prepared for search: windows by size, and weighted shingles for the verification."""
+    """Benchmark items, prepared for search: windows by size, and weighted shingles for the verification. `held` has
+    the number of items, of this block and all others, that hold a shingle of several items."""
 
-    def __init__(self, rows: list[tuple[int | None, str | None]]) -> None:
+    def __init__(self, rows: list[tuple[int | None, str | None]], held: Mapping[int, int]) -> None:
         words = WordHashes()
         listed = [(i, words.of((text or "").encode().translate(PLAIN))) for i, text in rows]
         listed = [(i, h) for i, h in listed if len(h)]
         self.ids = [i for i, _ in listed]
         self.lengths = [len(h) for _, h in listed]
         self.shingles = [Counter(shingle_hashes(h, SHINGLE).tolist()) for _, h in listed]
-        held = Counter(s for shingles in self.shingles for s in shingles)
         #: A shingle of several items says less about one of them.
         self.weights = {s: float(1.0 / np.sqrt(n)) for s, n in held.items()}
+        self.totals = [shingles.total() for shingles in self.shingles]
+        self.weighed = [sum(self.weights.get(s, 1.0) * n for s, n in x.items()) for x in self.shingles]
         self.plans: dict[tuple[int, bool], tuple[HammingIndex, np.ndarray, np.ndarray]] = {}
         found: dict[tuple[int, bool], list[tuple[int, np.ndarray, np.ndarray]]] = {}
         for k, (_, h) in enumerate(listed):
@@ -134,21 +136,29 @@ class Items:
             pairs = shingle_hashes(h, 2)
             starts = anchored(pairs) if at_anchors else np.arange(len(h))
             starts = starts[starts + size <= len(h)]
-            found.setdefault((size, at_anchors), []).append((k, starts, fingerprints(pairs, starts, size)))
+            base = pairs if size > 1 else shingle_hashes(h, 1)
+            found.setdefault((size, at_anchors), []).append((k, starts, fingerprints(base, starts, size)))
         for plan, parts in found.items():
             owners = np.concatenate([np.full(len(starts), k) for k, starts, _ in parts])
             offsets = np.concatenate([starts for _, starts, _ in parts])
             self.plans[plan] = HammingIndex(np.concatenate([f for _, _, f in parts])), owners, offsets
 
     def similarity(self, k: int, shingles: list[int]) -> float:
-        """Weighted similarity of an item and a passage: the weights of the smaller of both counts over those of the
-        larger."""
-        own, other, both, union = self.shingles[k], Counter(shingles), 0.0, 0.0
-        for s in own.keys() | other.keys():
-            weight = self.weights.get(s, 1.0)
-            both += weight * min(own[s], other[s])
-            union += weight * max(own[s], other[s])
-        return both / union if union else 0.0
+        """Similarity of an item and a passage: the smaller of both counts of each shingle over the larger ones. Once all
+        shingles weigh the same and once by their weights; the higher one counts, so that neither a template that
+        items share hides an edited copy, nor an edit of the template hides the rest."""
+        own = self.shingles[k]
+        if own.keys().isdisjoint(shingles):
+            return 0.0
+        other, weigh = Counter(shingles), self.weights.get
+        both, weighed_both = 0, 0.0
+        for s in own.keys() & other.keys():
+            less = min(own[s], other[s])
+            both += less
+            weighed_both += weigh(s, 1.0) * less
+        union = self.totals[k] + len(shingles) - both
+        weighed_union = self.weighed[k] + sum(weigh(s, 1.0) * n for s, n in other.items()) - weighed_both
+        return max(both / union, weighed_both / weighed_union)
 
 
 def search(items: Items, hashes: np.ndarray, bounds: np.ndarray) -> dict[int, dict[int, tuple[float, int]]]:
@@ -159,10 +169,22 @@ def search(items: Items, hashes: np.ndarray, bounds: np.ndarray) -> dict[int, di
     anchors = anchored(pairs)
     asked: list[tuple[int, int, int]] = []
     largest = max((size for size, _ in items.plans), default=1)
+    singles = shingle_hashes(hashes, 1) if any(size == 1 for size, _ in items.plans) else pairs
     for at in range(0, len(hashes), WORDS_AT_ONCE):
         sums = _sums(pairs[at : at + WORDS_AT_ONCE + largest])
         for (size, at_anchors), (index, owners, offsets) in items.plans.items():
             step = max(1, size - 1)
+            if size == 1:
+                starts = np.arange(at, min(at + WORDS_AT_ONCE, len(hashes)))
+                # A word's fingerprint is its hash, so near ones are other words; the first place in a text will do.
+                prints = singles[starts]
+                query, entry = index.search(prints)
+                same = prints[query] == index.entries[entry]
+                query, entry = query[same], entry[same]
+                in_text = np.searchsorted(bounds, starts[query], side="right")
+                _, first = np.unique(np.stack([in_text, owners[entry]]), axis=1, return_index=True)
+                asked += zip(starts[query[first]].tolist(), owners[entry[first]].tolist(), offsets[entry[first]].tolist(), strict=True)
+                continue
             if at_anchors:
                 starts = anchors[np.searchsorted(anchors, at) : np.searchsorted(anchors, at + WORDS_AT_ONCE)]
             else:
@@ -185,6 +207,25 @@ def search(items: Items, hashes: np.ndarray, bounds: np.ndarray) -> dict[int, di
     return best
 
 
+def _shingles() -> Callable[[Texts], list]:
+    words = WordHashes()
+
+    def distinct(text: bytes) -> list[int]:
+        hashes = words.of(text.translate(PLAIN))
+        return np.unique(shingle_hashes(hashes, SHINGLE)).view(np.int64).tolist() if len(hashes) else []
+
+    return lambda texts: [[distinct(texts[i].tobytes()) for i in range(len(texts))]]
+
+
+def shared_shingles(items: DataFrame, text: str, block: str) -> DataFrame:
+    """`block, shingle, n`: for each block of items its shingles that several items hold, of whatever block, with the
+    number of these items."""
+    each = add_from_text(items, text, "__shingles array<bigint>", _shingles)
+    each = each.select(F.col(block).alias("__block"), F.explode("__shingles").alias("shingle"))
+    counts = each.groupBy("shingle").agg(F.count("*").alias("n"), F.collect_set("__block").alias("__blocks"))
+    return counts.filter("n > 1").select(F.explode("__blocks").alias("block"), "shingle", "n")
+
+
 def _finder(items: Items) -> Callable[[], Callable[[Texts], list]]:
     def begin() -> Callable[[Texts], list]:
         words = WordHashes()
@@ -229,9 +270,10 @@ def with_leaks(
     """Documents with the list of benchmark items that they hold: item, similarity, first word and number of words.
 
     Words are runs of ASCII letters, digits and non-ASCII signs, in ASCII lower case. A document holds an item if the
-    weighted similarity of their five-word shingles, over a passage as long as the item, is 0.8 or more; an
-    item of fewer words is one shingle. Windows of about the item's size start at anchors, are fingerprinted, and
-    all fingerprints within 11 of 64 bits of an item's are verified exactly.
+    similarity of their five-word shingles, over a passage as long as the item, is 0.8 or more, be it plain or
+    with shingles that n items hold weighing 1 / sqrt(n); an item of fewer words is one shingle. Windows of about
+    the item's size start at anchors, are fingerprinted, and all fingerprints within 11 of 64 bits of an item's
+    are verified exactly.
 
     The items are the query set; they are taken in blocks of `items_at_once`, each one pass over the documents in which
     no row leaves its task, however often a passage occurs. Null and empty texts hold nothing, and null or
@@ -242,10 +284,14 @@ def with_leaks(
     count = queries.count()
     blocks = max(1, -(-count // items_at_once))
     found = without(documents, output)
-    of_block = F.pmod(F.xxhash64(item_text), F.lit(blocks))
+    queries = queries.withColumn("__block", F.pmod(F.xxhash64(item_text), F.lit(blocks)))
+    # Counted over all items, so that neither weights nor finds depend on the blocks.
+    shared = written(shared_shingles(queries, item_text, "__block"), "shared_shingles")
     names = []
     for i in range(blocks):
-        items = Items([tuple(r) for r in queries.filter(of_block == i).orderBy(item_id, item_text).collect()])
+        held = {s & (1 << BITS) - 1: n for s, n in shared.filter(F.col("block") == i).select("shingle", "n").collect()}
+        rows = queries.filter(F.col("__block") == i).drop("__block").orderBy(item_id, item_text).collect()
+        items = Items([tuple(r) for r in rows], held)
         names.append(f"__leaks_{i}")
         found = add_from_text(found, text, f"{names[-1]} {LEAKS}", _finder(items))
     return found.withColumn(output, F.concat(*[F.col(n) for n in names])).drop(*names)
