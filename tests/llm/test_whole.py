@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from textflow.llm import decontamination, mixing, queries  # noqa: E402
+from textflow.llm import decontamination, mixing, pii, queries  # noqa: E402
 
 
 def test_pipeline_returns_rows_in_the_order_of_the_mix(spark):
@@ -95,3 +95,27 @@ def test_leaks_of_repeated_items_of_one_word_and_of_blocks(spark):
         seen.append({(r.doc_id, x.item_id): x.similarity for r in rows for x in r.leaks})
         assert seen[-1].keys() == expected
     assert seen[0] == seen[1] == seen[2]
+
+
+def test_accounts_before_capitals_and_context_beyond_other_matches(spark):
+    account, other = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    far = "x" * 41
+    cases = [
+        (f"IBAN {account} BIC COBADEFFXXX", "iban", [account]),
+        (f"IBAN {account} 12 May", "iban", [account]),
+        (f"\u00e9\U0001f600 {account} A transfer", "iban", [account]),
+        (f"{account} {other} {account}", "iban", [account, other, account]),
+        (f"AB12 {account}", "iban", [account]),
+        ("DE88 3704 0044 0532 0130 00 BIC COBADEFFXXX", "iban", []),
+        ("ssn 123-45-6789, 234-56-7890", "ssn", ["123-45-6789", "234-56-7890"]),
+        ("123-45-6789, 234-56-7890 are ssn", "ssn", ["123-45-6789", "234-56-7890"]),
+        (f"ssn {far} 123-45-6789, 234-56-7890 {far} ssn", "ssn", []),
+        ("ssn 123-45-6789, 234-56-7890, 345-67-8901, 456-78-9012", "ssn", ["123-45-6789", "234-56-7890", "345-67-8901"]),
+        ("tel 030 1234 5678, 030 2345 6789", "local_phone", ["030 1234 5678", "030 2345 6789"]),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    for row in pii.find(frame).collect():
+        text, kind, expected = cases[row.doc_id]
+        assert [text[s.start : s.end] for s in row.pii if s.kind == kind] == expected, text
+    scores = [[s.score for s in row.pii if s.kind == "iban"] for row in pii.find(frame).orderBy("doc_id").collect()]
+    assert scores[0] == [1.0] and scores[2] == [0.9]

@@ -33,12 +33,18 @@ class Kind:
 # match ended (`\G`), so a long run without a match is read once. The kinds of the base come first and are
 # always kept when their check holds.
 _WORD, _NAME = r"A-Za-z0-9._%+-", r"A-Za-z0-9-"
+# The longest run of groups that an account number may begin. Its match is the first letter, so that runs may overlap;
+# group 1 is the run with what follows it.
+_ACCOUNT = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+ACCOUNT_SIGNS = (15, 34)
+# Matches that may begin within `NEARBY` signs before one: none has fewer signs than two with what parts it from the next.
+MATCHES_NEARBY = NEARBY // 2
 KINDS = (
     Kind("email", rf"(?:(?<![{_WORD}])|\G)[{_WORD}]++@[{_NAME}]++(?:\.[{_NAME}]++)++", "@", 0.9, 0.1, "mail|contact|schreib|correo|courriel"),
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]++\.", 0.6, 0.3, r"\bip\b|address|server|host|adresse|direcci"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){11,}+", r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", 0.8, 0.2, "card|visa|master|credit|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7, 0.3, "phone|call|tel|mobil|ruf|appel|llam"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}", 0.9, 0.1, "iban|account|bank|konto|compte|cuenta"),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=({_ACCOUNT}[\s\S]{{0,{NEARBY}}}))[A-Z]", r"[A-Z]{2}[0-9]{2}", 0.9, 0.1, "iban|account|bank|konto|compte|cuenta"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9]{2}-[0-9]", 0.3, 0.4, "ssn|social security|sozialvers|seguridad social"),
     Kind("local_phone", r"(?<![0-9+().-])\(?[0-9]{2,4}\)?[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}(?![0-9-])", r"[0-9]{2}\)?[\x20-][0-9]{3}", 0.3, 0.4, "phone|call|tel|mobil|ruf|appel|llam"),
 )
@@ -98,8 +104,93 @@ def _confirmed(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(text: Column, kind: Kind, place: int) -> Column:
-    """Accepted spans of one kind: the text between matches and the matches themselves give the offsets."""
+def _before(gaps: Column, found: Column, i: Column) -> Column:
+    """The last `NEARBY` signs of the text before match `i`, from the ends of the pieces before it."""
+    first = F.greatest(i - MATCHES_NEARBY, F.lit(0))
+    pieces = F.transform(
+        F.sequence(first, i),
+        lambda k: F.concat(F.right(F.get(gaps, k), F.lit(NEARBY)), F.when(k < i, F.right(F.get(found, k), F.lit(NEARBY))).otherwise("")),
+    )
+    return F.right(F.array_join(pieces, ""), F.lit(NEARBY))
+
+
+def _after(gaps: Column, found: Column, i: Column) -> Column:
+    """The first `NEARBY` signs of the text after match `i`."""
+    last = F.least(i + MATCHES_NEARBY, F.size(found) - 1)
+    pieces = F.transform(
+        F.sequence(i, last),
+        lambda k: F.concat(F.when(k > i, F.left(F.get(found, k), F.lit(NEARBY))).otherwise(""), F.left(F.get(gaps, k + 1), F.lit(NEARBY))),
+    )
+    return F.left(F.array_join(pieces, ""), F.lit(NEARBY))
+
+
+def _score(kind: Kind, before: Column, after: Column) -> Column:
+    near = F.concat(before, F.lit(" "), after)
+    return F.round(F.lit(kind.score) + F.when(F.lower(near).rlike(kind.context), kind.boost).otherwise(0.0), 2)
+
+
+def _span(kind: Kind, place: int, start: Column, end: Column, score: Column) -> Column:
+    return F.struct(
+        start.cast("int").alias("start"),
+        F.lit(place).alias("place"),
+        F.lit(kind.name).alias("kind"),
+        end.cast("int").alias("end"),
+        score.alias("score"),
+    )
+
+
+def _accounts(text: Column, kind: Kind, place: int) -> Column:
+    """Account numbers: from each place where one may begin, the longest run of whole groups with the remainder 1. What
+    begins inside an accepted one is left out."""
+
+    def located(runs: Column) -> Column:
+        def of_gaps(gaps: Column) -> Column:
+            letters = F.transform(runs, lambda r: F.left(r, F.lit(1)))
+            ends = running_sums(F.transform(runs, lambda r, i: F.length(F.get(gaps, i)) + 1))
+
+            def with_ends(ends: Column) -> Column:
+                def span(run: Column, i: Column) -> Column:
+                    def of_account(account: Column) -> Column:
+                        start = F.get(ends, i) - 1
+                        n = F.length(account)
+                        after = F.substring(run, n + 1, F.lit(NEARBY))
+                        score = _score(kind, _before(gaps, letters, i), after)
+                        return F.when(account.isNotNull(), _span(kind, place, start, start + n, score))
+
+                    def of_groups(groups: Column) -> Column:
+                        heads = F.transform(
+                            F.sequence(F.size(groups), F.lit(1)), lambda k: F.array_join(F.slice(groups, F.lit(1), k), " ")
+                        )
+                        signs = lambda h: F.length(F.replace(h, F.lit(" "), F.lit("")))
+                        good = F.filter(heads, lambda h: signs(h).between(*ACCOUNT_SIGNS) & _confirmed(kind.name, h))
+                        return bind(F.get(good, F.lit(0)), of_account)
+
+                    return bind(F.split(F.regexp_extract(run, "^" + _ACCOUNT, 0), " "), of_groups)
+
+                return F.filter(F.transform(runs, span), lambda s: s.isNotNull() & (s["score"] >= ACCEPTED))
+
+            return bind(ends, with_ends)
+
+        return bind(F.split(text, kind.pattern, -1), of_gaps).cast(SPANS)
+
+    def apart(spans: Column) -> Column:
+        taken = lambda kept, s: F.coalesce(F.element_at(kept, F.size(kept))["end"] > s["start"], F.lit(False))
+        one_by_one = F.aggregate(
+            spans,
+            F.array().cast(SPANS),
+            lambda kept, s: F.when((F.size(kept) > 0) & taken(kept, s), kept).otherwise(F.concat(kept, F.array(s))).cast(SPANS),
+        )
+        return F.when(F.size(spans) < 2, spans).otherwise(one_by_one)
+
+    return bind(
+        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1)),
+        lambda runs: F.when(F.size(runs) > 0, bind(located(runs), apart)).otherwise(F.array().cast(SPANS)),
+    )
+
+
+def _matches(text: Column, kind: Kind, place: int) -> Column:
+    """Accepted spans of a kind whose matches are its spans: the text between matches and the matches themselves give
+    the offsets."""
 
     def located(found: Column) -> Column:
         def of_gaps(gaps: Column) -> Column:
@@ -108,49 +199,35 @@ def _spans(text: Column, kind: Kind, place: int) -> Column:
             def with_ends(ends: Column) -> Column:
                 def span(m: Column, i: Column) -> Column:
                     end = F.get(ends, i)
-                    start = end - F.length(m)
-                    # Only the text since the last match and up to the next is looked at.
-                    near = F.concat(
-                        F.right(F.get(gaps, i), F.lit(NEARBY)), F.lit(" "), F.left(F.get(gaps, i + 1), F.lit(NEARBY))
-                    )
-                    score = F.round(
-                        F.lit(kind.score) + F.when(F.lower(near).rlike(kind.context), kind.boost).otherwise(0.0), 2
-                    )
-                    return F.struct(
-                        start.cast("int").alias("start"),
-                        F.lit(place).alias("place"),
-                        F.lit(kind.name).alias("kind"),
-                        end.cast("int").alias("end"),
-                        score.alias("score"),
-                        m.alias("found"),
-                    )
-
-                return F.transform(found, span)
+                    score = _score(kind, _before(gaps, found, i), _after(gaps, found, i))
+                    return F.when(_confirmed(kind.name, m), _span(kind, place, end - F.length(m), end, score))
+
+                return F.filter(F.transform(found, span), lambda s: s.isNotNull() & (s["score"] >= ACCEPTED))
 
             return bind(running_sums(moved), with_ends)
 
-        every = bind(F.split(text, kind.pattern, -1), of_gaps)
-        good = F.filter(every, lambda s: _confirmed(kind.name, s["found"]) & (s["score"] >= ACCEPTED))
-        return F.transform(
-            good, lambda s: F.struct(s["start"], s["place"], s["kind"], s["end"], s["score"])
-        ).cast(SPANS)
+        return bind(F.split(text, kind.pattern, -1), of_gaps).cast(SPANS)
 
-    nothing = F.array().cast(SPANS)
-    matches = bind(
+    return bind(
         F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
-        lambda found: F.when(F.size(found) > 0, located(found)).otherwise(nothing),
+        lambda found: F.when(F.size(found) > 0, located(found)).otherwise(F.array().cast(SPANS)),
     )
+
+
+def _spans(text: Column, kind: Kind, place: int) -> Column:
+    spans = (_accounts if kind.name == "iban" else _matches)(text, kind, place)
     hinted = F.contains(text, F.lit("@")) if kind.hint == "@" else text.rlike(kind.hint)
-    return F.when(hinted, matches).otherwise(nothing)
+    return F.when(hinted, spans).otherwise(F.array().cast(SPANS))
 
 
 def find(rows: DataFrame, text: str = "text", output: str = "pii") -> DataFrame:
     """Rows with all spans of personal data in the whole text, as a list of (start, place of the kind, kind, end,
     score) in the order of start and kind; offsets are code points, the end exclusive.
 
-    Per kind, matches are leftmost and don't overlap; a match that fails its check is dropped and not tried again.
-    The base kinds are always kept then; `iban` needs the remainder 1 of 97; `ssn` and `local_phone` are
-    weak patterns, which only a context word nearby makes count. Null and empty texts have no spans. All work is in
+    Per kind, spans are leftmost and don't overlap; a match that fails its check is dropped and not tried again.
+    The base kinds are always kept then. Signs after an `iban` may look like more of it: the longest run of
+    whole groups with the remainder 1 of 97 counts. `ssn` and `local_phone` are weak patterns, which only a context
+    word within 40 code points of text makes count, whatever else stands between. Null and empty texts have no spans. All work is in
     the row and nearly linear in its length, so copies and frequent values cost no shuffle.
     A column of the output's name is replaced.
     """
