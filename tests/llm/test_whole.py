@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from textflow.llm import decontamination, mixing, pii, queries  # noqa: E402
+from textflow.llm import decontamination, mixing, pii, queries, url_filter  # noqa: E402
 
 
 def test_pipeline_returns_rows_in_the_order_of_the_mix(spark):
@@ -119,3 +119,26 @@ def test_accounts_before_capitals_and_context_beyond_other_matches(spark):
         assert [text[s.start : s.end] for s in row.pii if s.kind == kind] == expected, text
     scores = [[s.score for s in row.pii if s.kind == "iban"] for row in pii.find(frame).orderBy("doc_id").collect()]
     assert scores[0] == [1.0] and scores[2] == [0.9]
+
+
+def test_links_in_capitals_count(spark):
+    pages = [(1, "http://a.org/fr/", "<A HREF='HTTP://B.info/x'>"), (2, "http://c.info/", '<a Href="http://d.net/">'), (3, "http://d.net/", ""), (4, "http://b.info/", "")]
+    rows = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), queries.RULES).collect()
+    found = {r.page_id: r for r in rows}
+    assert found[4].trust > 0 and found[4].verdict == "allow"
+    assert found[2].distrust > 0 and found[2].verdict == "block"
+
+
+def test_ranks_go_on_until_they_are_settled(spark):
+    """A chain of hosts longer than any fixed number of rounds that was set, and a circle that keeps its mass."""
+    links = [(f"h{i}", f"h{i + 1}") for i in range(30)] + [("x", "y"), ("y", "x")]
+    seeds = [("h0", 0.5, 0.0), ("x", 0.5, 0.0), ("h30", 0.0, 1.0)]
+    ranks = url_filter.spread(
+        spark.createDataFrame(links, "src string, dst string"),
+        spark.createDataFrame(seeds, "host string, trusted double, blocked double"),
+    )
+    found = {r.host: r for r in ranks.collect()}
+    for i in range(31):
+        assert abs(found[f"h{i}"].trust - 0.5 * 0.15 * 0.85**i) < 1e-9
+        assert abs(found[f"h{i}"].distrust - 0.15 * 0.85 ** (30 - i)) < 1e-9
+    assert abs(found["x"].trust - 0.5 / 1.85) < 2e-6 and abs(found["y"].trust - 0.5 * 0.85 / 1.85) < 2e-6

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from textflow.llm.tables import lower_ascii, without, written
 
 DAMPING = 0.85
-ROUNDS = 12
+# Rounds go on until the summed change of all ranks, between two times that they are written, is below this.
+TOLERANCE = 1e-6
 # Rounds after which the ranks are written, so that plans stay short and a lost executor costs few rounds.
 WRITE_EVERY = 4
 # How much more distrust than trust a host must have to be blocked.
 THRESHOLD = 1.0
-HREF = r"""href\s*+=\s*+["']?(?:[A-Za-z][A-Za-z0-9+.-]*+:)?//([^/?#"'\s<>]++)"""
+HREF = r"""(?i)href\s*+=\s*+["']?(?:[A-Za-z][A-Za-z0-9+.-]*+:)?//([^/?#"'\s<>]++)"""
 
 
 @dataclass(frozen=True)
@@ -86,12 +87,16 @@ def host_links(judged: DataFrame, html: str) -> DataFrame:
     )
 
 
-def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """`host, trust, distrust`: personalised PageRank. `seeds` has `host, trusted, blocked`, shares that add up to 1.
 
     Trust follows links, divided among the targets; distrust goes against them, from a blocked host to those that
     link to it. A round is one join on the sender and one sum by the receiver, partial in each task. Mass of
     hosts without links is not passed on. No links or seeds give empty ranks.
+
+    Rounds end when no further host was reached and the ranks, two for each host, changed by less than `tolerance` in all
+    over the last `WRITE_EVERY` rounds; what is then missing is about as much. Their number grows with
+    the logarithm of the tolerance and with the longest way from a seed.
     """
     arcs = links.select(F.lit("t").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b")).union(
         links.select(F.lit("d"), F.col("dst"), F.col("src"))
@@ -105,13 +110,20 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
         )).alias("x")).select("x.kind", F.col("host").alias("a"), "x.mass").filter("mass > 0"),
         "seeds",
     )
-    ranks = start
-    for i in range(1, rounds + 1):
-        passed = ranks.join(arcs, ["kind", "a"]).select("kind", F.col("b").alias("a"), (F.col("mass") * F.col("share") * damping).alias("mass"))
-        again = start.select("kind", "a", (F.col("mass") * (1 - damping)).alias("mass"))
-        ranks = passed.union(again).groupBy("kind", "a").agg(F.sum("mass").alias("mass"))
-        if i % WRITE_EVERY == 0 and i < rounds:
-            ranks = written(ranks, "ranks")
+    again = start.select("kind", "a", (F.col("mass") * (1 - damping)).alias("mass"))
+    ranks, reached = start, -1
+    while True:
+        last = ranks
+        for _ in range(WRITE_EVERY):
+            passed = ranks.join(arcs, ["kind", "a"]).select("kind", F.col("b").alias("a"), (F.col("mass") * F.col("share") * damping).alias("mass"))
+            ranks = passed.union(again).groupBy("kind", "a").agg(F.sum("mass").alias("mass"))
+        ranks = written(ranks, "ranks")
+        both = ranks.select("kind", "a", "mass").union(last.select("kind", "a", -F.col("mass")))
+        changes = both.groupBy("kind", "a").agg(F.abs(F.sum("mass")).alias("change"))
+        n, change = changes.agg(F.count("*"), F.sum("change")).first()
+        if n == reached and (change or 0.0) < tolerance:
+            break
+        reached = n
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0))
     return ranks.groupBy(F.col("a").alias("host")).agg(of("t").alias("trust"), of("d").alias("distrust"))
 
@@ -122,7 +134,7 @@ def judge(
     url: str = "url",
     html: str = "html",
     threshold: float = THRESHOLD,
-    rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """Pages with `host`, `path`, `rule`, `verdict`, `trust`, `distrust`.
 
@@ -142,7 +154,7 @@ def judge(
     totals = counts.agg(F.sum("allowed"), F.sum("denied")).first()
     share = lambda name, total: F.col(name) / F.lit(float(total or 1))
     seeds = counts.select("host", share("allowed", totals[0]).alias("trusted"), share("denied", totals[1]).alias("blocked"))
-    ranks = written(spread(host_links(judged, html), seeds, rounds=rounds), "host_ranks")
+    ranks = written(spread(host_links(judged, html), seeds, tolerance=tolerance), "host_ranks")
     ranks = ranks.select(F.col("host").alias("__host"), "trust", "distrust")
     kept = judged.drop(html) if html in judged.columns else judged
     known = kept.join(ranks, F.col("host") == F.col("__host"), "left").drop("__host")
