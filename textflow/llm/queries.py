@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from textflow.llm import (
     decontamination,
+    hard_negatives,
     language,
+    licenses,
     mixing,
     near_duplicates,
     pii,
     sharding,
+    spelling,
     syncmers,
     toxicity,
     url_filter,
@@ -120,6 +123,36 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out(TOXICITY_FOLD).alias("held_out"), "score", predicted)
 
 
+def op11_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Phrases and notices in every document: `n_base` places of phrases, labels, and the blocks that hold a notice."""
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    starts = F.transform("places", lambda p: p["start"].cast("bigint"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        F.size("blocks").cast("bigint").alias("n_blocks"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every 50th vector among all vectors; every 7th vector has the next label."""
+    given = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = given.withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, id="vec_id", vector="embedding")
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with the more frequent words at one edit that they are variants of."""
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 # Stages of the pipeline: each takes documents and returns documents.
 
 
@@ -161,5 +194,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_urls,
         op10_toxicity,
+        op11_licenses,
+        op12_hard_negatives,
+        op13_spelling,
     )
 }
