@@ -79,7 +79,7 @@ def word_counts(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return given.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def pivots(grams: list[tuple[int, int]], costs: list[int], size: int = GRAM, picks: int = EDITS + 1) -> list[int]:
+def pivots(grams: list[tuple[int, ...]], costs: list[int], size: int = GRAM, picks: int = EDITS + 1) -> list[int]:
     """Which of the grams `(place, …)`, in the order of places, to pick: `picks` that do not overlap, at the least cost.
 
     `best[k][i]` is the least cost of k of the first i grams; a gram is left out, or added to the best choice
@@ -96,22 +96,23 @@ def pivots(grams: list[tuple[int, int]], costs: list[int], size: int = GRAM, pic
     return list(best[picks][n][1])
 
 
-def prefixes_and_pivots(word: str, rank: dict[str, int], cost: dict[str, int]) -> list[tuple[str, int, int, bool]]:
-    """`(gram, place, rank of the prefix's last gram, is a pivot)` for the grams of a word's prefix.
+def prefixes_and_pivots(word: str, rank: dict[str, int], cost: dict[str, int]) -> list[tuple[int, int, int]]:
+    """`(place, rank of the prefix's last gram, which pivot)` for the grams of a word's prefix: 1 and 2 are the pivots in
+    the order of their places, 0 the others.
 
     The prefix are the first `EDITS * GRAM + 1` grams in the global order, and all others that equal its last one. One
     edit changes at most one of the pivots, as these do not overlap. So of two words at one edit, a pivot of the one whose
-    prefix ends first in the global order is in the prefix of the other, at most one place off.
+    prefix ends first in the global order is in the prefix of the other.
     """
     grams = [(rank[word[i : i + GRAM]], i) for i in range(len(word) - GRAM + 1)]
     last = sorted(grams)[EDITS * GRAM][0]
-    prefix = sorted((i, word[i : i + GRAM]) for r, i in grams if r <= last)
-    chosen = set(pivots(prefix, [cost[g] for _, g in prefix]))
-    return [(g, i, last, k in chosen) for k, (i, g) in enumerate(prefix)]
+    places = [i for r, i in grams if r <= last]
+    chosen = pivots([(i,) for i in places], [cost[word[i : i + GRAM]] for i in places])
+    return [(i, last, chosen.index(k) + 1 if k in chosen else 0) for k, i in enumerate(places)]
 
 
 def _indexed(words: DataFrame) -> DataFrame:
-    """`word, n, gram, place, last, pivot` for the prefix grams of the words."""
+    """`word, n, place, last, pivot` for the prefix grams of the words."""
     grams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substr("word", i, F.lit(GRAM)))).alias("gram"))
     # At most one row for each pair of letters.
     seen = grams.groupBy("gram").agg(F.count("*").alias("n")).collect()
@@ -127,37 +128,37 @@ def _indexed(words: DataFrame) -> DataFrame:
                 for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
                 for entry in prefixes_and_pivots(word, rank, cost)
             ]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            types = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.bool_())
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["word", "n", "gram", "place", "last", "pivot"]
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["word", "n", "place", "last", "pivot"]
             )
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, gram string, place int, last int, pivot boolean")
+    return words.select("word", "n").mapInArrow(run, "word string, n long, place int, last int, pivot int")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """`word, n, other, m`: all pairs of different words `word, n` at exactly one edit, in both directions.
 
-    Places of equal grams differ by the edit before them: not at all where the lengths are equal, and at most
-    by the difference where one is longer. So a pivot asks for five combinations of length and place, and rows meet
-    by gram, place and length at once; the edit is verified inside the join, which makes rows for pairs alone.
+    An edit behind the first pivot leaves the word up to that pivot as it is; any other one lies before the second pivot
+    and leaves the word from that pivot on. So the place of the first pivot may not differ from the front, that of the
+    second not from the end, and lengths differ by one at most: these limits, with the letters they fix, are the key
+    on which pivots meet the grams of other words' prefixes. The edit is verified inside the join, which makes
+    rows for pairs alone.
     """
     index = written(_indexed(words), "grams")
-    asked = index.filter("pivot").select(
-        F.col("word").alias("a"), F.col("n").alias("a_n"), "gram", F.col("last").alias("a_last"),
-        F.explode(F.array(*[
-            F.struct((F.length("word") + longer).alias("length"), (F.col("place") + later).alias("place"))
-            for longer, later in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))
-        ])).alias("at"),
-    ).select("a", "a_n", "gram", "a_last", "at.*")
-    held = index.select(
-        F.col("word").alias("b"), F.col("n").alias("b_n"), "gram", "place", F.length("word").alias("length"),
-        F.col("last").alias("b_last"),
-    )
-    on = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.place") == F.col("y.place")) & (F.col("x.length") == F.col("y.length"))
+    front = F.struct(F.lit(1).alias("side"), F.substr("word", F.lit(1), F.col("place") + GRAM).alias("part"))
+    end = F.struct(F.lit(2).alias("side"), F.substr("word", F.col("place") + 1).alias("part"))
+    lengths = F.explode(F.array(*[F.length("word") + longer for longer in (-1, 0, 1)])).alias("length")
+    asked = index.filter("pivot > 0").withColumn("at", F.when(F.col("pivot") == 1, front).otherwise(end))
+    asked = asked.select(F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"), "at.*", lengths)
+    held = index.select("*", F.explode(F.array(front, end)).alias("at"))
+    held = held.select(
+        F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"), "at.*", F.length("word").alias("length")
+    )
+    on = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("side", "part", "length")]
     near = (F.col("a_last") <= F.col("b_last")) & (F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS)
-    met = asked.alias("x").join(held.alias("y"), on & near).select("a", "a_n", "b", "b_n")
+    met = asked.alias("x").join(held.alias("y"), on[0] & on[1] & on[2] & near).select("a", "a_n", "b", "b_n")
     both = met.union(met.select("b", "b_n", "a", "a_n")).distinct()
     return both.toDF("word", "n", "other", "m")
 
