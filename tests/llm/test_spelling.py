@@ -80,10 +80,11 @@ def test_pivots_do_not_overlap_and_cost_least():
     choose = random.Random(8)
     for _ in range(300):
         places = sorted(choose.sample(range(12), choose.randint(3, 6)))
-        costs = [choose.randint(1, 9) for _ in places]
-        a, b = spelling.pivots([(p,) for p in places], costs)
+        costs = [[choose.randint(1, 9) for _ in places] for _ in range(2)]
+        a, b = spelling.pivots(places, costs)
         assert places[b] - places[a] >= 2
-        assert costs[a] + costs[b] == min(costs[i] + costs[j] for i, j in combinations(range(len(places)), 2) if places[j] - places[i] >= 2)
+        pairs = [(i, j) for i, j in combinations(range(len(places)), 2) if places[j] - places[i] >= 2]
+        assert costs[0][a] + costs[1][b] == min(costs[0][i] + costs[1][j] for i, j in pairs)
 
 
 def test_odd_rows(spark):

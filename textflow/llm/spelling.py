@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,18 +29,19 @@ MOST_GRAMS = 16_384
 MOST_ROUNDS = 70
 
 
-def _runs(text: str) -> Iterator[str]:
-    """The lower-cased runs of a text, whose letters are never all held at once."""
+def _runs(text: str) -> Iterable[str]:
+    """The lower-cased runs of a text; those of a very long text are never all held at once."""
     if len(text) <= PIECE:
-        yield from RUN.findall(text.translate(LOWERED))
-        return
-    for found in RUN.finditer(text):
-        yield found.group().translate(LOWERED)
+        return RUN.findall(_lowered(text))
+    return (_lowered(found.group()) for found in RUN.finditer(text))
 
 
-def observed(doc_id: str, run: str, one_in: int = MISSPELLED_ONE_IN) -> str:
-    """The run as it counts for a document: one in `one_in` (document, run) pairs loses a letter, chosen by the hash."""
-    h = zlib.crc32(f"{doc_id}:{run}".encode())
+def _lowered(text: str) -> str:
+    return text.lower() if text.isascii() else text.translate(LOWERED)
+
+
+def observed(run: str, h: int, one_in: int = MISSPELLED_ONE_IN) -> str:
+    """The run as it counts for a document: one in `one_in` (document, run) pairs loses a letter, chosen by their hash."""
     if h % one_in:
         return run
     at = h % len(run)
@@ -64,11 +65,11 @@ def word_counts(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
             for id, whole in zip(batch.column(0), batch.column(1), strict=True):
                 if not whole.is_valid:
                     continue
-                id = id.as_py()
+                begun = zlib.crc32(f"{id.as_py()}:".encode())
                 # A run counts alike wherever it stands in a document.
                 for word, n in Counter(_runs(whole.as_py())).items():
                     if len(word) >= shortest:
-                        word = observed(id, word)
+                        word = observed(word, zlib.crc32(word.encode(), begun))
                         if len(word) >= shortest:
                             counts[word] += n
                 if len(counts) >= WORDS_AT_ONCE:
@@ -79,62 +80,88 @@ def word_counts(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return given.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def pivots(grams: list[tuple[int, ...]], costs: list[int], size: int = GRAM, picks: int = EDITS + 1) -> list[int]:
-    """Which of the grams `(place, …)`, in the order of places, to pick: `picks` that do not overlap, at the least cost.
+def pivots(places: list[int], costs: list[list[float]], size: int = GRAM) -> list[int]:
+    """Which grams to pick: one for each list of costs, in the order of their places, none overlapping, at the least cost.
 
-    `best[k][i]` is the least cost of k of the first i grams; a gram is left out, or added to the best choice
-    among those that end before it.
+    `best[i]` is the least cost of the picks so far among the first i grams; a gram is left out, or added to the best
+    choice among those that end before it.
     """
-    n = len(grams)
-    none = (float("inf"), ())
-    best = [[(0, ())] * (n + 1)] + [[none] * (n + 1) for _ in range(picks)]
-    for k in range(1, picks + 1):
-        for i in range(1, n + 1):
-            ended = sum(1 for g in grams[: i - 1] if g[0] + size <= grams[i - 1][0])
-            cost, chosen = best[k - 1][ended]
-            best[k][i] = min(best[k][i - 1], (cost + costs[i - 1], (*chosen, i - 1)))
-    return list(best[picks][n][1])
-
-
-def prefixes_and_pivots(word: str, rank: dict[str, int], cost: dict[str, int]) -> list[tuple[int, int, int]]:
-    """`(place, rank of the prefix's last gram, which pivot)` for the grams of a word's prefix: 1 and 2 are the pivots in
-    the order of their places, 0 the others.
-
-    The prefix are the first `EDITS * GRAM + 1` grams in the global order, and all others that equal its last one. One
-    edit changes at most one of the pivots, as these do not overlap. So of two words at one edit, a pivot of the one whose
-    prefix ends first in the global order is in the prefix of the other.
-    """
-    grams = [(rank[word[i : i + GRAM]], i) for i in range(len(word) - GRAM + 1)]
-    last = sorted(grams)[EDITS * GRAM][0]
-    places = [i for r, i in grams if r <= last]
-    chosen = pivots([(i,) for i in places], [cost[word[i : i + GRAM]] for i in places])
-    return [(i, last, chosen.index(k) + 1 if k in chosen else 0) for k, i in enumerate(places)]
+    best: list[tuple] = [(0.0, ())] * (len(places) + 1)
+    for cost in costs:
+        before, best = best, [(float("inf"), ())]
+        for i, place in enumerate(places):
+            ended = sum(1 for p in places[:i] if p + size <= place)
+            total, chosen = before[ended]
+            best.append(min(best[i], (total + cost[i], (*chosen, i))))
+    return list(best[-1][1])
+
+
+class Grams:
+    """How frequent bigrams are among the words: their global order, and how many words share a part of a word."""
+
+    def __init__(self, counts: dict[str, int]) -> None:
+        if len(counts) > MOST_GRAMS:
+            raise ValueError("words of other letters than expected")
+        self.counts = counts
+        self.rank = {g: k for k, g in enumerate(sorted(counts, key=lambda g: (counts[g], g)))}
+        self.first, self.second = Counter(), Counter()
+        for gram, n in counts.items():
+            self.first[gram[0]] += n
+            self.second[gram[1]] += n
+
+    def prefix(self, word: str) -> list[tuple[int, int, int]]:
+        """`(place, rank of the prefix's last gram, which pivot)` for the grams of a word's prefix: 1 and 2 are the
+        pivots in the order of their places, 0 the others.
+
+        The prefix are the first `EDITS * GRAM + 1` grams in the global order, and all others that equal its last one.
+        One edit changes at most one of the pivots, as these do not overlap. So of two words at one edit, a pivot of the
+        one whose prefix ends first in the global order is in the prefix of the other. Pivots are chosen for rare
+        grams in rare surroundings: by the expected number of words that share the letters up to the first, and from
+        the second on.
+        """
+        grams = [word[i : i + GRAM] for i in range(len(word) - GRAM + 1)]
+        ranks = [self.rank[g] for g in grams]
+        last = sorted(ranks)[EDITS * GRAM]
+        up_to = [float(self.counts[grams[0]])]
+        for gram in grams[1:]:
+            up_to.append(up_to[-1] * self.counts[gram] / self.first[gram[0]])
+        from_on = [float(self.counts[grams[-1]])]
+        for gram in reversed(grams[:-1]):
+            from_on.append(from_on[-1] * self.counts[gram] / self.second[gram[1]])
+        from_on.reverse()
+        places = [i for i, r in enumerate(ranks) if r <= last]
+        chosen = pivots(places, [[up_to[i] for i in places], [from_on[i] for i in places]])
+        return [(i, last, chosen.index(k) + 1 if k in chosen else 0) for k, i in enumerate(places)]
+
+
+def letters(word: str) -> int:
+    """The letters that a word has, as bits of a signed number. One edit changes two of them at most."""
+    bits = 0
+    for letter in set(word):
+        bits |= 1 << ord(letter) % 64
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 def _indexed(words: DataFrame) -> DataFrame:
-    """`word, n, place, last, pivot` for the prefix grams of the words."""
+    """`word, n, letters, place, last, pivot` for the prefix grams of the words."""
     grams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substr("word", i, F.lit(GRAM)))).alias("gram"))
     # At most one row for each pair of letters.
-    seen = grams.groupBy("gram").agg(F.count("*").alias("n")).collect()
-    if len(seen) > MOST_GRAMS:
-        raise ValueError("words of other letters than expected")
-    cost = {r.gram: r.n for r in seen}
-    rank = {g: k for k, g in enumerate(sorted(cost, key=lambda g: (cost[g], g)))}
+    known = Grams({r.gram: r.n for r in grams.groupBy("gram").agg(F.count("*").alias("n")).collect()})
+    schema = "word string, n long, letters long, place int, last int, pivot int"
+    names, types = ["word", "n", "letters", "place", "last", "pivot"], (pa.string(), *[pa.int64()] * 2, *[pa.int32()] * 3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (word, n, *entry)
+                (word, n, bits, *entry)
                 for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for entry in prefixes_and_pivots(word, rank, cost)
+                for bits in (letters(word),)
+                for entry in known.prefix(word)
             ]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["word", "n", "place", "last", "pivot"]
-            )
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, place int, last int, pivot int")
+    return words.select("word", "n").mapInArrow(run, schema)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -143,21 +170,22 @@ def near_pairs(words: DataFrame) -> DataFrame:
     An edit behind the first pivot leaves the word up to that pivot as it is; any other one lies before the second pivot
     and leaves the word from that pivot on. So the place of the first pivot may not differ from the front, that of the
     second not from the end, and lengths differ by one at most: these limits, with the letters they fix, are the key
-    on which pivots meet the grams of other words' prefixes. The edit is verified inside the join, which makes
-    rows for pairs alone.
+    on which pivots meet the grams of other words' prefixes. Words that differ in more letters than an edit can change
+    are no pair; for the others the edit is verified inside the join, which makes rows for pairs alone.
     """
     index = written(_indexed(words), "grams")
     front = F.struct(F.lit(1).alias("side"), F.substr("word", F.lit(1), F.col("place") + GRAM).alias("part"))
     end = F.struct(F.lit(2).alias("side"), F.substr("word", F.col("place") + 1).alias("part"))
     lengths = F.explode(F.array(*[F.length("word") + longer for longer in (-1, 0, 1)])).alias("length")
     asked = index.filter("pivot > 0").withColumn("at", F.when(F.col("pivot") == 1, front).otherwise(end))
-    asked = asked.select(F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"), "at.*", lengths)
+    asked = asked.select(F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"), F.col("letters").alias("a_letters"), "at.*", lengths)
     held = index.select("*", F.explode(F.array(front, end)).alias("at"))
     held = held.select(
-        F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"), "at.*", F.length("word").alias("length")
+        F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"), F.col("letters").alias("b_letters"), "at.*", F.length("word").alias("length")
     )
     on = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("side", "part", "length")]
-    near = (F.col("a_last") <= F.col("b_last")) & (F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS)
+    few = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2 * EDITS
+    near = (F.col("a_last") <= F.col("b_last")) & few & (F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS)
     met = asked.alias("x").join(held.alias("y"), on[0] & on[1] & on[2] & near).select("a", "a_n", "b", "b_n")
     both = met.union(met.select("b", "b_n", "a", "a_n")).distinct()
     return both.toDF("word", "n", "other", "m")
