@@ -11,12 +11,14 @@ UNKNOWN_ID = "no document with this id"
 
 
 def latest(predictions: DataFrame, order: Column, *keep: str) -> DataFrame:
-    """The last prediction of each `id, type`, and the number of `updates` it stands for.
+    """The last prediction of each `id, type`, and the number of `updates` it stands for: rows, or the sum of a column of
+    this name that they have.
 
     Repeated updates are reduced within each task before the shuffle.
     """
     last = F.max_by(F.struct("prediction", *keep), F.struct(order, "prediction"))
-    grouped = predictions.groupBy("id", "type").agg(last.alias("last"), F.count("*").alias("updates"))
+    number = F.sum("updates") if "updates" in predictions.columns else F.count("*")
+    grouped = predictions.groupBy("id", "type").agg(last.alias("last"), number.alias("updates"))
     return grouped.select("id", "type", "last.*", "updates")
 
 

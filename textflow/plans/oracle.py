@@ -360,4 +360,13 @@ SQL: dict[str, str] = {
     "stream_merge": _with(DOCS, LABELLED)
     + f"SELECT id, 'Words' AS type, {TOTAL} AS prediction, CASE WHEN id IN (SELECT id FROM labelled) "
     "THEN '' ELSE 'no document with this id' END AS reason FROM docs",
+    "store_levels": _with(DOCS)
+    + f"SELECT id, 'Words' AS type, (CAST(id AS BIGINT) % 10) || ':' || {TOTAL} AS prediction, "
+    "CAST(id AS BIGINT) % 10 + 1 AS updates, text FROM docs",
+    "store_failed_batch": _with(DOCS, LABELLED)
+    + f"SELECT id, {TOTAL} AS prediction, CASE WHEN id IN (SELECT id FROM labelled) "
+    "THEN '' ELSE 'no document with this id' END AS reason, 0 AS seen FROM docs",
+    "stream_enrich_replay": _with(DOCS)
+    + f"SELECT '{{\"id\":\"' || id || '\",\"doc\":{{\"predictions\":{{\"Words\":\"' || {TOTAL} || '\"}}}}}}' AS value "
+    "FROM docs",
 }

@@ -689,3 +689,70 @@ def store_compacted(spark: SparkSession, folder: str) -> DataFrame:
         copy.add_predictions(tokens_only.predictions(every).withColumns(here), 0)
     last = copy.latest().select("id", F.col("type").alias("answer"), "prediction")
     return copy.documents().select("id", "text").join(last, "id")
+
+
+def _arrived(rows: DataFrame) -> DataFrame:
+    """Predictions as a merge takes them, without an order of their own."""
+    return rows.withColumns({"ts": F.lit(None).cast("timestamp"), "seq": F.lit(0).cast("long")})
+
+
+def _untyped(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("type", F.lit(None).cast("string"))
+
+
+@query
+def store_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten batches of documents and of predictions, whose parts are merged level by level. The k-th batch of predictions
+    is about the documents whose id ends in k or more, so their last one and the number of updates differ."""
+    store = DocumentStore(spark, f"{work_folder(spark, 'levels')}/store").create()
+    rows = documents(spark, folder)
+    digit = F.col("id").cast("long") % 10
+    for k in range(10):
+        store.add_documents(_untyped(rows.filter(digit <= k)), "id", k)
+    words = TotalWords("Words").predictions(rows)
+    for k in range(10):
+        numbered = words.withColumn("prediction", F.concat_ws(":", F.lit(k), "prediction"))
+        store.add_predictions(_arrived(numbered.filter(digit >= k)), k)
+    return store.latest().join(store.documents().select("id", "text"), "id")
+
+
+class FailsBetweenWrites(DocumentStore):
+    """A store whose process ends when one of the two tables of a batch is written."""
+
+    def _write(self, rows: DataFrame, table: str, level: int = 0):
+        if table == "rejected":
+            raise OSError("the process ended between two writes")
+        return super()._write(rows, table, level)
+
+
+@query
+def store_failed_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch of predictions that fails between its two tables: readers see nothing of it until it is delivered again."""
+    store = FailsBetweenWrites(spark, f"{work_folder(spark, 'failed')}/store").create()
+    store.add_documents(_untyped(labelled(spark, folder)), "id", 0)
+    batch = _arrived(TotalWords("Words").predictions(documents(spark, folder)))
+    try:
+        store.add_predictions(batch, 0)
+    except OSError:
+        seen = store.predictions().count() + store.rejected().count()
+    store = DocumentStore(spark, store.path)
+    for _ in range(2):
+        store.add_predictions(batch, 0)
+    found = store.predictions().select("id", "prediction", F.lit("").alias("reason"))
+    found = found.unionByName(store.rejected().select("id", "prediction", "reason"))
+    return found.withColumn("seen", F.lit(seen).cast("bigint"))
+
+
+@query
+def stream_enrich_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch that is delivered twice to a folder: the stream behind it takes each message once."""
+    place = work_folder(spark, "replay")
+    enriched, bodies = message_folder(f"{place}/enriched"), message_folder(f"{place}/bodies")
+    for delivery in range(2):
+        streams.start_enricher(
+            message_stream(spark, folder), TotalWords("Words"), enriched, f"{place}/checkpoints/{delivery}", ONCE
+        ).awaitTermination()
+        streams.start_bodies(
+            enriched.read_stream(spark), bodies, f"{place}/checkpoints/bodies", ONCE
+        ).awaitTermination()
+    return bodies.read_batch(spark)

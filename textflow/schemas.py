@@ -40,12 +40,13 @@ TYPED_PREDICTIONS = {
     "gero": ANNOTATIONS,
 }
 
-# Tables of the document store. `run` and `batch_id` are partition columns.
+# Tables of the document store. `run` and `batch_id` tell by which commit a row came.
 _COMMIT = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
 STORED_DOCUMENT = T.StructType(_strings("id", "text", "type").fields + _COMMIT)
 STORED_PREDICTION = T.StructType(
     _strings("id", "type", "prediction").fields
     + [T.StructField("ts", T.TimestampType()), T.StructField("seq", T.LongType())]
+    + [T.StructField("updates", T.LongType())]
     + _COMMIT
 )
 REJECTED_PREDICTION = T.StructType(

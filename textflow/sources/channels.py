@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textflow.config import Options
 from textflow.schemas import MESSAGE
+from textflow.sources.files import Files
 
 
 @dataclass(frozen=True)
@@ -50,12 +52,19 @@ class Channel:
         return writer.start(self.path) if self.path else writer.start()
 
     def write_batch(self, messages: DataFrame, batch: str) -> None:
-        """Writes one micro-batch. A folder gets a part per batch, which a repeated batch replaces."""
+        """Writes one micro-batch. A folder gets a part per batch, which appears as a whole, by a rename, and only once:
+        a batch that is delivered again finds its part and writes nothing, so streams that read the folder take each
+        message once. What a failed batch left is in a hidden folder, which no reader looks into."""
+        writer = messages.write.format(self.format).options(**self.write_options)
         if self.path is None:
-            messages.write.format(self.format).options(**self.write_options).save()
-        else:
-            writer = messages.write.format(self.format).options(**self.write_options)
-            writer.mode("overwrite").save(f"{self.path}/{batch}")
+            writer.save()
+            return
+        files = Files(messages.sparkSession, self.path)
+        if files.exists(f"{self.path}/{batch}"):
+            return
+        hidden = f"{self.path}/_written/{uuid.uuid4().hex}"
+        writer.save(hidden)
+        files.move_new(hidden, f"{self.path}/{batch}")
 
 
 def kafka_topic(brokers: str, topic: str, starting_offsets: str = "latest") -> Channel:
