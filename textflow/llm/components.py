@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textflow.llm.tables import written
+from textflow.llm.tables import discard, written
 
 
 def _smallest(pairs: DataFrame) -> DataFrame:
@@ -37,11 +37,14 @@ def components(edges: DataFrame, most_rounds: int = 100, exact: bool = True) ->
         if exact and _settled(current):
             break
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_smallest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        star = _smallest(both)
+        large = both.join(star, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.distinct(), "edges")
+        discard(star, current)
         lowest = _smallest(large)
         small = large.join(lowest, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         current = written(small.union(lowest.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "edges")
+        discard(large, lowest)
     else:
         if exact and not _settled(current):
             raise RuntimeError(f"components are not settled after {most_rounds} rounds")

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from textflow.llm.tables import without
 
-# Lane of the sources without a target of their own.
+# Lane of documents without a source, and of sources beyond the number that have lanes of their own.
 REST = "*"
+# Sources without a target that have a lane of their own, the most frequent ones.
+MOST_LANES = 200
 # Documents that follow each other from one source.
 BLOCK = 8
 # Hex digits of a document's key that name its part of a lane: 16 ** 3 parts of each lane.
@@ -29,8 +31,10 @@ def schedule(weights: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]
     first). With one slot at a time this meets all deadlines, so in every prefix each lane is off its share by
     less than one turn. After W slots the pattern starts anew, so the table has W rows for any amount of data.
     """
-    if not weights or any(w < 1 for w in weights.values()):
+    if any(w < 1 for w in weights.values()):
         raise ValueError("weights are whole numbers of at least 1")
+    if not weights:
+        return []
     shared = gcd(*weights.values())
     weights = {lane: w // shared for lane, w in weights.items()}
     total = sum(weights.values())
@@ -56,6 +60,23 @@ def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.md5(own)
 
 
+def lanes(
+    documents: DataFrame, targets: Mapping[str, int], rest: int = 1, source: str = "source", most: int = MOST_LANES
+) -> dict[str, int]:
+    """Weights of all lanes: the targets, then the other sources by name, then `REST` where it is needed.
+
+    The sources without a target share the weight `rest` evenly, each in its own lane. Beyond `most` of them the most
+    frequent ones, counted over all documents, have lanes, and all others share the lane `REST`, which then counts as one
+    of them; so do documents without a source. At most that many names come to the driver.
+    """
+    other = F.coalesce(F.col(source), F.lit(REST))
+    counts = documents.groupBy(other.alias("source")).agg(F.count("*").alias("n"))
+    listed = counts.filter(~F.col("source").isin([*targets, REST])).orderBy(F.desc("n"), "source").limit(most + 1).collect()
+    shared = len(listed) > most or not counts.filter(F.col("source") == REST).isEmpty()
+    names = sorted(r.source for r in listed[:most]) + [REST] * (shared and REST not in targets)
+    return {**{name: w * max(1, len(names)) for name, w in targets.items()}, **dict.fromkeys(names, rest)}
+
+
 def mix(
     documents: DataFrame,
     targets: Mapping[str, int],
@@ -67,8 +88,8 @@ def mix(
 ) -> DataFrame:
     """Documents with their place in the mix: `lane`, `turn`, `release`, `deadline`, `slot`, `position`.
 
-    `targets` gives whole-number weights of sources; all other sources, and a null source, share the weight
-    `rest` as one lane. In its lane a document comes in the order of its hashed id, `block` of them make a turn.
+    `targets` gives whole-number weights of sources; all other sources share the weight `rest` evenly, in `lanes` of their
+    own up to a bound. In its lane a document comes in the order of its hashed id, `block` of them make a turn.
     `position` orders the whole mix. All documents get a place: the slots of a lane that has run out stay empty,
     and the others go on with their deadlines, so the shares hold until the first lane has run out.
 
@@ -77,8 +98,8 @@ def mix(
     so no task sees a whole lane, however large a source is. Repeated rows are placed one after the other.
     Columns of the result's names are replaced.
     """
-    lanes = {**targets, REST: rest}
-    period = schedule(lanes)
+    weights = lanes(documents, targets, rest, source)
+    period = schedule(weights)
     spark = documents.sparkSession
     of_period = F.from_json(
         F.lit(json.dumps([dict(zip(("lane", "k", "r", "d", "s"), x, strict=True)) for x in period])),
@@ -87,7 +108,7 @@ def mix(
     per_turn = spark.range(1).select(F.inline(of_period)).toDF("lane", "__k", "__r", "__d", "__s")
 
     added = ("lane", "turn", "release", "deadline", "slot", "position")
-    named = F.from_json(F.lit(json.dumps(list(targets))), "array<string>")
+    named = F.from_json(F.lit(json.dumps(list(weights))), "array<string>")
     lane = F.when(F.array_contains(named, F.col(source)), F.col(source)).otherwise(REST)
     keyed = documents.withColumns({"__lane": lane, "__key": document_key(doc_id, text)})
     keyed = without(keyed, *added).withColumnRenamed("__lane", "lane")
@@ -108,7 +129,7 @@ def mix(
     turned = numbered.withColumn("__nth", nth).withColumn("turn", F.expr(f"__nth div {block}"))
     # Weights of a lane, to find the turn in its period.
     weight = F.element_at(
-        F.from_json(F.lit(json.dumps({name: sum(x[0] == name for x in period) for name in lanes})), "map<string,bigint>"),
+        F.from_json(F.lit(json.dumps({name: sum(x[0] == name for x in period) for name in weights})), "map<string,bigint>"),
         F.col("lane"),
     )
     turned = turned.withColumn("__w_of", weight).withColumn("__k", F.col("turn") % F.col("__w_of"))

@@ -7,11 +7,7 @@ from textflow.llm.mixing import BLOCK, REST
 from textflow.llm.queries import REST as REST_WEIGHT
 from textflow.llm.queries import TARGETS
 
-_LANES = {**TARGETS, REST: REST_WEIGHT}
-_TOTAL = sum(_LANES.values())
-_VALUES = ", ".join(f"({k}, '{lane}', {w})" for k, (lane, w) in enumerate(_LANES.items()))
-_NAMED = ", ".join(f"'{name}'" for name in TARGETS)
-
+_NAMED = ", ".join(f"({k}, '{lane}', {w})" for k, (lane, w) in enumerate(TARGETS.items()))
 
 
 def _list(values) -> str:
@@ -36,28 +32,35 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p""",
     "op8_mixing": f"""
-WITH RECURSIVE lanes(k, lane, w) AS (VALUES {_VALUES}),
+WITH RECURSIVE named(k, lane, w) AS (VALUES {_NAMED}),
+others AS (
+  SELECT lane, row_number() OVER (ORDER BY lane = '{REST}', lane) - 1 AS i FROM (
+    SELECT DISTINCT coalesce(source, '{REST}') AS lane FROM documents) WHERE lane NOT IN (SELECT lane FROM named)),
+lanes AS (
+  SELECT k, lane, w * (SELECT greatest(count(*), 1) FROM others) AS w FROM named
+  UNION ALL SELECT {len(TARGETS)} + i, lane, {REST_WEIGHT} FROM others),
+sums AS (SELECT CAST(sum(w) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS lanes FROM lanes),
 steps(slot, turns, pick) AS (
-  SELECT -1, list_transform(range({len(_LANES)}), lambda x: 0), -1
+  SELECT CAST(-1 AS BIGINT), list_transform(range(lanes), lambda x: CAST(0 AS BIGINT)), CAST(-1 AS BIGINT) FROM sums
   UNION ALL
   SELECT slot + 1, list_transform(turns, lambda t, i: t + CASE WHEN i - 1 = next THEN 1 ELSE 0 END), next
   FROM (
-    SELECT slot, turns, arg_min(k, CAST(ceil((t + 1) * {_TOTAL} / w) AS BIGINT) * 100 + k) AS next
-    FROM (SELECT s.slot, s.turns, l.k, l.w, s.turns[l.k + 1] AS t FROM steps s, lanes l WHERE s.slot < {_TOTAL - 1})
-    WHERE t < w AND t * {_TOTAL} // w <= slot + 1 GROUP BY slot, turns)),
+    SELECT slot, turns, arg_min(k, CAST(ceil((t + 1) * total / w) AS BIGINT) * 1000 + k) AS next
+    FROM (SELECT s.slot, s.turns, l.k, l.w, total, s.turns[l.k + 1] AS t FROM steps s, lanes l, sums WHERE s.slot < total - 1)
+    WHERE t < w AND t * total // w <= slot + 1 GROUP BY slot, turns)),
 period AS (
   SELECT l.lane, l.w, steps.slot, steps.turns[l.k + 1] - 1 AS j FROM steps JOIN lanes l ON l.k = steps.pick),
 numbered AS (
-  SELECT doc_id, source, CASE WHEN source IN ({_NAMED}) THEN source ELSE '{REST}' END AS lane,
-    row_number() OVER (PARTITION BY CASE WHEN source IN ({_NAMED}) THEN source ELSE '{REST}' END
+  SELECT doc_id, source, coalesce(source, '{REST}') AS lane,
+    row_number() OVER (PARTITION BY coalesce(source, '{REST}')
       ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(text), '')), doc_id, text) - 1 AS n
   FROM documents)
 SELECT d.doc_id, d.source, d.lane, d.n // {BLOCK} AS turn,
-  (d.n // {BLOCK} // p.w) * {_TOTAL} + p.j * {_TOTAL} // p.w AS release,
-  (d.n // {BLOCK} // p.w) * {_TOTAL} + CAST(ceil((p.j + 1) * {_TOTAL} / p.w) AS BIGINT) AS deadline,
-  (d.n // {BLOCK} // p.w) * {_TOTAL} + p.slot AS slot,
-  ((d.n // {BLOCK} // p.w) * {_TOTAL} + p.slot) * {BLOCK} + d.n % {BLOCK} AS position
-FROM numbered d JOIN period p ON p.lane = d.lane AND p.j = (d.n // {BLOCK}) % p.w""",
+  (d.n // {BLOCK} // p.w) * total + p.j * total // p.w AS release,
+  (d.n // {BLOCK} // p.w) * total + CAST(ceil((p.j + 1) * total / p.w) AS BIGINT) AS deadline,
+  (d.n // {BLOCK} // p.w) * total + p.slot AS slot,
+  ((d.n // {BLOCK} // p.w) * total + p.slot) * {BLOCK} + d.n % {BLOCK} AS position
+FROM numbered d JOIN period p ON p.lane = d.lane AND p.j = (d.n // {BLOCK}) % p.w, sums""",
     "op11_licenses": f"""
 WITH t(k, label, phrase, need, stride, tokens, seq) AS (VALUES {_TEMPLATES}),
 d AS (

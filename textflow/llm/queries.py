@@ -25,7 +25,7 @@ from textflow.llm import (
 from textflow.llm.tables import id_text, table
 
 SHARDS = tuple(f"shard-{i:02d}" for i in range(32))
-# Weights of sources in a mix; the other sources share the weight of REST.
+# Weights of sources in a mix; the other sources share the weight REST evenly.
 TARGETS, REST = {"src0": 5, "src1": 2, "src2": 2, "src3": 1}, 10
 RULES = (
     url_filter.Rule("block", "net", "/"),
@@ -64,7 +64,7 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     judged = near_duplicates.near_duplicates(table(spark, folder, "documents"), words_per_shingle=2)
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-    return judged.select("doc_id", "n_shingles", "component_id", kept, "n_links")
+    return judged.select("doc_id", "n_shingles", "component_id", kept)
 
 
 def _language_network(documents: DataFrame) -> language.Network | None:
@@ -117,7 +117,7 @@ def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    classifier = toxicity.fit(*toxicity.sample(documents, labels.filter(~held_out(TOXICITY_FOLD))))
+    classifier = toxicity.fit_packed(*toxicity.sample(documents, labels.filter(~held_out(TOXICITY_FOLD))))
     scored = toxicity.score(documents.select("doc_id", "text"), classifier)
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     return scored.select("doc_id", held_out(TOXICITY_FOLD).alias("held_out"), "score", predicted)
@@ -176,9 +176,11 @@ def order_by_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def place_on_shards(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with their shard, in the order of the mix: reading what the stage before wrote may lose it."""
-    placed = sharding.place(docs, [F.col("doc_id"), F.md5("text")], SHARDS)
-    return mixing.in_order_of_the_mix(placed, TARGETS, REST)
+    """Documents with their `slot` and `shard`, and with `lane` and `position` in the mix, in whose order they come: files
+    that are read again do not keep an order. Each row is placed by its own id and text; none is left out."""
+    placed = sharding.place(docs, [F.col("doc_id"), F.md5("text")], SHARDS).withColumnsRenamed({"slot": "__slot"})
+    mixed = mixing.mix(placed, TARGETS, REST).drop("turn", "release", "deadline", "slot")
+    return mixed.orderBy("position", "doc_id").withColumnRenamed("__slot", "slot")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

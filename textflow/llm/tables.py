@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textflow.session import work_folder
+from textflow.sources.files import Files
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,7 +26,15 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     of what came before, and what is read twice is the same twice."""
     path = work_folder(rows.sparkSession, purpose)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing will read again, so that disk holds what is still needed alone."""
+    for table in tables:
+        Files(table.sparkSession, table.written_to).delete(table.written_to)
 
 
 def lower_ascii(text: Column) -> Column:

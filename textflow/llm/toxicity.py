@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,8 +14,8 @@ from textflow.llm.tables import Texts, add_from_text
 
 SIZES = (5, 7)
 BUCKET_BITS = 20
-# Bounds of the sample that is learned from: rows of each label, signs of each text.
-ROWS_OF_EACH, SIGNS_OF_TEXT = 1500, 32_768
+# Bound of the sample that is learned from: rows of each label, with their whole texts.
+ROWS_OF_EACH = 1500
 # N-grams are used whose shares of toxic and other texts differ by so many standard errors.
 SIGNIFICANT = 4.5
 SMOOTHING, PENALTY, STEPS, RATE, SEED = 1.0, 0.02, 400, 0.05, 11
@@ -42,13 +43,31 @@ def buckets(data: np.ndarray, size: int) -> np.ndarray:
     return (code >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
 
 
-def _present(text: bytes) -> np.ndarray:
-    data = PLAIN[np.frombuffer(text, np.uint8)]
-    return np.unique(np.concatenate([buckets(data, size) for size in SIZES]))
+def present(data: np.ndarray) -> np.ndarray:
+    """The buckets of all n-grams of a text, each once, as bits."""
+    found = np.zeros(1 << BUCKET_BITS, bool)
+    for at in range(0, len(data), AT_ONCE):
+        part = PLAIN[data[at : at + AT_ONCE + max(SIZES) - 1]]
+        for size in SIZES:
+            found[buckets(part, size)] = True
+    return np.packbits(found)
+
+
+def packed(data: np.ndarray) -> bytes:
+    return zlib.compress(present(data).tobytes(), 1)
+
+
+def _packer() -> Callable[[Texts], list]:
+    return lambda texts: [[packed(texts[i]) for i in range(len(texts))]]
 
 
 def fit(texts: list[bytes], labels: list[int]) -> Classifier:
-    """The classifier of texts that are toxic (1) or not (0).
+    """The classifier of texts that are toxic (1) or not (0)."""
+    return fit_packed([packed(np.frombuffer(t, np.uint8)) for t in texts], labels)
+
+
+def fit_packed(grams: list[bytes], labels: list[int]) -> Classifier:
+    """The classifier of texts that are toxic (1) or not (0), from their packed n-grams, as `sample` gives them.
 
     Each n-gram that occurs in a text counts as its log ratio of smoothed counts in toxic and other texts; a
     logistic regression learns weights of these. Both labels weigh the same. With one label or none there is nothing
@@ -59,7 +78,7 @@ def fit(texts: list[bytes], labels: list[int]) -> Classifier:
     toxic, other = int(y.sum()), int(len(y) - y.sum())
     if not toxic or not other:
         return Classifier(nothing, 1.0 if toxic else -1.0 if other else 0.0)
-    rows = [_present(t) for t in texts]
+    rows = [np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(g), np.uint8))) for g in grams]
     counts = [np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)]
     for row, label in zip(rows, labels, strict=True):
         counts[label][row] += 1
@@ -93,9 +112,10 @@ def fit(texts: list[bytes], labels: list[int]) -> Classifier:
 
 
 def sample(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> tuple[list[bytes], list[int]]:
-    """What is learned from: `ROWS_OF_EACH` labelled rows of each label, chosen by a hash of the id, of each text the
-    first `SIGNS_OF_TEXT` signs. Null labels and ids are left out. The chosen ids are few whatever the tables are, so
-    they go to the documents and no text is shuffled."""
+    """What is learned from: the n-grams of the whole texts of `ROWS_OF_EACH` labelled rows of each label, chosen by a
+    hash of the id, packed as bits in the tasks (128 KB for any length of text, before compression). Null labels and ids
+    are left out. An id that several documents have is learned from the one with the smallest hash of its text. The
+    chosen ids are few whatever the tables are, so they go to the documents and no text is shuffled."""
     usable = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
     usable = usable.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label")).distinct()
     counts = dict(usable.groupBy("__label").count().collect())
@@ -106,10 +126,13 @@ def sample(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     few = usable.withColumn("chance", chance).filter(F.pmod("chance", F.lit(1 << 20)) < share * (1 << 20))
     order = Window.partitionBy("__label").orderBy("chance", "__id")
     chosen = few.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= ROWS_OF_EACH).select("__id", "__label")
-    texts = documents.select(F.col(doc_id).alias("__id"), F.substring(F.coalesce(F.col(text), F.lit("")), 1, SIGNS_OF_TEXT).alias("piece"))
-    found = texts.join(F.broadcast(chosen), "__id").select("__id", "piece", "__label").collect()
-    found.sort()
-    return [r[1].encode() for r in found], [r[2] for r in found]
+    texts = documents.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
+    read = texts.join(F.broadcast(chosen), "__id").withColumn("hash", F.xxhash64("text"))
+    read = add_from_text(read, "text", "grams binary", _packer)
+    first = F.min_by("grams", F.struct("hash", "grams")).alias("grams")
+    found = read.drop("text").groupBy("__id", "__label").agg(first).select("__id", "grams", "__label").collect()
+    found.sort(key=lambda r: (r[0], r[2]))
+    return [bytes(r[1]) for r in found], [r[2] for r in found]
 
 
 def _scorer(classifier: Classifier) -> Callable[[], Callable[[Texts], list]]:
