@@ -262,7 +262,7 @@ def test_pipeline(spark, odd):
     assert len(rows) == len(kept) and set(kept) <= expected and len(kept) >= 0.98 * len(expected)
     table = sharding.slot_table(queries.SHARDS)
     assert all(r.shard == queries.SHARDS[table[r.slot]] for r in rows)
-    assert rows[0].asDict().keys() == {*documents.columns, "slot", "shard"}
+    assert rows[0].asDict().keys() == {*documents.columns, "slot", "shard", "mix_lane", "mix_position"}
     docs = clashing(odd, "node", "leaks", "lane")
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)

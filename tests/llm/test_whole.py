@@ -29,9 +29,11 @@ def test_pipeline_returns_rows_in_the_order_of_the_mix(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    weights = {**queries.TARGETS, mixing.REST: queries.REST}
+    others = sorted({r.source for r in rows} - {*queries.TARGETS})
+    weights = {**{k: w * len(others) for k, w in queries.TARGETS.items()}, **dict.fromkeys(others, queries.REST)}
     period, lanes = mixing.schedule(weights), {lane: [] for lane in weights}
-    lane_of = lambda r: r.source if r.source in queries.TARGETS else mixing.REST
+    lane_of = lambda r: r.source
+    assert len(others) > 10 and all(r.mix_lane == r.source for r in rows)
     for r in rows:
         lanes[lane_of(r)].append((hashlib.md5(str(r.doc_id).encode()).hexdigest(), r.doc_id))
     share = Counter(x[0] for x in period)
@@ -50,7 +52,7 @@ def test_pipeline_returns_rows_in_the_order_of_the_mix(spark):
             assert abs(counts[lane] - t * share[lane] / len(period)) <= 2 * mixing.BLOCK
         if any(counts[lane] == len(lanes[lane]) for lane in lanes):
             break
-    assert t >= 4 * mixing.BLOCK
+    assert t >= 4 * mixing.BLOCK and [r.mix_position for r in rows] == [place[r.doc_id] for r in rows]
 
 
 def held_items(text, items):

@@ -146,12 +146,16 @@ def mix(
     return placed.select(*own, *added)
 
 
-def in_order_of_the_mix(documents: DataFrame, targets: Mapping[str, int], rest: int = 1, **options) -> DataFrame:
+def in_order_of_the_mix(
+    documents: DataFrame, targets: Mapping[str, int], rest: int = 1, lane: str | None = None, position: str | None = None, **options
+) -> DataFrame:
     """The documents, sorted by their place in the mix: files written from this follow each other in its order, and
-    each file holds the sources in their shares. Columns stay as they are."""
-    own = documents.columns
-    names = {c: f"__own_{i}" for i, c in enumerate(own)}
+    each file holds the sources in their shares. Columns stay as they are; on demand `lane` and `position` name further
+    ones, which replace those of the same names."""
+    own = [c for c in documents.columns if c.lower() not in {x.lower() for x in (lane, position) if x}]
+    names = {c: f"__own_{i}" for i, c in enumerate(documents.columns)}
     read = {k: names[options.pop(k, k)] for k in ("source", "doc_id", "text")}
     mixed = mix(documents.withColumnsRenamed(names), targets, rest, **read, **options)
     ordered = mixed.orderBy("position", read["doc_id"])
-    return ordered.select(*[F.col(names[c]).alias(c) for c in own])
+    added = [F.col(c).alias(name) for c, name in (("lane", lane), ("position", position)) if name]
+    return ordered.select(*[F.col(names[c]).alias(c) for c in own], *added)

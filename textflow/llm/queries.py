@@ -163,24 +163,26 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, folder: str, least
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id; documents without words all stay."""
     return near_duplicates.deduplicated(docs, words_per_shingle=5)
 
 
 def keep_without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents in which no benchmark item was found; null and empty texts stay."""
     found = decontamination.with_leaks(docs, table(spark, folder, "benchmark"), output="__leaks")
     return found.filter(F.size("__leaks") == 0).drop("__leaks")
 
 
 def order_by_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents in the order of the mix."""
     return mixing.in_order_of_the_mix(docs, TARGETS, REST)
 
 
 def place_on_shards(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with their `slot` and `shard`, and with `lane` and `position` in the mix, in whose order they come: files
-    that are read again do not keep an order. Each row is placed by its own id and text; none is left out."""
-    placed = sharding.place(docs, [F.col("doc_id"), F.md5("text")], SHARDS).withColumnsRenamed({"slot": "__slot"})
-    mixed = mixing.mix(placed, TARGETS, REST).drop("turn", "release", "deadline", "slot")
-    return mixed.orderBy("position", "doc_id").withColumnRenamed("__slot", "slot")
+    """Documents with their `slot` and `shard`, and with `mix_lane` and `mix_position`, in whose order they come: files that
+    are read again do not keep an order. Each row is placed by its own id and text; none is left out."""
+    placed = sharding.place(docs, [F.col("doc_id"), F.md5("text")], SHARDS)
+    return mixing.in_order_of_the_mix(placed, TARGETS, REST, "mix_lane", "mix_position")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
