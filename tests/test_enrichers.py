@@ -15,7 +15,7 @@ from textflow.operators.sentiment import Sentiment
 from textflow.operators.tags import TokenTags
 from textflow.operators.words import TotalWords, WordCount, stop_word_table
 
-BOTH = pytest.mark.parametrize("limits", [{}, {"max_rows": 0}], ids=["inline", "joined"])
+BOTH = pytest.mark.parametrize("limits", [{}, {"way": "join"}], ids=["inline", "joined"])
 VOCABULARY = ["New", "York", "new", "City", "of", "the", ",", "Times", "é1", "x"]
 PHRASES = ["New York", "York City", "New York City", "Times", "the", "York City of", "é1", "x x", "of the New"]
 
@@ -190,8 +190,9 @@ def test_small_lookups_need_no_shuffle(spark, requests):
         assert enricher.row_local
         text = plan(enricher.predictions(frame))
         assert "Exchange" not in text and "Join" not in text and "Aggregate" not in text
-    assert not Sentiment(lexicon, max_rows=0).row_local
-    assert not Sentiment(lexicon, max_bytes=1).row_local
+    assert not Sentiment(lexicon, way="join").row_local
+    with pytest.raises(ValueError, match="way='join'"):
+        Sentiment(lexicon, max_bytes=1).enrich(frame)
 
 
 def test_ids_that_repeat_or_are_null_do_not_mix_texts(spark, requests):
@@ -216,6 +217,61 @@ def test_ids_that_repeat_or_are_null_do_not_mix_texts(spark, requests):
     for make in made:
         inline, joined = (
             sorted((tuple(r) for r in make(limits).predictions(given).select("id", "text", "prediction").collect()), key=order)
-            for limits in ({}, {"max_rows": 0})
+            for limits in ({}, {"way": "join"})
         )
         assert inline == joined and len(inline) == 6
+
+
+def test_a_large_table_in_the_row_is_an_error(spark, requests):
+    lexicon = spark.createDataFrame([(f"w{i}", 1.0) for i in range(30)], "term string, valence double")
+    with pytest.raises(ValueError, match="way='join'"):
+        Sentiment(lexicon, max_rows=29).enrich(requests(("1", "w1"))).collect()
+    with pytest.raises(ValueError):
+        Sentiment(lexicon, way="other")
+    assert Sentiment(lexicon, max_rows=30).predictions(requests(("1", "w1"))).first().prediction == "positive"
+
+
+@BOTH
+def test_small_valences_are_not_rounded(spark, requests, limits):
+    lexicon = spark.createDataFrame([("good", 4e-7), ("nice", 4e-7), ("bad", -7.9e-7)], "term string, valence double")
+    rows = Sentiment(lexicon, **limits).predictions(requests(("1", "good nice"), ("2", "bad good"), ("3", "bad good nice"))).collect()
+    assert {r.id: r.prediction for r in rows} == {"1": "positive", "2": "negative", "3": "positive"}
+
+
+def test_only_rare_keys_of_the_table_are_moved(spark):
+    """Half of all tokens are one word and most others are in no table: a row is moved for each text and rare key."""
+    from textflow.functions import lookup
+
+    table = spark.createDataFrame([("the", 1)] + [(f"k{i}", i) for i in range(3000)], "word string, v int")
+    texts = [f"the {'the ' * (i % 40)}unknown{i} other{i} k{i} k{i}" for i in range(2000)]
+    rows = spark.createDataFrame([(t,) for t in texts] * 2, "text string")
+    moved = []
+    grouped = lookup._by_key
+
+    def watched(candidates):
+        moved.append(candidates)
+        return grouped(candidates)
+
+    lookup._by_key = watched
+    try:
+        large = lookup.LookupTable(table, "word", ["v"], way="join")
+        words = F.split("text", " ")
+        placed = F.transform(words, lambda w, i: F.struct(i.alias("i"), F.lit(1).alias("n"), w.alias("key")))
+        found = large.join(rows, placed, "hits").collect()
+    finally:
+        lookup._by_key = grouped
+    for row in found:
+        expected = [(i, w) for i, w in enumerate(row.text.split(" ")) if w == "the" or w.startswith("k")]
+        assert [(h.i, h.key) for h in row.hits] == expected
+        assert all(h.found[0].v == (1 if h.key == "the" else int(h.key[1:])) for h in row.hits)
+    asked = rows.select(F.explode(moved[0]).alias("c")).select("c.key")
+    assert asked.filter("key = 'the'").count() == 0
+    assert asked.filter("key like 'unknown%' or key like 'other%'").count() < 0.05 * 2 * len(texts)
+
+
+def test_only_runs_with_a_known_head_and_length_are_made(spark, requests):
+    gazetteer = spark.createDataFrame([("Ann Lee", "person"), ("Bob", "person"), ("New York City Hall", "place")], "phrase string, label string")
+    table = EntityNames(gazetteer, way="join").table
+    rows = requests(("1", "Ann met Bob in New York City Hall and " + "nobody " * 500)).withColumn("tokens", F.split("text", " "))
+    keys = [r.key for r in rows.select(F.inline(table._grams(F.col("tokens")))).collect()]
+    assert {"Ann met", "Bob", "New York City Hall"} <= set(keys) and len(keys) <= 6

@@ -1,4 +1,4 @@
-"""Lookup tables next to texts: inside the row while the table is small, by a join beyond that."""
+"""Lookup tables next to texts: inside the row for small tables, by a pruned join for large ones."""
 
 from __future__ import annotations
 
@@ -9,17 +9,63 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textflow.functions.text import bind
+
+Way = Literal["row", "join"]
 MAX_INLINE_ROWS = 20_000
 MAX_INLINE_BYTES = 4 * 1024 * 1024
+# Bits of a filter of keys, whatever the table: 256 KB in the plan.
+FILTER_BITS = 21
+# Keys that are looked up in the row although the table is joined, and keys that the sketch follows.
+HOT_KEYS, FOLLOWED_KEYS = 1_000, 10_000
+
+
+class KeyFilter:
+    """A Bloom filter of fixed size over a column `key`, made by Spark and held in the plan.
+
+    Of what is not in the table few pass, the more the larger the table is; all that is in it passes.
+    """
+
+    def __init__(self, keys: DataFrame) -> None:
+        self.keys = keys
+
+    @staticmethod
+    def _places(key: Column) -> list[Column]:
+        """Three places in the filter, from the pieces of one hash."""
+        hashed = F.xxhash64(key)
+        pieces = [hashed, F.shiftrightunsigned(hashed, FILTER_BITS), F.shiftrightunsigned(hashed, 2 * FILTER_BITS)]
+        return [piece.bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) for piece in pieces]
+
+    @cached_property
+    def _bits(self) -> Column:
+        places = self.keys.select(F.explode(F.array(*self._places(F.col("key")))).alias("place"))
+        bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+        numbers = places.groupBy(F.expr("cast(place div 64 as int)").alias("at")).agg(F.bit_or(bit).alias("bits")).collect()
+        words = [0] * ((1 << FILTER_BITS) // 64)
+        for row in numbers:
+            words[row["at"]] = row["bits"]
+        # The literal is parsed once, when the plan is optimised.
+        return F.from_json(F.lit(json.dumps(words)), "array<bigint>")
+
+    def may_hold(self, key: Column) -> Column:
+        def set_(place: Column) -> Column:
+            number = F.get(self._bits, F.shiftrightunsigned(place, 6).cast("int"))
+            return F.getbit(number, place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+        first, second, third = self._places(key)
+        return set_(first) & set_(second) & set_(third)
 
 
 class LookupTable:
-    """A table of `key -> list of value structs`.
+    """A table of `key -> list of value structs`, used in one of two ways that the caller chooses.
+
+    `row`: the table is a literal of the plan and `find` a plain column expression; texts need no shuffle, and streams run
+    without batches. Its size is checked; a larger table is an error, not another plan.
 
-    `inline` is true when the table, read up to one row beyond `max_rows`, proves to be small. Then
-    `find` is a plain column expression and the texts need no shuffle. Otherwise `join` brings keys
-    and table together by a join whose strategy Spark picks from measured sizes; frequent keys are
-    spread over `salts` partitions.
+    `join`: for tables of any size. Keys that the table cannot hold are left out in the row by a filter of fixed
+    size; the most frequent of the others, found by a sketch, are looked up in the row as well; what is left is
+    moved once for each text and key. So neither a word that makes up half of all texts nor one that no table
+    holds is shuffled.
     """
 
     def __init__(
@@ -27,27 +73,29 @@ class LookupTable:
         table: DataFrame,
         key: str,
         values: list[str],
+        way: Way = "row",
         max_rows: int = MAX_INLINE_ROWS,
         max_bytes: int = MAX_INLINE_BYTES,
-        salts: int = 16,
     ) -> None:
+        if way not in ("row", "join"):
+            raise ValueError(f"a lookup is done in the row or by a join, not by {way}")
         self.table = table.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), *values)
         self.values = values
+        self.way = way
         self.max_rows = max_rows
         self.max_bytes = max_bytes
-        self.salts = salts
+
+    @property
+    def inline(self) -> bool:
+        return self.way == "row"
 
     @cached_property
     def _grouped(self) -> DataFrame:
         found = F.sort_array(F.collect_set(F.struct(*self.values)))
         return self.table.groupBy("key").agg(found.alias("found"))
 
-    @cached_property
-    def _literal(self) -> tuple[Column, int] | None:
-        rows = self.table.withColumn("hash", F.xxhash64("key")).limit(self.max_rows + 1).collect()
-        if len(rows) > self.max_rows:
-            return None
-        # A map is searched entry by entry, so the entries are split by hash into many small maps.
+    def _entries(self, rows: list, max_bytes: int) -> tuple[Column, int] | None:
+        """`key, hash, values` rows as a literal of many small maps: a map is searched entry by entry."""
         buckets = 1 << max(len(rows) - 1, 0).bit_length()
         maps: list[dict[str, list[dict]]] = [{} for _ in range(buckets)]
         in_order = lambda row: [(row[name] is not None, row[name]) for name in self.values]
@@ -56,49 +104,135 @@ class LookupTable:
             found = maps[row["hash"] % buckets].setdefault(row["key"], [])
             if entry not in found:
                 found.append(entry)
-        text = json.dumps(maps)
-        if len(text) > self.max_bytes:
+        text = json.dumps(maps, default=str)
+        if len(text) > max_bytes:
             return None
-        struct = self.table.select(*self.values).schema.simpleString()
-        # The literal is parsed once, when the plan is optimised.
-        return F.from_json(F.lit(text), f"array<map<string,array<{struct}>>>"), buckets
+        return F.from_json(F.lit(text), f"array<map<string,array<{self._struct}>>>"), buckets
 
-    @property
-    def inline(self) -> bool:
-        return self._literal is not None
+    @cached_property
+    def _struct(self) -> str:
+        return self.table.select(*self.values).schema.simpleString()
 
-    def find(self, key: Column) -> Column:
-        """The value structs of a key, or null; only for an inline table."""
-        maps, buckets = self._literal
+    @cached_property
+    def _literal(self) -> tuple[Column, int]:
+        rows = self.table.withColumn("hash", F.xxhash64("key")).limit(self.max_rows + 1).collect()
+        made = self._entries(rows, self.max_bytes) if len(rows) <= self.max_rows else None
+        if made is None:
+            raise ValueError(
+                f"a table of more than {self.max_rows} rows or {self.max_bytes} bytes is not held in the row; use way='join'"
+            )
+        return made
+
+    @staticmethod
+    def _in(literal: tuple[Column, int], key: Column) -> Column:
+        maps, buckets = literal
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
         return F.element_at(F.get(maps, bucket), key)
 
-    def join(
-        self,
-        requests: DataFrame,
-        candidates: Column,
-        output: str,
-        how: Literal["inner", "left", "left_anti"] = "inner",
-    ) -> DataFrame:
-        """Requests with a column of candidates, each with what was found for its key.
-
-        `candidates` is a list of structs `(i, n, key)` that depends on nothing but `text`. The hash of
-        the text is what rows are brought together by, so ids may repeat or be null, as they may where
-        the table is in the row: copies of a text have the same candidates, which become one set
-        before the result is joined back.
+    def find(self, key: Column) -> Column:
+        """The value structs of a key, or null; only for a table in the row."""
+        return self._in(self._literal, key)
+
+    @cached_property
+    def filter(self) -> KeyFilter:
+        return KeyFilter(self.table.select("key").distinct())
+
+    def _hot(self, asked: DataFrame) -> tuple[Column, int]:
+        """The entries of the most frequent keys of `asked`, by a sketch whose partial results are of fixed size."""
+        sketch = F.expr(f"approx_top_k(key, {HOT_KEYS}, {FOLLOWED_KEYS})")
+        top = [item["item"] for item in asked.agg(sketch.alias("top")).first()["top"] or []]
+        wanted = asked.sparkSession.createDataFrame([(k,) for k in top], "key string")
+        rows = self.table.join(F.broadcast(wanted), "key", "left_semi").withColumn("hash", F.xxhash64("key"))
+        # A key may have many values: as many of the first keys as fit.
+        rows = rows.limit(self.max_rows + 1).collect()
+        keys = len(top) if len(rows) <= self.max_rows else 0
+        while keys:
+            kept = set(top[:keys])
+            made = self._entries([r for r in rows if r["key"] in kept], self.max_bytes)
+            if made is not None:
+                return made
+            keys //= 2
+        return self._entries([], self.max_bytes)
+
+    def join(self, requests: DataFrame, candidates: Column, output: str) -> DataFrame:
+        """Requests with a list of structs `i, n, key, found` for those candidates that are in the table, by place.
+
+        `candidates` is a list of structs `i, n, key` that depends on nothing but `text`. The hash of the text is what
+        rows are brought together by, so ids may repeat or be null: copies of a text have the same candidates.
         """
+        possible = F.filter(candidates, lambda c: self.filter.may_hold(c["key"]))
         keyed = requests.withColumn("__text", F.sha2("text", 256))
-        spread = F.pmod(F.xxhash64("__text", "i"), F.lit(self.salts)).cast("int")
-        asked = (
-            keyed.select("__text", F.explode(candidates).alias("candidate"))
-            .select("__text", "candidate.*")
-            .withColumn("salt", spread)
+        each = keyed.select(F.explode(F.array_distinct(F.transform(possible, lambda c: c["key"]))).alias("key"))
+        hot = self._hot(each)
+        rare = F.filter(possible, lambda c: self._in(hot, c["key"]).isNull())
+        asked = keyed.select("__text", F.explode(bind(rare, _by_key)).alias("asked")).select("__text", "asked.*")
+        joined = asked.join(self._grouped, "key")
+        gathered = joined.groupBy("__text").agg(F.collect_set(F.struct("key", "places", "found")).alias("__joined"))
+        hit = lambda p, key, found: F.struct(
+            p["i"].alias("i"), p["n"].alias("n"), key.alias("key"), found.alias("found")
         )
-        table = self._grouped if how != "left_anti" else self.table.select("key").distinct()
-        salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
-        joined = asked.join(salted, ["key", "salt"], how)
-        fields = ["i", "n", "key"] + (["found"] if how != "left_anti" else [])
-        gathered = joined.groupBy("__text").agg(
-            F.sort_array(F.collect_set(F.struct(*fields))).alias(output)
+        none = F.array().cast(f"array<struct<key:string,places:array<struct<i:int,n:int>>,found:array<{self._struct}>>>")
+        spread = F.flatten(
+            F.transform(F.coalesce("__joined", none), lambda e: F.transform(e["places"], lambda p: hit(p, e["key"], e["found"])))
         )
-        return keyed.join(gathered, "__text", "left").drop("__text")
+        frequent = F.transform(possible, lambda c: hit(c, c["key"], self._in(hot, c["key"])))
+        frequent = F.filter(F.coalesce(frequent, F.array().cast(self._hits)), lambda c: c["found"].isNotNull())
+        whole = keyed.join(gathered, "__text", "left")
+        return whole.withColumn(output, F.sort_array(F.concat(spread, frequent))).drop("__text", "__joined")
+
+    @property
+    def _hits(self) -> str:
+        return f"array<struct<i:int,n:int,key:string,found:array<{self._struct}>>>"
+
+
+def _by_key(candidates: Column) -> Column:
+    """One struct `key, places` for each different key, by sorting the row's own candidates."""
+    in_order = F.sort_array(F.transform(candidates, lambda c: F.struct(c["key"].alias("key"), c["i"].alias("i"), c["n"].alias("n"))))
+
+    def runs(ordered: Column) -> Column:
+        differs = lambda k: F.get(ordered, k - 1)["key"] != F.get(ordered, k)["key"]
+        heads = F.filter(F.transform(ordered, lambda _, k: k), lambda k: (k == 0) | differs(k))
+
+        def grouped(heads: Column) -> Column:
+            end = lambda k: F.coalesce(F.get(heads, k + 1), F.size(ordered))
+            places = lambda h, k: F.transform(
+                F.slice(ordered, h + 1, end(k) - h), lambda x: F.struct(x["i"].alias("i"), x["n"].alias("n"))
+            )
+            return F.transform(heads, lambda h, k: F.struct(F.get(ordered, h)["key"].alias("key"), places(h, k).alias("places")))
+
+        return bind(heads, grouped)
+
+    return bind(in_order, runs)
+
+
+def _aligned(keys: Column, hits: Column) -> Column:
+    marks = F.transform(hits, lambda h: F.struct(h["i"].alias("i"), F.lit(0).alias("kind"), h["i"].alias("of"), h["found"].alias("found")))
+
+    def merged(marks: Column) -> Column:
+        found = F.get(marks, F.lit(0))["found"]
+        own = F.transform(
+            keys, lambda _, i: F.struct(i.alias("i"), F.lit(1).alias("kind"), i.alias("of"), F.when(F.lit(False), found).alias("found"))
+        )
+
+        def paired(both: Column) -> Column:
+            before = lambda k: F.get(both, k - 1)
+            taken = F.transform(
+                both,
+                lambda x, k: F.struct(
+                    x["kind"].alias("kind"),
+                    x["i"].alias("i"),
+                    F.get(keys, x["i"]).alias("key"),
+                    F.when((k > 0) & (before(k)["i"] == x["i"]), before(k)["found"]).alias("found"),
+                ),
+            )
+            return F.filter(taken, lambda x: x["kind"] == 1)
+
+        return bind(F.sort_array(F.concat(marks, own)), paired)
+
+    return bind(marks, merged)
+
+
+def aligned(keys: Column, hits: Column) -> Column:
+    """For each key of a list, in order, a struct `i, key, found`; `found` is null where `hits`, structs with the place
+    `i` and `found`, have none. Both lists are merged by sorting places."""
+    return bind(keys, lambda keys: bind(hits, lambda hits: _aligned(keys, hits)))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from textflow.functions import text as X
 from textflow.functions.envelope import from_passages, to_passages
-from textflow.functions.lookup import LookupTable
+from textflow.functions.lookup import KeyFilter, LookupTable
 from textflow.operators.enricher import Enricher
 from textflow.schemas import ANNOTATION, ANNOTATIONS, NAMED_ENTITIES
 
@@ -21,13 +21,17 @@ def spelled(table: DataFrame) -> DataFrame:
     return table.withColumn("phrase", F.array_join(tokens, " ")).filter(F.col("phrase") != "")
 
 
+def _length_key(length: Column, head: Column) -> Column:
+    return F.concat_ws(" ", length.cast("string"), head)
+
+
 class PhraseTable:
     """Phrases and the value structs they stand for, found in texts as runs of tokens.
 
     A mention within a strictly longer mention is left out; overlaps of equal length all stay.
     """
 
-    def __init__(self, table: DataFrame, values: list[str], **limits: int) -> None:
+    def __init__(self, table: DataFrame, values: list[str], **limits) -> None:
         """`table` has a column `phrase` and the columns `values`."""
         known = spelled(table)
         self.phrases = LookupTable(known, "phrase", values, **limits)
@@ -35,13 +39,15 @@ class PhraseTable:
         heads = known.groupBy(tokens[0].alias("head")).agg(F.max(F.size(tokens)).alias("most"))
         self.heads = LookupTable(heads, "head", ["most"], **limits)
         self._longest = heads.agg(F.max("most").alias("most"))
+        # For the join: which numbers of tokens a phrase may have that begins with a token.
+        self.lengths = KeyFilter(known.select(_length_key(F.size(tokens), tokens[0]).alias("key")).distinct())
         self._none = "array<struct<i:int,n:int,key:string,found:array<struct<%s>>>>" % ",".join(
             f"{f.name}:{f.dataType.simpleString()}" for f in known.select(*values).schema.fields
         )
 
     @property
     def inline(self) -> bool:
-        return self.phrases.inline and self.heads.inline
+        return self.phrases.inline
 
     @property
     def longest(self) -> int:
@@ -68,13 +74,14 @@ class PhraseTable:
         )
 
     def _grams(self, tokens: Column) -> Column:
-        """Every run of up to `longest` tokens."""
+        """Runs of tokens that may be phrases: only tokens with which a phrase of that many tokens begins make one."""
         lengths = lambda i: F.sequence(F.lit(1), F.least(F.lit(self.longest), F.size(tokens) - i))
-        return F.flatten(
-            F.transform(
-                tokens, lambda _, i: F.transform(lengths(i), lambda n: self._gram(tokens, i, n))
-            )
-        )
+
+        def of_place(token: Column, i: Column) -> Column:
+            known = F.filter(lengths(i), lambda n: self.lengths.may_hold(_length_key(n, token)))
+            return F.transform(known, lambda n: self._gram(tokens, i, n))
+
+        return F.flatten(F.transform(tokens, of_place))
 
     def _hits(self, tokens: Column) -> Column:
         """Runs that are phrases; only tokens that begin a phrase are looked at further."""
@@ -126,7 +133,7 @@ class EntityNames(Enricher):
     """
 
     def __init__(
-        self, gazetteer: DataFrame, label: str = "OpenNER", wrapper: str | None = None, **limits: int
+        self, gazetteer: DataFrame, label: str = "OpenNER", wrapper: str | None = None, **limits
     ) -> None:
         """`gazetteer` has the columns `phrase, label`."""
         super().__init__(label)
@@ -180,7 +187,7 @@ class EntityLinks(Enricher):
 
     form = ANNOTATIONS
 
-    def __init__(self, entities: DataFrame, label: str = "EntityLinks", **limits: int) -> None:
+    def __init__(self, entities: DataFrame, label: str = "EntityLinks", **limits) -> None:
         """`entities` has the columns `phrase, entity_id, entity_name, entity_type, prior`."""
         super().__init__(label)
         known = spelled(entities)

@@ -16,18 +16,18 @@ POSITIVE = "positive"
 NEGATIVE = "negative"
 NO_TEXT = "NOT APPLYABLE"
 
-# Valences are summed as whole millionths, so that no order of adding changes a sign.
-_UNIT = 1_000_000
+# Valences are added up as decimals, so that neither rounding nor the order of adding changes a sign.
+EXACT = "decimal(38,18)"
 
 
 class Sentiment(Enricher):
     """Positive where the valences of the words add up to more than zero, otherwise negative."""
 
-    def __init__(self, lexicon: DataFrame, label: str = "Sentiment", **limits: int) -> None:
+    def __init__(self, lexicon: DataFrame, label: str = "Sentiment", **limits) -> None:
         """`lexicon` has the columns `term, valence`."""
         super().__init__(label)
-        valence = F.round(F.col("valence").cast("decimal(20,6)") * _UNIT).cast("long")
-        weights = lexicon.groupBy("term").agg(F.sum(valence).alias("weight"))
+        total = F.sum(F.col("valence").cast(EXACT)).cast(EXACT)
+        weights = lexicon.groupBy("term").agg(total.alias("weight"))
         self.weights = LookupTable(weights, "term", ["weight"], **limits)
 
     @property
@@ -47,9 +47,9 @@ class Sentiment(Enricher):
 
     @staticmethod
     def _answer(items: Column, found: Callable[[Column], Column]) -> Column:
-        zero = F.lit(0).cast("long")
-        weight = lambda item: F.coalesce(F.get(found(item), F.lit(0))["weight"], zero)
-        score = F.aggregate(items, zero, lambda total, item: total + weight(item))
+        zero = F.lit(0).cast(EXACT)
+        hits = F.filter(F.transform(items, lambda item: F.get(found(item), F.lit(0))["weight"]), lambda w: w.isNotNull())
+        score = F.aggregate(hits, zero, lambda total, weight: (total + weight).cast(EXACT))
         return (
             F.when(F.col("text").isNull(), NO_TEXT)
             .when(F.coalesce(score, zero) > 0, POSITIVE)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import text as X
-from textflow.functions.lookup import LookupTable
+from textflow.functions.lookup import LookupTable, aligned
 from textflow.operators.enricher import Enricher
 from textflow.schemas import TAGGED_TOKENS
 
@@ -20,7 +20,7 @@ class TokenTags(Enricher):
 
     form = TAGGED_TOKENS
 
-    def __init__(self, lexicon: DataFrame, label: str = "Tags", **limits: int) -> None:
+    def __init__(self, lexicon: DataFrame, label: str = "Tags", **limits) -> None:
         """`lexicon` has the columns `word, pos, tag`; the first entry of a word counts."""
         super().__init__(label)
         self.lexicon = LookupTable(lexicon, "word", ["pos", "tag"], **limits)
@@ -38,11 +38,9 @@ class TokenTags(Enricher):
         placed = F.transform(
             tokens, lambda token, i: F.struct(i.alias("i"), F.lit(1).alias("n"), token.alias("key"))
         )
-        joined = self.lexicon.join(requests, placed, "__tokens", how="left")
-        tags = F.transform("__tokens", lambda x: _tag(x["key"], x["i"], x["found"]))
-        none = F.array().cast("array<struct<key:string,text:string,pos:string,tag:string>>")
-        filled = F.when(F.col("text").isNotNull(), F.coalesce(tags, none))
-        return joined.withColumn("tags", filled).drop("__tokens")
+        joined = self.lexicon.join(requests, placed, "__found")
+        tags = F.transform(aligned(tokens, F.col("__found")), lambda x: _tag(x["key"], x["i"], x["found"]))
+        return joined.withColumn("tags", F.when(F.col("text").isNotNull(), tags)).drop("__found")
 
     def tokens(self, requests: DataFrame) -> DataFrame:
         """One row per token: `id, position, key, text, pos, tag`, position from 1."""

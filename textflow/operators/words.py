@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions import text as X
-from textflow.functions.lookup import LookupTable
+from textflow.functions.lookup import LookupTable, aligned
 from textflow.operators.enricher import ColumnEnricher, Enricher
 from textflow.schemas import WORD_COUNTS
 
@@ -38,17 +38,12 @@ class WordCount(Enricher):
     def enrich(self, requests: DataFrame) -> DataFrame:
         if self.row_local:
             return requests.withColumn("prediction", X.word_counts(self._kept(F.col("text"))))
-        placed = F.transform(
-            X.words(F.col("text")),
-            lambda word, i: F.struct(i.alias("i"), F.lit(1).alias("n"), word.alias("key")),
-        )
-        kept = F.transform(
-            F.coalesce("__kept", F.array().cast("array<struct<i:int,n:int,key:string>>")),
-            lambda x: x["key"],
-        )
-        counted = F.when(F.col("text").isNotNull(), X.word_counts(kept))
-        joined = self.stop_words.join(requests, placed, "__kept", how="left_anti")
-        return joined.withColumn("prediction", counted).drop("__kept")
+        listed = X.words(F.col("text"))
+        placed = F.transform(listed, lambda word, i: F.struct(i.alias("i"), F.lit(1).alias("n"), word.alias("key")))
+        joined = self.stop_words.join(requests, placed, "__stop")
+        others = F.filter(aligned(listed, F.col("__stop")), lambda x: x["found"].isNull())
+        counted = F.when(F.col("text").isNotNull(), X.word_counts(F.transform(others, lambda x: x["key"])))
+        return joined.withColumn("prediction", counted).drop("__stop")
 
 
 class TotalWords(ColumnEnricher):
@@ -58,6 +53,6 @@ class TotalWords(ColumnEnricher):
         super().__init__(label, lambda text: X.total_words(text).cast("string"))
 
 
-def stop_word_table(words: DataFrame, **limits: int) -> LookupTable:
+def stop_word_table(words: DataFrame, **limits) -> LookupTable:
     """A table with a column `word`."""
     return LookupTable(words.withColumn("stop", F.lit(1)), "word", ["stop"], **limits)

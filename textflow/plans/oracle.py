@@ -69,25 +69,32 @@ def _word_counts(stop: bool) -> str:
     )
 
 
-# Naive Bayes with one added to each count, over the words of `lexicon`: `answers(id, label)`.
-BAYES = (
-    "parts AS (SELECT id, unnest(string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]')) AS term FROM docs), "
-    "counts AS (SELECT id, term, count(*) AS n FROM parts WHERE term IN (SELECT term FROM lexicon) GROUP BY id, term), "
-    "known AS (SELECT docs.id, CAST(quality AS DOUBLE) AS label FROM docs "
-    "JOIN labels ON docs.id = CAST(labels.doc_id AS VARCHAR) WHERE text IS NOT NULL AND quality IS NOT NULL), "
-    "priors AS (SELECT label, ln(count(*) + 1.0) AS prior FROM known GROUP BY label), "
-    "seen AS (SELECT label, term, sum(n) AS n FROM known JOIN counts ON known.id = counts.id GROUP BY label, term), "
-    "totals AS (SELECT priors.label, coalesce(sum(n), 0) AS n FROM priors "
-    "LEFT JOIN seen ON priors.label = seen.label GROUP BY priors.label), "
-    "weights AS (SELECT totals.label, lexicon.term, ln(coalesce(seen.n, 0) + 1.0) - "
-    "ln(totals.n + (SELECT count(*) FROM lexicon)) AS weight FROM totals CROSS JOIN lexicon "
-    "LEFT JOIN seen ON seen.label = totals.label AND seen.term = lexicon.term), "
-    "likely AS (SELECT id, label, sum(n * weight) AS likelihood FROM counts "
-    "JOIN weights ON counts.term = weights.term GROUP BY id, label), "
-    "answers AS (SELECT docs.id, CAST(arg_max(priors.label, prior + coalesce(likelihood, 0)) AS VARCHAR) AS label "
-    "FROM docs CROSS JOIN priors LEFT JOIN likely ON likely.id = docs.id AND likely.label = priors.label "
-    "GROUP BY docs.id)"
-)
+def _bayes(learned: str) -> str:
+    """Naive Bayes with one added to each count, over the words of at least five of the documents that it learns from,
+    weighted by their inverse document frequency: `answers(id, label)`."""
+    return (
+        "parts AS (SELECT id, unnest(string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]')) AS term FROM docs), "
+        "counts AS (SELECT id, term, count(*) AS n FROM parts GROUP BY id, term), "
+        "labelled_all AS (SELECT docs.id, CAST(quality AS DOUBLE) AS label FROM docs "
+        "JOIN labels ON docs.id = CAST(labels.doc_id AS VARCHAR) WHERE text IS NOT NULL AND quality IS NOT NULL), "
+        f"known AS (SELECT * FROM labelled_all WHERE {learned}), "
+        "size AS (SELECT count(*) AS m FROM known), "
+        "lexicon AS (SELECT term, ln((m + 1.0) / (count(*) + 1.0)) AS idf FROM counts "
+        "JOIN known ON known.id = counts.id, size GROUP BY term, m HAVING count(*) >= 5), "
+        "features AS (SELECT id, counts.term, n * idf AS v FROM counts JOIN lexicon ON counts.term = lexicon.term), "
+        "priors AS (SELECT label, ln(count(*) + 1.0) AS prior FROM known GROUP BY label), "
+        "seen AS (SELECT label, term, sum(v) AS v FROM known JOIN features ON known.id = features.id GROUP BY label, term), "
+        "totals AS (SELECT priors.label, coalesce(sum(v), 0) AS v FROM priors "
+        "LEFT JOIN seen ON priors.label = seen.label GROUP BY priors.label), "
+        "weights AS (SELECT totals.label, lexicon.term, ln(coalesce(seen.v, 0) + 1.0) - "
+        "ln(totals.v + (SELECT count(*) FROM lexicon)) AS weight FROM totals CROSS JOIN lexicon "
+        "LEFT JOIN seen ON seen.label = totals.label AND seen.term = lexicon.term), "
+        "likely AS (SELECT id, label, sum(v * weight) AS likelihood FROM features "
+        "JOIN weights ON features.term = weights.term GROUP BY id, label), "
+        "answers AS (SELECT docs.id, CAST(arg_max(priors.label, prior + coalesce(likelihood, 0)) AS VARCHAR) AS label "
+        "FROM docs CROSS JOIN priors LEFT JOIN likely ON likely.id = docs.id AND likely.label = priors.label "
+        "GROUP BY docs.id)"
+    )
 
 
 def _scores(name: str, lexicon: str, source: str = "docs") -> str:
@@ -238,6 +245,13 @@ TOKEN_TAGS = _with(DOCS, lookups.TAGS.sql("tags"), TOKENS, TAGGED) + "SELECT * F
 TOTAL = f"CAST({_total('text')} AS VARCHAR)"
 LISTED_TOKENS = f"list_filter({_blank_split('text')}, lambda w: NOT list_contains({ENGLISH_LIST}, w))"
 
+DOCUMENT_LEXICON = (
+    "lexicon AS (SELECT DISTINCT lower(token) AS term, (length(lower(token)) % 7 - 3) / 10 AS valence FROM tokens)"
+)
+DOCUMENT_SENTIMENT = _with(DOCS, TOKENS, DOCUMENT_LEXICON, _words(), _scores("scored", "lexicon")) + _typed(
+    "scored", "Sentiment"
+)
+
 SQL: dict[str, str] = {
     "request_ids_text": "SELECT doc_id, sha256(text) AS id FROM documents",
     "request_ids_json": f"""SELECT doc_id, sha256('{{"text":' || {_json('text')} || '}}') AS id FROM documents""",
@@ -300,7 +314,12 @@ SQL: dict[str, str] = {
     "lambda line: length(line))) AS VARCHAR) AS prediction FROM docs",
     "fitted_model_tokens": _with(DOCS)
     + f"SELECT id, 'Tokens' AS type, text, {_json(LISTED_TOKENS)} AS prediction FROM docs",
-    "fitted_model_quality": _with(DOCS, lookups.LEXICON.sql("lexicon"), BAYES)
+    "fitted_model_held_out": _with(DOCS, _bayes("CAST(id AS BIGINT) % 5 <> 0"))
+    + "SELECT CAST(l.id AS BIGINT) % 5 = 0 AS held_out, count(*) AS documents, "
+    "count(*) FILTER (WHERE CAST(a.label AS DOUBLE) = l.label) AS correct, "
+    "greatest(count(*) FILTER (WHERE l.label = 1), count(*) FILTER (WHERE l.label = 0)) AS majority "
+    "FROM labelled_all l JOIN answers a ON a.id = l.id GROUP BY 1",
+    "fitted_model_quality": _with(DOCS, _bayes("true"))
     + "SELECT docs.id, 'Quality' AS type, text, CASE WHEN text IS NOT NULL THEN label END AS prediction "
     "FROM docs JOIN answers ON docs.id = answers.id",
     "side_by_side_enrichers": _with(
@@ -369,4 +388,20 @@ SQL: dict[str, str] = {
     "stream_enrich_replay": _with(DOCS)
     + f"SELECT '{{\"id\":\"' || id || '\",\"doc\":{{\"predictions\":{{\"Words\":\"' || {TOTAL} || '\"}}}}}}' AS value "
     "FROM docs",
+    "sentiment_document_lexicon": DOCUMENT_SENTIMENT,
+    "stream_enrich_document_lexicon": DOCUMENT_SENTIMENT,
+    "word_count_document_stop_words": _with(
+        DOCS, _words(), "stop_words AS (SELECT DISTINCT word FROM words WHERE length(word) % 2 = 0)", _word_counts(True)
+    )
+    + _typed("counted", "WordCount"),
+    "token_tags_document_lexicon": _with(
+        DOCS, TOKENS, "tags AS (SELECT DISTINCT token AS word, 'P' || length(token) AS pos, 'T' || length(token) AS tag "
+        "FROM tokens WHERE length(token) % 4 <> 0)", TAGGED,
+    )
+    + "SELECT * FROM tagged",
+    "entity_names_document_gazetteer": _with(
+        DOCS, TOKENS, "given AS (SELECT DISTINCT token || ' ' || next AS phrase, 'pair' AS label FROM (SELECT token, place, "
+        "lead(token) OVER (PARTITION BY id ORDER BY place) AS next FROM tokens) WHERE place % 5 = 0 AND next IS NOT NULL)", NAMES,
+    )
+    + _typed("answers", "OpenNER"),
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +34,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ONCE = {"availableNow": True}
-# Beyond the inline limit: makes an enricher take the join it uses for large tables.
-LARGE = {"max_rows": 0}
+# Documents that a word of a fitted vocabulary is in; words of a vocabulary, which a model holds as a whole.
+LEAST_DOCUMENTS, MOST_WORDS = 5, 1 << 22
+# The way for tables of any size.
+LARGE = {"way": "join"}
 
 
 def query(function: Query) -> Query:
@@ -311,6 +313,53 @@ def token_tags_json(spark: SparkSession, folder: str) -> DataFrame:
     return TokenTags(lookups.TAGS.frame(spark)).predictions(documents(spark, folder))
 
 
+# Lookup tables made from all documents, too large for the row
+
+
+def document_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return documents(spark, folder).select(F.explode(X.class_tokens(F.col("text"))).alias("token"))
+
+
+def document_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    terms = document_tokens(spark, folder).select(F.lower("token").alias("term")).distinct()
+    return terms.withColumn("valence", (F.length("term") % 7 - 3) / 10)
+
+
+@query
+def sentiment_document_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    return Sentiment(document_lexicon(spark, folder), **LARGE).predictions(documents(spark, folder))
+
+
+@query
+def word_count_document_stop_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Word counts without the words of the documents whose length is even."""
+    words = documents(spark, folder).select(F.explode(X.words(F.col("text"))).alias("word")).distinct()
+    stop = stop_word_table(words.filter(F.length("word") % 2 == 0), **LARGE)
+    return WordCount(stop_words=stop).predictions(documents(spark, folder))
+
+
+@query
+def token_tags_document_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    words = document_tokens(spark, folder).select(F.col("token").alias("word")).distinct().filter(F.length("word") % 4 != 0)
+    size = F.length("word").cast("string")
+    lexicon = words.withColumns({"pos": F.concat(F.lit("P"), size), "tag": F.concat(F.lit("T"), size)})
+    rows = TokenTags(lexicon, **LARGE).tokens(documents(spark, folder))
+    return rows.withColumn("position", F.col("position").cast("bigint"))
+
+
+@query
+def entity_names_document_gazetteer(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fifth token of a document, with the one behind it, is a name."""
+    tokens = X.class_tokens(F.col("text"))
+    every = F.filter(F.transform(tokens, lambda _, i: i), lambda i: i % 5 == 4)
+    pair = lambda i: F.concat_ws(" ", F.get(F.col("tokens"), i), F.get(F.col("tokens"), i + 1))
+    listed = documents(spark, folder).select(tokens.alias("tokens"), every.alias("places"))
+    whole = F.filter("places", lambda i: i < F.size("tokens") - 1)
+    gazetteer = listed.select(F.explode(F.transform(whole, pair)).alias("phrase")).distinct()
+    named = EntityNames(gazetteer.withColumn("label", F.lit("pair")), **LARGE)
+    return named.predictions(documents(spark, folder))
+
+
 class LongestLine(RowEnricher):
     """A custom predictor: characters of the longest line."""
 
@@ -336,21 +385,46 @@ def fitted_model_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return ModelEnricher(load_model(path), "filtered", "Tokens").predictions(rows)
 
 
-@query
-def fitted_model_quality(spark: SparkSession, folder: str) -> DataFrame:
-    """Naive Bayes over the words of a vocabulary, fitted once on all labelled documents, applied to all documents."""
-    labels = table(spark, folder, "labels").filter("quality is not null")
-    known = labels.select(F.col("doc_id").cast("string").alias("id"), F.col("quality").alias("label"))
-    vocabulary = [word for word, _ in lookups.LEXICON.rows]
+def quality_model(known: DataFrame) -> str:
+    """Naive Bayes over the words of at least `LEAST_DOCUMENTS` of the given texts `text, label`, weighted by their inverse
+    document frequency; fitted once, saved, and loaded by its path."""
     stages = [
         Tokenizer(inputCol="text", outputCol="tokens"),
-        CountVectorizerModel.from_vocabulary(vocabulary, inputCol="tokens", outputCol="features"),
+        CountVectorizer(inputCol="tokens", outputCol="counts", minDF=float(LEAST_DOCUMENTS), vocabSize=MOST_WORDS),
+        IDF(inputCol="counts", outputCol="features"),
         NaiveBayes(smoothing=1.0, predictionCol="quality"),
     ]
-    rows = documents(spark, folder)
-    path = work_folder(spark, "model")
-    save_model(Pipeline(stages=stages).fit(rows.filter("text is not null").join(known, "id")), path)
-    return ModelEnricher(load_model(path), "quality", "Quality").predictions(rows)
+    path = work_folder(known.sparkSession, "model")
+    save_model(Pipeline(stages=stages).fit(known), path)
+    return path
+
+
+def known_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled documents `id, text, label`."""
+    labels = table(spark, folder, "labels").filter("quality is not null")
+    known = labels.select(F.col("doc_id").cast("string").alias("id"), F.col("quality").alias("label"))
+    return documents(spark, folder).filter("text is not null").join(known, "id")
+
+
+@query
+def fitted_model_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """A model fitted once on all labelled documents, applied to all documents."""
+    path = quality_model(known_quality(spark, folder))
+    return ModelEnricher(load_model(path), "quality", "Quality").predictions(documents(spark, folder))
+
+
+@query
+def fitted_model_held_out(spark: SparkSession, folder: str) -> DataFrame:
+    """How many labels a model gets right that learned from four of five labelled documents: of these and of the rest,
+    next to the number that the more frequent label would get right."""
+    known = known_quality(spark, folder)
+    held_out = F.col("id").cast("long") % 5 == 0
+    path = quality_model(known.filter(~held_out))
+    answered = ModelEnricher(load_model(path), "quality", "Quality").enrich(known)
+    right = F.sum((F.col("prediction").cast("double") == F.col("label")).cast("bigint"))
+    ones = F.sum(F.col("label").cast("bigint"))
+    grouped = answered.groupBy(held_out.alias("held_out")).agg(F.count("*").alias("documents"), right.alias("correct"), ones.alias("ones"))
+    return grouped.select("held_out", "documents", "correct", F.greatest("ones", F.col("documents") - F.col("ones")).alias("majority"))
 
 
 @query
@@ -599,6 +673,18 @@ def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     return envelope.predictions_from(enriched.read_batch(spark))
 
 
+@query
+def stream_enrich_document_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentiment of a stream by a lexicon of all words of the documents, which is joined batch by batch."""
+    place = work_folder(spark, "enrich")
+    enriched = message_folder(f"{place}/messages")
+    enricher = Sentiment(document_lexicon(spark, folder), **LARGE)
+    streams.start_enricher(
+        message_stream(spark, folder), enricher, enriched, f"{place}/checkpoint", ONCE
+    ).awaitTermination()
+    return envelope.predictions_from(enriched.read_batch(spark))
+
+
 @query
 def stream_enrich_rows(spark: SparkSession, folder: str) -> DataFrame:
     place = work_folder(spark, "enrich")
