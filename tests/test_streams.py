@@ -146,3 +146,21 @@ def test_kafka_options():
 
 def test_show_batch(spark):
     channels.show_batch(spark.range(1))
+
+
+def test_wait_stops_all_legs_when_one_fails(spark, place):
+    source, target = message_folder(f"{place}/in"), message_folder(f"{place}/out")
+    write(spark, f"{place}/in", '{"id":"1","text":"a"}')
+
+    class Failing(Enricher):
+        def enrich(self, requests):
+            raise ValueError("no model")
+
+    going = streams.start_dispatch(source.read_stream(spark), target, f"{place}/c1")
+    assert streams.wait(going, seconds=0.5) is False
+    failing = streams.start_enricher(source.read_stream(spark), Failing("f"), target, f"{place}/c2", ONCE)
+    with pytest.raises(Exception, match="no model"):
+        streams.wait(going, failing)
+    assert not going.isActive
+    again = streams.start_dispatch(source.read_stream(spark), target, f"{place}/c1", ONCE)
+    assert streams.wait(again) is True and values(target, spark) == ['{"id":"1","text":"a"}']

@@ -154,6 +154,11 @@ class LookupTable:
             keys //= 2
         return self._entries([], self.max_bytes)
 
+    def _rare(self, keyed: DataFrame, possible: Column, hot: tuple[Column, int]) -> DataFrame:
+        """What is moved: one row `__text, key, places` for each text and key that is not looked up in the row."""
+        rare = F.filter(possible, lambda c: self._in(hot, c["key"]).isNull())
+        return keyed.select("__text", F.explode(bind(rare, _by_key)).alias("asked")).select("__text", "asked.*")
+
     def join(self, requests: DataFrame, candidates: Column, output: str) -> DataFrame:
         """Requests with a list of structs `i, n, key, found` for those candidates that are in the table, by place.
 
@@ -164,9 +169,7 @@ class LookupTable:
         keyed = requests.withColumn("__text", F.sha2("text", 256))
         each = keyed.select(F.explode(F.array_distinct(F.transform(possible, lambda c: c["key"]))).alias("key"))
         hot = self._hot(each)
-        rare = F.filter(possible, lambda c: self._in(hot, c["key"]).isNull())
-        asked = keyed.select("__text", F.explode(bind(rare, _by_key)).alias("asked")).select("__text", "asked.*")
-        joined = asked.join(self._grouped, "key")
+        joined = self._rare(keyed, possible, hot).join(self._grouped, "key")
         gathered = joined.groupBy("__text").agg(F.collect_set(F.struct("key", "places", "found")).alias("__joined"))
         hit = lambda p, key, found: F.struct(
             p["i"].alias("i"), p["n"].alias("n"), key.alias("key"), found.alias("found")

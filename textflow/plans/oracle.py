@@ -404,4 +404,7 @@ SQL: dict[str, str] = {
         "lead(token) OVER (PARTITION BY id ORDER BY place) AS next FROM tokens) WHERE place % 5 = 0 AND next IS NOT NULL)", NAMES,
     )
     + _typed("answers", "OpenNER"),
+    "stream_two_legs": _with(DOCS, LABELLED)
+    + f"SELECT docs.id, CASE WHEN docs.id IN (SELECT id FROM labelled) THEN {TOTAL} END AS prediction, 1 AS failures FROM docs",
+    "stream_from_time": _with(DOCS, LABELLED) + "SELECT id, text FROM docs WHERE id NOT IN (SELECT id FROM labelled)",
 }

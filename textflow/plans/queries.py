@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
@@ -842,3 +845,53 @@ def stream_enrich_replay(spark: SparkSession, folder: str) -> DataFrame:
             enriched.read_stream(spark), bodies, f"{place}/checkpoints/bodies", ONCE
         ).awaitTermination()
     return bodies.read_batch(spark)
+
+
+@query
+def stream_two_legs(spark: SparkSession, folder: str) -> DataFrame:
+    """Both legs of the dispatcher, of which the merge fails once: the wait for them raises its error, and started anew they
+    go on. One batch of the channel holds nothing but malformed messages."""
+    place = work_folder(spark, "legs")
+    store = FailsBetweenWrites(spark, f"{place}/store").create()
+    store.add_documents(_untyped(labelled(spark, folder)), "id", 0)
+    enriched = message_folder(f"{place}/enriched", maxFilesPerTrigger="1")
+    rows = documents(spark, folder)
+    malformed = rows.limit(3).select(F.lit("{").alias("value"))
+    enriched.write_batch(malformed.coalesce(1), "part=0")
+    enriched.write_batch(envelope.prediction_messages(TotalWords("Words").predictions(rows)).coalesce(1), "part=1")
+    to_enrich = message_folder(f"{place}/messages")
+
+    def start(store: DocumentStore):
+        return streams.start_dispatcher(
+            message_stream(spark, folder), to_enrich, enriched.read_stream(spark), store, f"{place}/checkpoints", ONCE
+        )
+
+    failures = 0
+    try:
+        streams.wait(*start(store))
+    except StreamingQueryException:
+        failures = 1
+    store = DocumentStore(spark, store.path)
+    streams.wait(*start(store))
+    sent = envelope.requests_from(to_enrich.read_batch(spark))
+    merged = store.latest().select("id", "prediction")
+    return sent.select("id").join(merged, "id", "left").withColumn("failures", F.lit(failures).cast("bigint"))
+
+
+@query
+def stream_from_time(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream that begins at a time: messages of older files are passed over, also when it is started anew."""
+    place = work_folder(spark, "since")
+    everything = message_folder(f"{place}/requests")
+    everything.write_batch(envelope.request_messages(labelled(spark, folder)), "part=0")
+    # Times of files are whole milliseconds, in some stores whole seconds.
+    time.sleep(1.1)
+    since = datetime.fromtimestamp(int(time.time()), timezone.utc)
+    channel, to_enrich = message_folder(f"{place}/requests", since=since), message_folder(f"{place}/messages")
+    others = documents(spark, folder).join(labelled(spark, folder), "id", "left_anti")
+    time.sleep(1.1)
+    for _ in range(2):
+        streams.start_dispatch(channel.read_stream(spark), to_enrich, f"{place}/checkpoint", ONCE).awaitTermination()
+        everything.write_batch(envelope.request_messages(others), "part=1")
+    streams.start_dispatch(channel.read_stream(spark), to_enrich, f"{place}/checkpoint", ONCE).awaitTermination()
+    return envelope.requests_from(to_enrich.read_batch(spark))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,16 +24,19 @@ class Channel:
     read_options: Mapping[str, str] = field(default_factory=dict)
     write_options: Mapping[str, str] = field(default_factory=dict)
     path: str | None = None
+    since: datetime | None = None
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
         """Messages as they come. Those of a folder carry the time, path and split of their file as `timestamp`, `file`
-        and `block`, for consumers that need the order of arrival."""
+        and `block`, for consumers that need the order of arrival. With `since`, files that are older are passed over:
+        the start of a stream by time, which stays the same when it is started anew."""
         reader = spark.readStream.format(self.format).options(**self.read_options)
         if self.path is None:
             return reader.load()
         places = {"timestamp": "file_modification_time", "file": "file_path", "block": "file_block_start"}
         found = [F.col(f"_metadata.{of}").alias(name) for name, of in places.items()]
-        return reader.schema(MESSAGE).load(self.path).select("*", *found)
+        messages = reader.schema(MESSAGE).load(self.path).select("*", *found)
+        return messages if self.since is None else messages.filter(F.col("timestamp") >= F.lit(self.since))
 
     def read_batch(self, spark: SparkSession) -> DataFrame:
         """All messages so far."""
@@ -76,8 +80,9 @@ def kafka_topic(brokers: str, topic: str, starting_offsets: str = "latest") -> C
     )
 
 
-def message_folder(path: str, format: str = "text", **read_options: str) -> Channel:
-    return Channel(format, {"recursiveFileLookup": "true", **read_options}, path=path)
+def message_folder(path: str, format: str = "text", since: datetime | None = None, **read_options: str) -> Channel:
+    """A folder of message files, from the beginning or from a time on; `maxFilesPerTrigger` bounds what a batch takes."""
+    return Channel(format, {"recursiveFileLookup": "true", **read_options}, path=path, since=since)
 
 
 def topics(options: Options) -> dict[str, Channel]:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +22,8 @@ from textflow.schemas import REQUEST
 from textflow.sources.channels import Channel, show_stream
 
 Trigger = Mapping | None
+# How long `wait` looks at one leg before it looks at the others.
+WATCH_SECONDS = 1
 
 
 def _each_batch(
@@ -170,6 +174,26 @@ def start_dispatcher(
     )
 
 
-def wait(spark: SparkSession) -> None:
-    """Blocks until any query of the application ends, and raises its error."""
-    spark.streams.awaitAnyTermination()
+def wait(*legs: StreamingQuery, seconds: float | None = None) -> bool:
+    """Blocks until all legs have ended, and tells whether they have; at most for `seconds`.
+
+    When one fails the others are stopped and its error is raised, so that an application never goes on with half of
+    its queries; started anew with their checkpoints, all legs go on where they were.
+    """
+    until = None if seconds is None else time.monotonic() + seconds
+    while True:
+        failed = next((leg for leg in legs if not leg.isActive and leg.exception() is not None), None)
+        if failed is not None:
+            for leg in legs:
+                leg.stop()
+            raise failed.exception()
+        running = [leg for leg in legs if leg.isActive]
+        if not running:
+            return True
+        if until is not None and time.monotonic() >= until:
+            return False
+        try:
+            running[0].awaitTermination(WATCH_SECONDS)
+        except StreamingQueryException:
+            # Told by the query itself, and raised above once the others are stopped.
+            continue
