@@ -108,6 +108,36 @@ def rule(host: str, path: str) -> tuple[str | None, str | None]:
     return max(fits, key=lambda x: len(x[0])) if fits else (None, None)
 
 
+def verdicts(pages: list[tuple[int, str | None, str | None]], rounds: int = 400) -> dict[int, tuple[str, float, float]]:
+    """(verdict, trust, distrust) of each page: ranks of hosts over absolute links between different hosts."""
+    places = {i: host_path(url) for i, url, _ in pages}
+    said = {i: rule(*at)[1] for i, at in places.items()}
+    arcs: dict[str, set] = {"allow": set(), "block": set()}
+    for i, _, html in pages:
+        for found in re.findall(r"""href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)""", html or "", re.I):
+            a, b = places[i][0], "".join(c.lower() if "A" <= c <= "Z" else c for c in found)
+            if a and b and a != b:
+                arcs["allow"].add((a, b))
+                arcs["block"].add((b, a))
+    ranks = {}
+    for kind, links in arcs.items():
+        hosts = Counter(places[i][0] for i in said if said[i] == kind and places[i][0])
+        start = {h: n / hosts.total() for h, n in hosts.items()}
+        degrees = Counter(a for a, _ in links)
+        mass = dict(start)
+        for _ in range(rounds):
+            following = defaultdict(float, {h: 0.15 * m for h, m in start.items()})
+            for a, b in links:
+                following[b] += 0.85 * mass.get(a, 0.0) / degrees[a]
+            mass = dict(following)
+        ranks[kind] = mass
+    result = {}
+    for i, (host, _) in places.items():
+        trust, distrust = ranks["allow"].get(host, 0.0), ranks["block"].get(host, 0.0)
+        result[i] = (said[i] or ("block" if distrust > trust else "allow"), trust, distrust)
+    return result
+
+
 def plain_words(text: str | None) -> list[bytes]:
     """Words as the decontamination reads them."""
     raw = bytes(

@@ -63,28 +63,16 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def host_links(judged: DataFrame, html: str) -> DataFrame:
-    """Links between different hosts, `src, dst`, each once: absolute links in pages, and a host with the domain above
-    it in both directions (a host and its domain answer for each other)."""
+    """Links between different hosts, `src, dst`, each once: the absolute links in pages.
+
+    Relative links stay on their host and count for nothing here. Hosts under one suffix are strangers to each other
+    unless a page links them: many of them share a registry (`co.uk`) or a service of pages. Null pages have no links.
+    """
     targets = F.regexp_extract_all(F.col(html), F.lit(HREF), F.lit(1))
     absolute = F.when(F.col(html).rlike(r"(?i)href[^>]{0,16}//"), targets)
     linked = judged.select(F.col("host").alias("src"), F.explode(absolute).alias("dst"))
-    linked = linked.select("src", lower_ascii(F.col("dst")).alias("dst")).distinct()
-    hosts = judged.select("host").distinct().union(linked.select("dst")).distinct().filter("host != ''")
-    # www.a.example.com - a.example.com - example.com: one step for each label but the last two.
-    parts = F.col("parts")
-    levels = F.transform(
-        F.sequence(F.lit(1), F.size(parts) - 2),
-        lambda i: F.struct(
-            F.array_join(F.slice(parts, i, F.size(parts)), ".").alias("sub"),
-            F.array_join(F.slice(parts, i + 1, F.size(parts)), ".").alias("domain"),
-        ),
-    )
-    labelled = hosts.withColumn("parts", F.split("host", r"\.")).filter(F.size("parts") > 2)
-    pairs = labelled.select(F.inline(levels)).distinct()
-    return (
-        linked.union(pairs.select("sub", "domain")).union(pairs.select("domain", "sub"))
-        .filter("src != dst and src != '' and dst != ''").distinct()
-    )
+    linked = linked.select("src", lower_ascii(F.col("dst")).alias("dst"))
+    return linked.filter("src != dst and src != '' and dst != ''").distinct()
 
 
 def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
@@ -140,7 +128,7 @@ def judge(
 
     A page that a rule fits gets its verdict. Hosts with allowed pages are trusted seeds and hosts with blocked pages
     are blocked seeds, each by its number of such pages. The other pages are blocked if their host's distrust
-    exceeds its trust times `threshold`, else allowed; hosts that nothing is known about are allowed, and so are
+    exceeds its trust times `threshold`, else allowed; hosts that no links tell about are allowed, and so are
     null or broken urls. Frequent hosts are counted in the tasks first. The ranks are joined to pages by host,
     without the html; Spark splits the rows of a frequent host. Columns of these names are replaced.
     """
