@@ -123,6 +123,53 @@ def test_accounts_before_capitals_and_context_beyond_other_matches(spark):
     assert scores[0] == [1.0] and scores[2] == [0.9]
 
 
+def test_context_words_are_words_and_secrets_need_them(spark):
+    key = "9f86d081884c7d659a2feaa0c55ad015"
+    cases = [
+        ("the hotel room 030 1234 5678", "local_phone", []),
+        ("we stay locally 030 1234 5678", "local_phone", []),
+        ("my tel: 030 1234 5678", "local_phone", ["030 1234 5678"]),
+        ("Telefonnummer 030 1234 5678", "local_phone", ["030 1234 5678"]),
+        ("call 030 1234 5678", "local_phone", ["030 1234 5678"]),
+        (f'token = "{key}"', "secret", [key]),
+        (f"API_KEY={key.upper()}", "secret", [key.upper()]),
+        (f"token {key} {key}, {key}", "secret", [key, key]),
+        (f"\u00e9\U0001f600 password: {key}+_-x", "secret", [f"{key}+_-x"]),
+        (f"sha of the file {key}", "secret", []),
+        ("the password is abcdefghijklmnopqrstuvwxyz", "secret", []),
+        ("the secret 12345678901234567890", "secret", []),
+        (f"token {key * 200}", "secret", [key * 200]),
+        ("", "secret", []),
+        (None, "secret", []),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    for row in pii.find(frame).collect():
+        text, kind, expected = cases[row.doc_id]
+        assert [text[s.start : s.end] for s in row.pii if s.kind == kind] == expected, text
+
+
+def test_hosts_under_one_suffix_are_strangers(spark):
+    pages = [(1, "http://bad.co.net/x", ""), (2, "http://good.co.uk/", ""), (3, "http://bad.co.uk/", '<a href="http://bad.co.net/">'), (4, "http://co.uk/", '<a href="/own">')]
+    rows = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), queries.RULES).collect()
+    assert {r.page_id: r.verdict for r in rows} == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+
+
+def test_verdicts_of_plain_page_rank(spark):
+    """Pages with links made by chance: ranks and verdicts by the method in plain Python."""
+    rng = random.Random(5)
+    hosts = [f"{a}.{b}" for a in ("www.example", "example", "a", "b", "c.d") for b in ("net", "com", "org", "info", "co.uk")]
+    pages = []
+    for i in range(300):
+        links = "".join(rng.choice(['<a href="http://{}/x">', "<A HREF='//{}'>", '<a href="/{}">']).format(rng.choice(hosts)) for _ in range(rng.randrange(4)))
+        pages.append((i, f"http://{rng.choice(hosts)}{rng.choice(['/de/', '/fr/', '/en/', '/'])}{i}", links or None))
+    rows = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), queries.RULES).collect()
+    expected = brute.verdicts(pages)
+    assert len(rows) == len(pages) and {r.verdict for r in rows if r.rule is None} == {"allow", "block"}
+    for r in rows:
+        verdict, trust, distrust = expected[r.page_id]
+        assert r.verdict == verdict and abs(r.trust - trust) < 1e-5 and abs(r.distrust - distrust) < 1e-5
+
+
 def test_links_in_capitals_count(spark):
     pages = [(1, "http://a.org/fr/", "<A HREF='HTTP://B.info/x'>"), (2, "http://c.info/", '<a Href="http://d.net/">'), (3, "http://d.net/", ""), (4, "http://b.info/", "")]
     rows = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), queries.RULES).collect()

@@ -39,14 +39,24 @@ _ACCOUNT = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
 ACCOUNT_SIGNS = (15, 34)
 # Matches that may begin within `NEARBY` signs before one: none has fewer signs than two with what parts it from the next.
 MATCHES_NEARBY = NEARBY // 2
+# Context words are whole words, or begin one where a longer one means the same: "tel" is not in "hotel", "call" not in
+# "locally".
+_CALLS = (
+    r"\b(?:(?:tele|mobil|smart)?(?:ph|f)on\p{L}*|(?:cell|phone)s?|call(?:s|ed|ing)?|tel|mobile?s?|m\u00f3vil|handy"
+    r"|ruf\p{L}*|anruf\p{L}*|appel(?:s|er|ez)?|llam\p{L}*|tel\u00e9fono\p{L}*|t\u00e9l\u00e9phon\p{L}*)\b"
+)
+_MAILS = r"\be?-?mail\p{L}*|\bcontact|\bschreib|\bcorreo|\bcourriel"
+_CARDS = r"\b(?:credit|kredit)?(?:cards?|karten?|cartes?|tarjetas?)\b|\bvisa\b|\bmastercard\b|\bcr[e\u00e9]dit\p{L}*"
+_SECRETS = r"(?<![a-z])(?:secret|token|passw(?:or)?d|passwort|credential|api[_ -]?key|access[_ -]?key|private[_ -]?key|bearer)"
 KINDS = (
-    Kind("email", rf"(?:(?<![{_WORD}])|\G)[{_WORD}]++@[{_NAME}]++(?:\.[{_NAME}]++)++", "@", 0.9, 0.1, "mail|contact|schreib|correo|courriel"),
-    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]++\.", 0.6, 0.3, r"\bip\b|address|server|host|adresse|direcci"),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9]){11,}+", r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", 0.8, 0.2, "card|visa|master|credit|karte|carte|tarjeta"),
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7, 0.3, "phone|call|tel|mobil|ruf|appel|llam"),
-    Kind("iban", rf"(?<![A-Za-z0-9])(?=({_ACCOUNT}[\s\S]{{0,{NEARBY}}}))[A-Z]", r"[A-Z]{2}[0-9]{2}", 0.9, 0.1, "iban|account|bank|konto|compte|cuenta"),
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9]{2}-[0-9]", 0.3, 0.4, "ssn|social security|sozialvers|seguridad social"),
-    Kind("local_phone", r"(?<![0-9+().-])\(?[0-9]{2,4}\)?[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}(?![0-9-])", r"[0-9]{2}\)?[\x20-][0-9]{3}", 0.3, 0.4, "phone|call|tel|mobil|ruf|appel|llam"),
+    Kind("email", rf"(?:(?<![{_WORD}])|\G)[{_WORD}]++@[{_NAME}]++(?:\.[{_NAME}]++)++", "@", 0.9, 0.1, _MAILS),
+    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]++\.", 0.6, 0.3, r"\bip\b|\baddress|\bserver|\bhosts?\b|\badresse|\bdirecci"),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9]){11,}+", r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", 0.8, 0.2, _CARDS),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7, 0.3, _CALLS),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=({_ACCOUNT}[\s\S]{{0,{NEARBY}}}))[A-Z]", r"[A-Z]{2}[0-9]{2}", 0.9, 0.1, r"\biban|\baccount|\bbank|\bkonto|\bcompte|\bcuenta"),
+    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9]{2}-[0-9]", 0.3, 0.4, r"\bssn\b|\bsocial security|\bsozialvers|\bseguridad social"),
+    Kind("local_phone", r"(?<![0-9+().-])\(?[0-9]{2,4}\)?[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}(?![0-9-])", r"[0-9]{2}\)?[\x20-][0-9]{3}", 0.3, 0.4, _CALLS),
+    Kind("secret", r"(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{20,}+", r"[A-Za-z0-9+_-]{20}", 0.3, 0.6, _SECRETS),
 )
 BASE = ("email", "ip", "card", "phone")
 
@@ -101,6 +111,8 @@ def _confirmed(kind: str, found: Column) -> Column:
         return ~found.rlike(r"^(000|666|9)|-00-|-0000$")
     if kind == "local_phone":
         return digits.between(8, 11)
+    if kind == "secret":
+        return (digits >= 4) & (F.length(F.regexp_replace(found, "[^A-Za-z]", "")) >= 4)
     return F.lit(True)
 
 
@@ -226,8 +238,9 @@ def find(rows: DataFrame, text: str = "text", output: str = "pii") -> DataFrame:
 
     Per kind, spans are leftmost and don't overlap; a match that fails its check is dropped and not tried again.
     The base kinds are always kept then. Signs after an `iban` may look like more of it: the longest run of
-    whole groups with the remainder 1 of 97 counts. `ssn` and `local_phone` are weak patterns, which only a context
-    word within 40 code points of text makes count, whatever else stands between. Null and empty texts have no spans. All work is in
+    whole groups with the remainder 1 of 97 counts. `ssn`, `local_phone` and `secret` (keys and tokens: runs of 20 signs
+    or more with four digits and four letters) are weak patterns, which only a context word within 40 code points of text
+    makes count, whatever else stands between. Null and empty texts have no spans. All work is in
     the row and nearly linear in its length, so copies and frequent values cost no shuffle.
     A column of the output's name is replaced.
     """

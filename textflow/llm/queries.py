@@ -58,6 +58,8 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.listed(base), 256).alias("base_sha256"),
         pii.listed(F.col("found")).alias("spans"),
         scores.alias("scores"),
+        count("secret").alias("n_secret"),
+        F.size("found").cast("bigint").alias("n_spans"),
     )
 
 
