@@ -145,6 +145,14 @@ def test_tags(spark, requests, limits):
     ]
 
 
+def test_word_count_leaves_standard_stop_words_out(spark, requests):
+    frame = requests(("1", "the cat und The cat"))
+    assert answers(WordCount(), frame) == {"1": '[{"cat":2},{"und":1},{"The":1}]'}
+    assert answers(WordCount(language="german"), frame) == {"1": '[{"the":1},{"cat":2},{"The":1}]'}
+    assert answers(WordCount(stop_words=()), frame) == {"1": '[{"the":1},{"cat":2},{"und":1},{"The":1}]'}
+    assert answers(WordCount(stop_words=["cat"]), frame) == {"1": '[{"the":1},{"und":1},{"The":1}]'}
+
+
 def test_null_text_fails_no_enricher(spark, requests):
     frame = requests(("1", None))
     assert answers(TotalWords(), frame) == {"1": None}
@@ -171,7 +179,7 @@ def test_row_function_opens_once_per_task(spark, requests):
 
 def test_several_enrichers_in_one_scan(spark, requests):
     frame = requests(("1", "a b"))
-    enrichers = [TotalWords("n"), WordCount("w"), Opened("u")]
+    enrichers = [TotalWords("n"), WordCount("w", stop_words=()), Opened("u")]
     assert side_by_side(frame, enrichers).first().asDict() == {
         "id": "1", "text": "a b", "n": "2", "w": '[{"a":1},{"b":1}]', "u": "1:A B",
     }

@@ -1,3 +1,8 @@
+import json
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,14 +123,60 @@ def test_bodies_of_complete_predictions(spark, place):
     assert values(target, spark) == ['{"id":"1","doc":{"predictions":{"n":[1]}}}', '{"id":"a\\"b","doc":{"predictions":{"t":"x"}}}']
 
 
-def test_tag_view_prints(spark, place, capfd):
+PRINTS = """
+import sys
+from textflow.operators.tags import TokenTags
+from textflow.session import local_session
+from textflow.sources.channels import message_folder, show_batch
+from textflow.streaming import queries as streams
+spark = local_session(1)
+lexicon = spark.createDataFrame([("hello", "INTJ", "UH")], "word string, pos string, tag string")
+messages = message_folder(sys.argv[1] + "/in").read_stream(spark)
+streams.wait(streams.start_tag_view(messages, TokenTags(lexicon), sys.argv[1] + "/check", {"availableNow": True}))
+show_batch(spark.createDataFrame([("a row of a table",)], "text string"))
+"""
+
+
+def test_views_print(spark, place):
+    """In a process of its own, as the console is the one of the JVM."""
     write(spark, f"{place}/in", "hello")
+    root = str(Path(__file__).resolve().parents[1])
+    path = place.removeprefix("file:")
+    done = subprocess.run([sys.executable, "-c", PRINTS, path], capture_output=True, text=True, cwd=root, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert "Batch: 0" in done.stdout and "|hello|" in done.stdout and "|a row of a table|" in done.stdout
+
+
+def test_tag_view_goes_whole_to_a_channel(spark, place):
+    source, view = message_folder(f"{place}/in"), message_folder(f"{place}/view")
     lexicon = spark.createDataFrame([("hello", "INTJ", "UH")], "word string, pos string, tag string")
-    view = streams.start_tag_view(
-        message_folder(f"{place}/in").read_stream(spark), TokenTags(lexicon), f"{place}/check", ONCE
-    )
-    view.awaitTermination()
-    assert view.exception() is None
+    expected = []
+    for i in range(30):
+        write(spark, f"{place}/in", "hello " * i)
+        tagged = {f"key{k + 1}": {"text": "hello", "pos": "INTJ", "tag": "UH"} for k in range(i)}
+        expected.append(("hello " * i, tagged))
+    for _ in range(2):
+        streams.wait(streams.start_tag_view(source.read_stream(spark), TokenTags(lexicon), f"{place}/check", ONCE, view))
+        shown = [json.loads(value) for value in values(view, spark)]
+        assert sorted(m["text"] for m in shown) == sorted(text for text, _ in expected)
+        assert {m["text"]: json.loads(m["prediction"]) for m in shown} == dict(expected)
+    with pytest.raises(ValueError, match="checkpoint"):
+        streams.start_tag_view(source.read_stream(spark), TokenTags(lexicon), view=view)
+
+
+def test_tokens_for_some_types(spark, place):
+    source, target = message_folder(f"{place}/in"), message_folder(f"{place}/out")
+    write(spark, f"{place}/in", '{"id":"1","text":"The cat","type":"a"}', '{"id":"2","text":"The cat","type":"b"}',
+          '{"id":"3","text":"The cat"}', '{"id":"4","type":"a"}', "bad", '{"id":"5","text":"","type":"a"}')
+    streams.wait(streams.start_dispatch(source.read_stream(spark), target, f"{place}/check", ONCE, ("a", "c")))
+    assert values(target, spark) == [
+        '{"id":"1","text":"The cat","type":"a","tokens":["the","cat"],"filtered":["cat"]}',
+        '{"id":"2","text":"The cat","type":"b"}',
+        '{"id":"3","text":"The cat"}',
+        '{"id":"5","text":"","type":"a","tokens":[""],"filtered":[""]}',
+    ]
+    messages = spark.createDataFrame([('{"id":"1","text":"x","type":"a"}',)], "value string")
+    assert streams.preprocess(messages, ()).first().tokens is None
 
 
 def test_preprocess_with_tokens(spark):
@@ -144,10 +195,6 @@ def test_kafka_options():
     assert found["enriched"].write_options == {"kafka.bootstrap.servers": "b1:9092,b2:9092", "topic": "out"}
 
 
-def test_show_batch(spark):
-    channels.show_batch(spark.range(1))
-
-
 def test_wait_stops_all_legs_when_one_fails(spark, place):
     source, target = message_folder(f"{place}/in"), message_folder(f"{place}/out")
     write(spark, f"{place}/in", '{"id":"1","text":"a"}')

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -93,7 +94,6 @@ def test_quoted_text_is_its_json(spark, text):
 
 
 def test_ids(spark):
-    import hashlib
 
     for text in ("I love it", 'a "b"\n', "é\x1f\x0b \\u001F \\\\\x1f\\"):
         body = json.dumps({"text": text}, ensure_ascii=False, separators=(",", ":"))
@@ -102,6 +102,16 @@ def test_ids(spark):
     assert one(spark, None, ids.json_id) is None
 
 
+def test_body_id(spark):
+    rows = spark.createDataFrame(
+        [("en", "a \x1f \\u001F\"", 3), (None, "b", None), ("en", None, 7), (None, None, None)], "lang string, text string, n int"
+    )
+    found = [r[0] for r in rows.select(ids.body_id(text=F.col("text"), lang=F.col("lang"), n=F.col("n"))).collect()]
+    bodies = [{"text": "a \x1f \\u001F\"", "lang": "en", "n": 3}, {"text": "b"}, {"lang": "en", "n": 7}]
+    expected = [hashlib.sha256(json.dumps(b, separators=(",", ":")).encode()).hexdigest() for b in bodies]
+    assert found == [*expected, None]
+
+
 def test_parse(spark):
     values = ["bad", '{"id":"2"}', '{"id":"4","text":"t","type":"s"}', '{"id":3,"text":{"x":1}}', None]
     messages = spark.createDataFrame([(v.encode() if v else None,) for v in values], "value binary")

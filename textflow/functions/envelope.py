@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textflow.schemas import PREDICTION, REQUEST
+from textflow.schemas import PREDICTION, REQUEST, TYPED_REQUEST
 
 
 def message_text(messages: DataFrame, *keep: str) -> DataFrame:
@@ -25,14 +25,19 @@ def requests_from(messages: DataFrame) -> DataFrame:
     return parse(messages, REQUEST).na.drop()
 
 
+def typed_requests_from(messages: DataFrame) -> DataFrame:
+    """Request rows `id, text, type` without the incomplete ones; a request may lack its type."""
+    return parse(messages, TYPED_REQUEST).na.drop(subset=REQUEST.names)
+
+
 def predictions_from(messages: DataFrame, *keep: str) -> DataFrame:
     """Prediction rows `id, type, text, prediction`."""
     return parse(messages, PREDICTION, *keep)
 
 
 def request_messages(requests: DataFrame) -> DataFrame:
-    """Messages of `id, text`, and of the tokens that requests may come with."""
-    names = [*REQUEST.names, *[c for c in ("tokens", "filtered") if c in requests.columns]]
+    """Messages of `id, text`, and of the type and tokens that requests may come with."""
+    names = [*REQUEST.names, *[c for c in ("type", "tokens", "filtered") if c in requests.columns]]
     return requests.select(F.to_json(F.struct(*names)).alias("value"))
 
 

@@ -1,4 +1,8 @@
-"""English stop words."""
+"""Stop words."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import StopWordsRemover
 
 # The English list of the stop-word remover in Spark ML.
 ENGLISH = tuple(
@@ -16,3 +20,8 @@ couldn't cannot could here's how's let's ought that's there's what's when's wher
 would
 """.split()
 )
+
+
+def stop_words_of(language: str) -> tuple[str, ...]:
+    """The standard stop words of a language; those of others than English need a session."""
+    return ENGLISH if language == "english" else tuple(StopWordsRemover.loadDefaultStopWords(language))

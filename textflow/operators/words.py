@@ -9,20 +9,25 @@ from pyspark.sql import functions as F
 
 from textflow.functions import text as X
 from textflow.functions.lookup import LookupTable, aligned
+from textflow.functions.stop_words import stop_words_of
 from textflow.operators.enricher import ColumnEnricher, Enricher
 from textflow.schemas import WORD_COUNTS
 
 
 class WordCount(Enricher):
-    """How often each word that is no stop word occurs; stop words match by case."""
+    """How often each word that is no stop word occurs; stop words match by case. Without `stop_words` they are the
+    standard ones of `language`; an empty list keeps all words."""
 
     form = WORD_COUNTS
 
     def __init__(
-        self, label: str = "WordCount", stop_words: Sequence[str] | LookupTable | None = None
+        self,
+        label: str = "WordCount",
+        stop_words: Sequence[str] | LookupTable | None = None,
+        language: str = "english",
     ) -> None:
         super().__init__(label)
-        self.stop_words = stop_words
+        self.stop_words = stop_words_of(language) if stop_words is None else stop_words
 
     @property
     def row_local(self) -> bool:

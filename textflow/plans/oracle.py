@@ -255,6 +255,8 @@ DOCUMENT_SENTIMENT = _with(DOCS, TOKENS, DOCUMENT_LEXICON, _words(), _scores("sc
 SQL: dict[str, str] = {
     "request_ids_text": "SELECT doc_id, sha256(text) AS id FROM documents",
     "request_ids_json": f"""SELECT doc_id, sha256('{{"text":' || {_json('text')} || '}}') AS id FROM documents""",
+    "request_ids_body": f"""SELECT doc_id, sha256('{{"lang":' || {_json('lang')} || ',"text":' || {_json('text')} || """
+    f"""CASE WHEN doc_id % 3 <> 0 THEN ',"source":' || {_json('source')} ELSE '' END || ',"size":' || n_chars || '}}') AS id FROM documents""",
     "message_filter": "SELECT CAST(NULL AS VARCHAR) AS type, text, conv_id, turn FROM conversations "
     "WHERE text NOT LIKE '/%'",
     "intake_first_wins": _with(CALLS, FIRSTS) + "SELECT id, type, text FROM firsts",
@@ -366,6 +368,10 @@ SQL: dict[str, str] = {
     "stream_enrich_rows": SENTIMENT,
     "stream_tags": _with(DOCS, lookups.TAGS.sql("tags"), TOKENS, TAGGED, TAG_OBJECT)
     + _typed("answers", "Tags"),
+    "stream_dispatch_by_type": _with(CALLS, FIRSTS)
+    + f"SELECT id, type, CASE WHEN type IN ('en', 'de') THEN {_json(LISTED_TOKENS)} END AS filtered FROM firsts",
+    "stream_tag_view": _with(DOCS, lookups.TAGS.sql("tags"), TOKENS, TAGGED)
+    + "SELECT sha256(docs.text) AS text_id, key, tagged.text, pos, tag FROM tagged JOIN docs ON docs.id = tagged.id",
     "stream_dispatch_tokens": _with(DOCS) + f"SELECT id, {_json(LISTED_TOKENS)} AS filtered FROM docs",
     "stream_bodies": _with(DOCS, _words(), _word_counts(False))
     + "SELECT '{\"id\":\"' || id || '\",\"doc\":{\"predictions\":{\"WordCount\":' || prediction || '}}}' AS value "

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from textflow.functions import envelope, ids
 from textflow.functions import text as X
-from textflow.functions.stop_words import ENGLISH
 from textflow.operators import compare, intake, merge, views
 from textflow.operators.enricher import ColumnEnricher, Enricher, RowEnricher, all_predictions, side_by_side
 from textflow.operators.entities import EntityLinks, EntityNames, LinkedEntities, annotated_passages
@@ -26,6 +25,7 @@ from textflow.operators.store import DocumentStore
 from textflow.operators.tags import TokenTags
 from textflow.operators.words import TotalWords, WordCount, stop_word_table
 from textflow.plans import lookups
+from textflow.schemas import TAGGED_TOKENS, TYPED_REQUEST
 from textflow.session import work_folder
 from textflow.sources.channels import message_folder
 from textflow.sources.models import load_model, save_model
@@ -94,6 +94,14 @@ def request_ids_json(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", ids.json_id(F.col("text")).alias("id"))
 
 
+@query
+def request_ids_body(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of requests whose body has more fields than the text; some lack one."""
+    rows = table(spark, folder, "documents")
+    source = F.when(F.col("doc_id") % 3 != 0, F.col("source"))
+    return rows.select("doc_id", ids.body_id(lang=F.col("lang"), text=F.col("text"), source=source, size=F.col("n_chars")).alias("id"))
+
+
 @query
 def message_filter(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
@@ -190,7 +198,7 @@ def class_tokens(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def json_check(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions that are JSON lists, and texts that are not."""
-    rows = WordCount().predictions(documents(spark, folder))
+    rows = WordCount(stop_words=()).predictions(documents(spark, folder))
     checked = rows.select(
         "id",
         envelope.is_json(F.col("prediction")).alias("list"),
@@ -217,12 +225,12 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def word_count_english(spark: SparkSession, folder: str) -> DataFrame:
     """Word counts without the standard English stop words."""
-    return WordCount(stop_words=ENGLISH).predictions(documents(spark, folder))
+    return WordCount().predictions(documents(spark, folder))
 
 
 @query
 def word_count_all_words(spark: SparkSession, folder: str) -> DataFrame:
-    return WordCount().predictions(documents(spark, folder))
+    return WordCount(stop_words=()).predictions(documents(spark, folder))
 
 
 @query
@@ -435,7 +443,7 @@ def side_by_side_enrichers(spark: SparkSession, folder: str) -> DataFrame:
     """One column per enricher from one scan."""
     enrichers = [
         Sentiment(lookups.LEXICON.frame(spark)),
-        WordCount(),
+        WordCount(stop_words=()),
         EntityNames(lookups.GAZETTEER.frame(spark)),
     ]
     return side_by_side(documents(spark, folder), enrichers)
@@ -496,7 +504,7 @@ def rejected_updates(spark: SparkSession, folder: str) -> DataFrame:
 def prediction_bodies(spark: SparkSession, folder: str) -> DataFrame:
     """Bodies of JSON predictions, of short texts, and of whole texts with all their signs."""
     enrichers = [
-        WordCount(),
+        WordCount(stop_words=()),
         Sentiment(lookups.LEXICON.frame(spark)),
         ColumnEnricher('Echo "text"', lambda text: text),
     ]
@@ -553,7 +561,7 @@ def typed_links(spark: SparkSession, folder: str) -> DataFrame:
 def typed_tags(spark: SparkSession, folder: str) -> DataFrame:
     """Stored tags and word counts in their declared forms: one row per tagged token."""
     rows = documents(spark, folder)
-    enrichers = [TokenTags(lookups.TAGS.frame(spark)), WordCount()]
+    enrichers = [TokenTags(lookups.TAGS.frame(spark)), WordCount(stop_words=())]
     stored = views.with_predictions(rows, merge.latest(all_predictions(rows, enrichers), F.lit(0)))
     typed = views.typed(stored, views.forms(enrichers))
     found = typed.select("id", F.size("WordCount").cast("bigint").alias("words"), F.explode("Tags").alias("key", "token"))
@@ -651,13 +659,27 @@ def stream_dispatch_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return sent.select("id", F.to_json("filtered").alias("filtered"))
 
 
+@query
+def stream_dispatch_by_type(spark: SparkSession, folder: str) -> DataFrame:
+    """API calls through the intake and on to the enrichers: tokens for requests of two of the types only."""
+    place = work_folder(spark, "dispatch")
+    store = DocumentStore(spark, f"{place}/store").create()
+    requests, to_enrich = message_folder(f"{place}/requests"), message_folder(f"{place}/messages")
+    calls = document_stream(spark, folder).select(F.col("lang").alias("type"), "text", "doc_id")
+    streams.wait(streams.start_intake(calls, store, requests, f"{place}/checkpoints/intake", "doc_id", trigger=ONCE))
+    streams.wait(streams.start_dispatch(requests.read_stream(spark), to_enrich, f"{place}/checkpoints/dispatch", ONCE, ("en", "de")))
+    declared = T.StructType([*TYPED_REQUEST.fields, T.StructField("filtered", T.ArrayType(T.StringType()))])
+    sent = envelope.parse(to_enrich.read_batch(spark), declared)
+    return sent.select("id", "type", F.to_json("filtered").alias("filtered"))
+
+
 @query
 def stream_bodies(spark: SparkSession, folder: str) -> DataFrame:
     """Word counts from a channel of predictions on to a channel of partial documents."""
     place = work_folder(spark, "bodies")
     enriched, bodies = message_folder(f"{place}/enriched"), message_folder(f"{place}/bodies")
     streams.start_row_enricher(
-        message_stream(spark, folder), WordCount(), enriched, f"{place}/checkpoints/enrich", ONCE
+        message_stream(spark, folder), WordCount(stop_words=()), enriched, f"{place}/checkpoints/enrich", ONCE
     ).awaitTermination()
     streams.start_bodies(
         enriched.read_stream(spark), bodies, f"{place}/checkpoints/bodies", ONCE
@@ -710,6 +732,21 @@ def stream_tags(spark: SparkSession, folder: str) -> DataFrame:
     return envelope.predictions_from(enriched.read_batch(spark))
 
 
+@query
+def stream_tag_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The tagged tokens of a stream of texts, one row each, as the debugging view shows them."""
+    place = work_folder(spark, "tag_view")
+    view = message_folder(f"{place}/view")
+    texts = document_stream(spark, folder).select(F.col("text").alias("value"))
+    tagger = TokenTags(lookups.TAGS.frame(spark))
+    streams.wait(streams.start_tag_view(texts, tagger, f"{place}/checkpoint", ONCE, view))
+    shown = envelope.parse(view.read_batch(spark), T.StructType().add("text", "string").add("prediction", "string"))
+    tagged = shown.select(
+        F.sha2("text", 256).alias("text_id"), F.explode(F.from_json("prediction", TAGGED_TOKENS)).alias("key", "token")
+    )
+    return tagged.select("text_id", "key", "token.*")
+
+
 @query
 def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Both legs: predictions of labelled and of unknown documents into a store of labelled ones."""

@@ -13,6 +13,7 @@ MESSAGE = _strings("value")
 API_REQUEST = _strings("type", "text")
 CHAT_MESSAGE = _strings("text")
 REQUEST = _strings("id", "text")
+TYPED_REQUEST = _strings("id", "text", "type")
 PREDICTION = _strings("id", "type", "text", "prediction")
 TAGGED_TOKENS = T.MapType(T.StringType(), _strings("text", "pos", "tag"))
 WORD_COUNTS = T.ArrayType(T.MapType(T.StringType(), T.IntegerType()))

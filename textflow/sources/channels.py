@@ -98,9 +98,15 @@ def topics(options: Options) -> dict[str, Channel]:
     }
 
 
-def show_stream(messages: DataFrame, checkpoint: str | None = None, trigger: Mapping | None = None) -> StreamingQuery:
-    """Prints new rows as they come."""
-    writer = messages.writeStream.format("console").outputMode("append")
+def show_stream(
+    rows: DataFrame, checkpoint: str | None = None, trigger: Mapping | None = None, view: Channel | None = None
+) -> StreamingQuery:
+    """Prints new rows as they come, the first ones of each batch; with `view` all go to that channel, as JSON."""
+    if view is not None:
+        if checkpoint is None:
+            raise ValueError("a view that is a channel needs a checkpoint")
+        return view.write_stream(rows.select(F.to_json(F.struct("*")).alias("value")), checkpoint, trigger)
+    writer = rows.writeStream.format("console").outputMode("append")
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     if trigger:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame
@@ -41,13 +41,22 @@ def _each_batch(
     return writer.start()
 
 
-def preprocess(messages: DataFrame, tokens: bool = False, language: str = "english") -> DataFrame:
+def preprocess(
+    messages: DataFrame, tokens: bool | Collection[str] = False, language: str = "english"
+) -> DataFrame:
     """Complete requests of a channel; on demand with `tokens` and `filtered`, its tokens without
-    stop words."""
-    requests = envelope.requests_from(messages)
-    if not tokens:
-        return requests
-    return remove_stop_words(tokenize(requests), language=language)
+    stop words.
+
+    With a list of types the requests keep their `type`, and only those of one of them are tokenised: the others, and
+    requests without a type, have null tokens.
+    """
+    if isinstance(tokens, bool):
+        requests = envelope.requests_from(messages)
+        return remove_stop_words(tokenize(requests), language=language) if tokens else requests
+    requests = envelope.typed_requests_from(messages)
+    asked = F.when(F.col("type").isin(list(tokens)), F.col("text"))
+    listed = tokenize(requests.withColumn("__asked", asked), text="__asked").drop("__asked")
+    return remove_stop_words(listed, language=language)
 
 
 def start_intake(
@@ -72,9 +81,14 @@ def start_intake(
 
 
 def start_dispatch(
-    messages: DataFrame, to_enrich: Channel, checkpoint: str, trigger: Trigger = None, tokens: bool = False
+    messages: DataFrame,
+    to_enrich: Channel,
+    checkpoint: str,
+    trigger: Trigger = None,
+    tokens: bool | Collection[str] = False,
 ) -> StreamingQuery:
-    """Complete requests on to the channel of the enrichers, on demand with their tokens."""
+    """Complete requests on to the channel of the enrichers, on demand with their tokens: all of them, or those of the
+    named types."""
     requests = preprocess(messages, tokens)
     return to_enrich.write_stream(envelope.request_messages(requests), checkpoint, trigger)
 
@@ -147,16 +161,21 @@ def start_bodies(messages: DataFrame, bodies: Channel, checkpoint: str, trigger:
 
 
 def start_tag_view(
-    messages: DataFrame, tagger: TokenTags, checkpoint: str | None = None, trigger: Trigger = None
+    messages: DataFrame,
+    tagger: TokenTags,
+    checkpoint: str | None = None,
+    trigger: Trigger = None,
+    view: Channel | None = None,
 ) -> StreamingQuery:
-    """Prints the tagged tokens of each message; for debugging."""
+    """Shows the tagged tokens of each message, for debugging: printed, or with `view` sent there whole as messages
+    `text, prediction`, which anything that reads a channel can look at."""
     if not tagger.row_local:
         raise ValueError(f"{tagger.label} needs whole batches: its lexicon is joined; use start_enricher")
     texts = envelope.message_text(messages).select(
         F.lit(None).cast("string").alias("id"), F.col("value").alias("text")
     )
     shown = tagger.enrich(texts).select("text", "prediction")
-    return show_stream(shown, checkpoint, trigger)
+    return show_stream(shown, checkpoint, trigger, view)
 
 
 def start_dispatcher(
