@@ -146,7 +146,7 @@ def test_typed_predictions(spark):
 def test_enrichers_declare_the_form_of_what_they_predict(spark, requests):
     gazetteer = spark.createDataFrame([("Orre", "person")], "phrase string, label string")
     lexicon = spark.createDataFrame([("a", "DET", "DT")], "word string, pos string, tag string")
-    enrichers = [EntityNames(gazetteer, wrapper="names"), TokenTags(lexicon), WordCount(), TotalWords()]
+    enrichers = [EntityNames(gazetteer, wrapper="names"), TokenTags(lexicon), WordCount(stop_words=()), TotalWords()]
     rows = requests(("1", "a Orre a"), ("2", None))
     stored = views.with_predictions(rows, merge.latest(all_predictions(rows, enrichers), F.lit(0)))
     found = {r.id: r for r in views.typed(stored, views.forms(enrichers)).collect()}

@@ -94,7 +94,6 @@ def test_quoted_text_is_its_json(spark, text):
 
 
 def test_ids(spark):
-
     for text in ("I love it", 'a "b"\n', "é\x1f\x0b \\u001F \\\\\x1f\\"):
         body = json.dumps({"text": text}, ensure_ascii=False, separators=(",", ":"))
         assert one(spark, text, ids.json_id) == hashlib.sha256(body.encode()).hexdigest()
