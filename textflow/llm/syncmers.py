@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +15,10 @@ K, S = 6, 2
 # Words are pieces of non-blank signs of at most this length, so that a text without blanks has anchors too.
 PIECES = r"[^\x20\x09-\x0D]{1,16}"
 ROWS_PER_BLOCK = 1024
-MOST_BLOCKS = 65_536
+MOST_BLOCKS = 262_144
 CUTS = 256
+# Bands of moves to either side, over the longer fingerprint.
+BANDS = 8
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
@@ -61,10 +65,40 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the number of different anchors in both over the sum of the different anchors of each; 1 for two
-    texts without anchors."""
-    total = F.size(F.array_distinct(a)) + F.size(F.array_distinct(b))
-    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / total)
+    """How much of two fingerprints matches in place: twice the number of matched anchors over the sum of the different
+    anchors of each, 0 to 1; 1 for two texts without anchors.
+
+    Different anchors are numbered as they come; one that both have is moved by the difference of its numbers. Matched are
+    those whose moves lie in one band, the one that holds most; a band reaches an eighth of the longer fingerprint to
+    either side. So a passage that was put in front moves all alike and costs only itself, while halves that change
+    places match once. Anchors are brought together by sorting, so the work is n log n.
+    """
+    placed = lambda found, side: F.transform(
+        found, lambda x, i: F.shiftleft(x.cast("bigint"), 32) + F.lit(side << 31) + i
+    )
+
+    def moves(listed: Column) -> Column:
+        number = lambda x: x.bitwiseAND(F.lit((1 << 31) - 1))
+
+        def move(x: Column, i: Column) -> Column:
+            following = F.get(listed, i + 1)
+            return F.when(F.shiftright(x, 32) == F.shiftright(following, 32), number(following) - number(x))
+
+        return F.filter(F.transform(listed, move), lambda x: x.isNotNull())
+
+    def of_both(both: Column) -> Column:
+        x, y = both["x"], both["y"]
+        reach = F.greatest(F.size(x), F.size(y), F.lit(BANDS)) / BANDS
+        held = lambda found: F.transform(
+            F.sequence(F.lit(-BANDS), F.lit(BANDS)),
+            lambda band: F.size(F.filter(found, lambda move: F.abs(move - band * reach) <= reach)),
+        )
+        matched = F.array_max(bind(bind(F.sort_array(F.concat(placed(x, 0), placed(y, 1))), moves), held))
+        total = F.size(x) + F.size(y)
+        apart = (total > 0) & ~F.arrays_overlap(x, y)
+        return F.when(total == 0, F.lit(1.0)).when(apart, F.lit(0.0)).otherwise(2.0 * matched / total)
+
+    return bind(F.struct(F.array_distinct(a).alias("x"), F.array_distinct(b).alias("y")), of_both)
 
 
 def as_text(found: Column) -> Column:
@@ -72,32 +106,53 @@ def as_text(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.lpad(F.lower(F.hex(x.cast("bigint") + (1 << 31))), 8, "0")), "")
 
 
-def _blocks(documents: DataFrame, doc_id: str) -> tuple[Column, DataFrame]:
-    """The block of a document, from its id, and for each block its first id and the block before it.
-
-    A block holds about `ROWS_PER_BLOCK` ids that follow each other; there are at most about `MOST_BLOCKS`. Quantiles
-    of the ids are cut into parts of equal width, so ids need not be dense or evenly spread. Null ids come
-    first, in block -1.
+def _ranges(cuts: list[int], blocks: int) -> list[tuple[int, int, int]]:
+    """(first id, number of ids, number of blocks) of ranges that follow each other, from quantiles of the ids. An id that
+    is several quantiles is a range of its own, with as many times the blocks; what lies before the first or behind
+    the last quantile, which an approximation may leave there, is a block each."""
+    times = Counter(cuts)
+    edges = sorted(times)
+    ranges = [(-(1 << 63), 1, 1)]
+    for low, high in zip(edges, [*edges[1:], edges[-1] + 1]):
+        if times[low] > 1:
+            ranges.append((low, 1, blocks * times[low]))
+            low += 1
+        if low < high:
+            ranges.append((low, high - low, blocks))
+    return [*ranges, (min(edges[-1] + 1, (1 << 63) - 1), 1, 1)]
+
+
+def _blocks(documents: DataFrame, doc_id: str, tie: Column) -> tuple[Column, DataFrame]:
+    """The block of a row, from its id and `tie`, and for each block the least id and tie in it and the block before it.
+
+    A block holds about `ROWS_PER_BLOCK` rows whose ids follow each other; there are at most about twice `MOST_BLOCKS`.
+    Ranges between quantiles of the ids are cut into parts of equal width, so ids need not be dense or evenly spread.
+    A range of one id is cut by the hash of the text instead, and so are the rows without an id, which come first.
     """
     cuts = [i / CUTS for i in range(CUTS + 1)]
+    number = F.col(doc_id).cast("bigint")
     found = documents.agg(
-        F.count(doc_id).alias("n"), F.percentile_approx(F.col(doc_id).cast("bigint"), cuts, 10_000).alias("cuts")
+        F.count(doc_id).alias("n"), F.count("*").alias("all"), F.percentile_approx(number, cuts, 10_000).alias("cuts")
     ).first()
-    edges = sorted(set(found["cuts"] or [0]))
-    parts = max(1, min(found["n"] // ROWS_PER_BLOCK, MOST_BLOCKS) // len(edges))
-    number = F.col(doc_id).cast("bigint")
-    lows = F.array(*[F.lit(e) for e in edges])
-    widths = F.array(*[F.lit(max(1, -(-(b - a) // parts))) for a, b in zip(edges, [*edges[1:], edges[-1] + 1])])
+    of = lambda n: max(1, min(n // ROWS_PER_BLOCK, MOST_BLOCKS))
+    ranges, nulls = _ranges(found["cuts"] or [0], max(1, of(found["n"]) // CUTS)), of(found["all"] - found["n"])
+    firsts = [sum(n for *_, n in ranges[:i]) for i in range(len(ranges))]
+    lows, widths, blocks = zip(*ranges)
+    listed = lambda values, kind: F.array(*[F.lit(kind(x)) for x in values])
+    # Numbers of ids may be beyond 64 bits.
+    table = [listed(lows, int), listed(widths, float), listed(blocks, int), listed(firsts, int)]
+    share = tie.cast("double") / float(1 << 64) + 0.5
+    part = lambda at, n: F.greatest(F.least(F.floor(at * n), n - 1), F.lit(0)).cast("bigint")
 
     def block(at: Column) -> Column:
-        part = F.expr("0") if parts == 1 else F.floor((number - F.get(lows, at)) / F.get(widths, at))
-        return at.cast("bigint") * parts + F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1))
+        low, ids, n, first = (F.get(column, at) for column in table)
+        inside = F.when(ids == 1, share).otherwise((number.cast("double") - low.cast("double")) / ids)
+        return first.cast("bigint") + F.when(n == 1, F.lit(0).cast("bigint")).otherwise(part(inside, n))
 
-    # What lies below the first cut (an approximation may) belongs to the first block.
-    at = F.greatest(F.size(F.filter(lows, lambda low: low <= number)) - 1, F.lit(0))
-    placed = F.when(number.isNull(), F.lit(-1).cast("bigint")).otherwise(bind(at, block))
+    at = F.size(F.filter(table[0].cast("array<bigint>"), lambda low: low <= number)) - 1
+    placed = F.when(number.isNull(), part(share, F.lit(nulls)) - nulls).otherwise(bind(at, block))
     in_order = Window.orderBy("__block")
-    heads = documents.groupBy(placed.alias("__block")).agg(F.min(doc_id).alias("__head"))
+    heads = documents.groupBy(placed.alias("__block")).agg(F.min(F.struct(F.col(doc_id).alias("id"), tie.alias("tie"))).alias("__head"))
     heads = heads.withColumn("__before", F.lag("__block").over(in_order))
     # The last block is followed by the first one.
     last = F.max("__block").over(Window.partitionBy())
@@ -109,16 +164,17 @@ def with_next(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
     `next_anchors`): ascending ids, after the last the first. Null ids come first; rows that share an id follow each
     other in the order of a hash of their text, then of the text; repeated rows follow each other. A single document is its own next.
 
-    Texts are moved once, to blocks of neighbouring ids. The first rows of a block also go, as guests, to the
-    block before, whose last row they follow. The table of first ids has at most about 65,536 rows, whatever the
-    documents are, and is broadcast for that reason.
+    Texts are moved once, to blocks of neighbouring ids. The first row of a block also goes, as a guest, to the
+    block before, whose last row it follows. Rows that share an id, or have none, are dealt out by the hash of their text;
+    only copies with one id stay together. The table of first ids has a row for each block, at most about 500,000
+    whatever the documents are, and is broadcast for that reason.
     """
-    light = documents.select(doc_id)
-    placed, heads = _blocks(light, doc_id)
-    rows = documents.withColumns({"__block": placed, "__tie": F.xxhash64(text)})
+    tie = F.xxhash64(text)
+    placed, heads = _blocks(documents.select(doc_id, text), doc_id, tie)
+    rows = documents.withColumns({"__block": placed, "__tie": tie})
     guests = F.broadcast(heads.select("__block", "__head", "__before"))
     rows = rows.join(guests, "__block", "left")
-    first = F.col(doc_id).eqNullSafe(F.col("__head"))
+    first = F.col(doc_id).eqNullSafe(F.col("__head.id")) & (F.col("__tie") == F.col("__head.tie"))
     home = F.struct(F.col("__block").alias("block"), F.lit(0).alias("guest"))
     away = F.struct(F.col("__before").alias("block"), F.lit(1).alias("guest"))
     rows = rows.withColumn("__at", F.explode(F.when(first, F.array(home, away)).otherwise(F.array(home))))
