@@ -15,8 +15,10 @@ from textflow.llm.tables import Texts, add_from_text, without
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 16
 UNKNOWN = "und"
-# Bounds of the sample that is learned from: languages, rows of each, signs of each row.
-LANGUAGES, ROWS_OF_EACH, SIGNS_OF_ROW = 100, 400, 2048
+# Bounds of the sample that is learned from: rows of each language, and rows of all languages, as long as that is one of each.
+ROWS_OF_EACH, MOST_ROWS = 400, 40_000
+# Places drawn from each of these rows, anywhere in the whole text, and signs read at each.
+PLACES, SIGNS = 16, 2 * WINDOW
 STEPS, BATCH, RATE, SEED = 500, 96, 0.01, 7
 # Windows whose activations are held at once.
 AT_ONCE = 128
@@ -119,23 +121,34 @@ def _random_window(text: bytes, random: np.random.Generator) -> np.ndarray:
     return np.frombuffer(text[at : at + length].ljust(WINDOW), np.uint8)
 
 
-def sample(rows: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[bytes], list[str]]:
-    """What is learned from: of each of the `LANGUAGES` most frequent languages `ROWS_OF_EACH` rows, chosen by a hash,
-    of each a piece of `SIGNS_OF_ROW` signs from a place chosen by the hash. Rows without letters or language are left
-    out. A share of each language that a count of it gives is looked at, so the choice moves few rows at any size."""
-    usable = rows.filter(F.col(lang).isNotNull() & F.col(text).rlike(LETTER)).select(lang, text)
-    counts = usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGUAGES).collect()
-    chance = F.xxhash64(text, F.lit(SEED))
-    share = F.lit(0.0)
-    for name, n in counts:
-        share = F.when(F.col(lang) == name, min(1.0, 4.0 * ROWS_OF_EACH / n)).otherwise(share)
-    few = usable.withColumn("chance", chance).filter(F.pmod("chance", F.lit(1 << 20)) < share * (1 << 20))
-    start = 1 + F.pmod("chance", F.greatest(F.length(text) - SIGNS_OF_ROW, F.lit(1))).cast("int")
-    few = few.select(lang, "chance", F.substring(F.col(text), start, F.lit(SIGNS_OF_ROW)).alias("piece"))
-    order = Window.partitionBy(lang).orderBy("chance", "piece")
-    chosen = few.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= ROWS_OF_EACH)
-    found = chosen.orderBy(lang, "i").select("piece", lang).collect()
-    return [r[0].encode() for r in found], [r[1] for r in found]
+def sample(
+    rows: DataFrame, text: str = "text", lang: str = "lang", rows_of_each: int = ROWS_OF_EACH, most_rows: int = MOST_ROWS
+) -> tuple[list[bytes], list[str]]:
+    """What is learned from: of each language `rows_of_each` different texts, chosen by a hash, of each the signs at
+    `PLACES` places, drawn from the whole text by the hash. Rows without letters or language are left out.
+
+    Every language of the rows is learned. They are the classes of the network, so the driver holds them; if there are so many
+    that all rows together would be more than `most_rows`, each has fewer rows, but one at least. Copies of a text
+    are one choice. A share of each language that a count of its different texts gives is looked at, so the choice
+    moves few rows at any size, and of these the places and not the texts.
+    """
+    usable = rows.filter(F.col(lang).isNotNull() & F.col(text).rlike(LETTER))
+    usable = usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text, F.lit(SEED)).alias("chance"))
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("chance").alias("n")).collect()
+    if not counts:
+        return [], []
+    each = max(1, min(rows_of_each, most_rows // len(counts)))
+    shares = [(name, min(1.0, (4.0 * each + 16) / max(1, n)) * (1 << 20)) for name, n in counts]
+    shares = rows.sparkSession.createDataFrame(shares, "lang string, share double")
+    few = usable.join(F.broadcast(shares), "lang").filter(F.pmod("chance", F.lit(1 << 20)) < F.col("share"))
+    last = F.greatest(F.length("text") - SIGNS + 1, F.lit(1))
+    at = lambda i: (1 + F.pmod(F.xxhash64("chance", i), last)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(1), F.lit(PLACES)), lambda i: F.substring("text", at(i), F.lit(SIGNS)))
+    few = few.dropDuplicates(["lang", "chance"]).select("lang", "chance", pieces.alias("pieces"))
+    order = Window.partitionBy("lang").orderBy("chance")
+    chosen = few.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= each)
+    found = chosen.orderBy("lang", "i").select("lang", F.explode("pieces").alias("piece")).collect()
+    return [r.piece.encode() for r in found], [r.lang for r in found]
 
 
 def _predictor(network: Network) -> Callable[[], Callable[[Texts], list]]:
