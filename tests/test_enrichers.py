@@ -277,3 +277,19 @@ def test_only_runs_with_a_known_head_and_length_are_made(spark, requests):
     rows = requests(("1", "Ann met Bob in New York City Hall and " + "nobody " * 500)).withColumn("tokens", F.split("text", " "))
     keys = [r.key for r in rows.select(F.inline(table._grams(F.col("tokens")))).collect()]
     assert {"Ann met", "Bob", "New York City Hall"} <= set(keys) and len(keys) <= 6
+
+
+def test_a_key_is_moved_once_for_each_chunk(spark, monkeypatch):
+    """Texts share their keys: what is moved grows with the keys of a chunk, not with those of each text."""
+    from textflow.functions import lookup
+
+    keys, texts = 2000, 400
+    table = spark.createDataFrame([(f"k{i}", i) for i in range(keys)], "word string, v int")
+    rows = spark.createDataFrame([(" ".join(f"k{(t * 7 + j * 11) % keys}" for j in range(200)),) for t in range(texts)], "text string")
+    moved = []
+    rare = lookup.LookupTable._rare
+    monkeypatch.setattr(lookup.LookupTable, "_rare", lambda self, *given: moved.append(rare(self, *given)) or moved[-1])
+    placed = F.transform(F.split("text", " "), lambda w, i: F.struct(i.alias("i"), F.lit(1).alias("n"), w.alias("key")))
+    found = lookup.LookupTable(table, "word", ["v"], way="join").join(rows, placed, "hits").collect()
+    assert len(found) == texts and all([f"k{h.found[0].v}" for h in row.hits] == row.text.split(" ") for row in found)
+    assert moved[0].count() <= int(spark.conf.get("spark.sql.shuffle.partitions")) * keys

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import cached_property
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textflow.functions.text import bind
 
@@ -16,8 +18,8 @@ MAX_INLINE_ROWS = 20_000
 MAX_INLINE_BYTES = 4 * 1024 * 1024
 # Bits of a filter of keys, whatever the table: 256 KB in the plan.
 FILTER_BITS = 21
-# Keys that are looked up in the row although the table is joined, and keys that the sketch follows.
-HOT_KEYS, FOLLOWED_KEYS = 1_000, 10_000
+# Characters of the texts of a chunk, on average.
+CHUNK_CHARS = 4 << 20
 
 
 class KeyFilter:
@@ -30,15 +32,14 @@ class KeyFilter:
         self.keys = keys
 
     @staticmethod
-    def _places(key: Column) -> list[Column]:
+    def _places(hashed: Column) -> list[Column]:
         """Three places in the filter, from the pieces of one hash."""
-        hashed = F.xxhash64(key)
         pieces = [hashed, F.shiftrightunsigned(hashed, FILTER_BITS), F.shiftrightunsigned(hashed, 2 * FILTER_BITS)]
         return [piece.bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) for piece in pieces]
 
     @cached_property
     def _bits(self) -> Column:
-        places = self.keys.select(F.explode(F.array(*self._places(F.col("key")))).alias("place"))
+        places = self.keys.select(F.explode(F.array(*self._places(F.xxhash64("key")))).alias("place"))
         bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
         numbers = places.groupBy(F.expr("cast(place div 64 as int)").alias("at")).agg(F.bit_or(bit).alias("bits")).collect()
         words = [0] * ((1 << FILTER_BITS) // 64)
@@ -52,8 +53,11 @@ class KeyFilter:
             number = F.get(self._bits, F.shiftrightunsigned(place, 6).cast("int"))
             return F.getbit(number, place.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-        first, second, third = self._places(key)
-        return set_(first) & set_(second) & set_(third)
+        def all_set(hashed: Column) -> Column:
+            first, second, third = self._places(hashed)
+            return set_(first) & set_(second) & set_(third)
+
+        return bind(F.xxhash64(key), all_set)
 
 
 class LookupTable:
@@ -62,10 +66,9 @@ class LookupTable:
     `row`: the table is a literal of the plan and `find` a plain column expression; texts need no shuffle, and streams run
     without batches. Its size is checked; a larger table is an error, not another plan.
 
-    `join`: for tables of any size. Keys that the table cannot hold are left out in the row by a filter of fixed
-    size; the most frequent of the others, found by a sketch, are looked up in the row as well; what is left is
-    moved once for each text and key. So neither a word that makes up half of all texts nor one that no table
-    holds is shuffled.
+    `join`: for tables of any size. Texts are dealt into chunks, each different key of a chunk is joined once, and the
+    chunk's rows are looked up in what came back. Keys that most chunks ask for are
+    given to every chunk. So what is moved are whole texts and, for each chunk, its different keys.
     """
 
     def __init__(
@@ -133,79 +136,65 @@ class LookupTable:
         """The value structs of a key, or null; only for a table in the row."""
         return self._in(self._literal, key)
 
-    @cached_property
-    def filter(self) -> KeyFilter:
-        return KeyFilter(self.table.select("key").distinct())
-
-    def _hot(self, asked: DataFrame) -> tuple[Column, int]:
-        """The entries of the most frequent keys of `asked`, by a sketch whose partial results are of fixed size."""
-        sketch = F.expr(f"approx_top_k(key, {HOT_KEYS}, {FOLLOWED_KEYS})")
-        top = [item["item"] for item in asked.agg(sketch.alias("top")).first()["top"] or []]
-        wanted = asked.sparkSession.createDataFrame([(k,) for k in top], "key string")
-        rows = self.table.join(F.broadcast(wanted), "key", "left_semi").withColumn("hash", F.xxhash64("key"))
-        # A key may have many values: as many of the first keys as fit.
-        rows = rows.limit(self.max_rows + 1).collect()
-        keys = len(top) if len(rows) <= self.max_rows else 0
-        while keys:
-            kept = set(top[:keys])
-            made = self._entries([r for r in rows if r["key"] in kept], self.max_bytes)
-            if made is not None:
-                return made
-            keys //= 2
-        return self._entries([], self.max_bytes)
-
-    def _rare(self, keyed: DataFrame, possible: Column, hot: tuple[Column, int]) -> DataFrame:
-        """What is moved: one row `__text, key, places` for each text and key that is not looked up in the row."""
-        rare = F.filter(possible, lambda c: self._in(hot, c["key"]).isNull())
-        return keyed.select("__text", F.explode(bind(rare, _by_key)).alias("asked")).select("__text", "asked.*")
+    def _rare(self, known: DataFrame, chunks: int) -> DataFrame:
+        """One row `__chunk, key, found` for each chunk and key, of keys that no more than half of the chunks ask for."""
+        return known.filter(F.size("asking") * 2 <= chunks).select(F.explode("asking").alias("__chunk"), "key", "found")
+
+    def _frequent(self, known: DataFrame, chunks: int) -> DataFrame:
+        """As `_rare`, of the other keys: every chunk is given them."""
+        every = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("__chunk")
+        return known.filter(F.size("asking") * 2 > chunks).select(every, "key", "found")
 
     def join(self, requests: DataFrame, candidates: Column, output: str) -> DataFrame:
         """Requests with a list of structs `i, n, key, found` for those candidates that are in the table, by place.
 
-        `candidates` is a list of structs `i, n, key` that depends on nothing but `text`. The hash of the text is what
-        rows are brought together by, so ids may repeat or be null: copies of a text have the same candidates.
+        `candidates` is a list of structs `i, n, key`, by place, that depends on nothing but `text`. Requests are dealt
+        into chunks by the hash of text and id, so both must be the same whenever they are computed; ids may repeat or
+        be null.
         """
-        possible = F.filter(candidates, lambda c: self.filter.may_hold(c["key"]))
-        keyed = requests.withColumn("__text", F.sha2("text", 256))
-        each = keyed.select(F.explode(F.array_distinct(F.transform(possible, lambda c: c["key"]))).alias("key"))
-        hot = self._hot(each)
-        joined = self._rare(keyed, possible, hot).join(self._grouped, "key")
-        gathered = joined.groupBy("__text").agg(F.collect_set(F.struct("key", "places", "found")).alias("__joined"))
-        hit = lambda p, key, found: F.struct(
-            p["i"].alias("i"), p["n"].alias("n"), key.alias("key"), found.alias("found")
-        )
-        none = F.array().cast(f"array<struct<key:string,places:array<struct<i:int,n:int>>,found:array<{self._struct}>>>")
-        spread = F.flatten(
-            F.transform(F.coalesce("__joined", none), lambda e: F.transform(e["places"], lambda p: hit(p, e["key"], e["found"])))
-        )
-        frequent = F.transform(possible, lambda c: hit(c, c["key"], self._in(hot, c["key"])))
-        frequent = F.filter(F.coalesce(frequent, F.array().cast(self._hits)), lambda c: c["found"].isNotNull())
-        whole = keyed.join(gathered, "__text", "left")
-        return whole.withColumn(output, F.sort_array(F.concat(spread, frequent))).drop("__text", "__joined")
-
-    @property
-    def _hits(self) -> str:
-        return f"array<struct<i:int,n:int,key:string,found:array<{self._struct}>>>"
-
-
-def _by_key(candidates: Column) -> Column:
-    """One struct `key, places` for each different key, by sorting the row's own candidates."""
-    in_order = F.sort_array(F.transform(candidates, lambda c: F.struct(c["key"].alias("key"), c["i"].alias("i"), c["n"].alias("n"))))
-
-    def runs(ordered: Column) -> Column:
-        differs = lambda k: F.get(ordered, k - 1)["key"] != F.get(ordered, k)["key"]
-        heads = F.filter(F.transform(ordered, lambda _, k: k), lambda k: (k == 0) | differs(k))
-
-        def grouped(heads: Column) -> Column:
-            end = lambda k: F.coalesce(F.get(heads, k + 1), F.size(ordered))
-            places = lambda h, k: F.transform(
-                F.slice(ordered, h + 1, end(k) - h), lambda x: F.struct(x["i"].alias("i"), x["n"].alias("n"))
-            )
-            return F.transform(heads, lambda h, k: F.struct(F.get(ordered, h)["key"].alias("key"), places(h, k).alias("places")))
-
-        return bind(heads, grouped)
-
-    return bind(in_order, runs)
+        chars = requests.agg(F.sum(F.length("text")).alias("chars")).first()["chars"] or 0
+        # Enough chunks to keep all tasks busy.
+        chunks = max(int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // CHUNK_CHARS + 1)
+        by = [c for c in ("text", "id") if c in requests.columns]
+        chunk = F.pmod(F.xxhash64(*by), F.lit(chunks)).cast("int")
+        dealt = requests.withColumn("__chunk", chunk).repartition("__chunk")
+        asked = dealt.select("__chunk", F.explode(F.transform(candidates, lambda c: c["key"])).alias("key")).distinct()
+        asking = asked.groupBy("key").agg(F.collect_list("__chunk").alias("asking"))
+        known = asking.join(self._grouped, "key")
+        found = self._rare(known, chunks).unionByName(self._frequent(known, chunks))
+        found = found.select(F.col("__chunk").alias("__of"), "key", "found")
+        ordered = dealt.sortWithinPartitions("__chunk").withColumn("__asked", candidates)
+        kinds = {"i": T.IntegerType(), "n": T.IntegerType(), "key": T.StringType(), "found": found.schema["found"].dataType}
+        hit = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+        schema = T.StructType([*requests.schema.fields, T.StructField(output, T.ArrayType(hit))])
+        together = ordered.groupBy("__chunk").cogroup(found.groupBy("__of"))
+        return together.applyInArrow(_looked_up(requests.columns, output), schema)
+
+
+def _looked_up(columns: list[str], output: str) -> Callable:
+    """The rows of a chunk with the hits of their candidates, by Arrow's own hash table. Made here, so that it travels
+    with the job by value."""
+
+    def look_up(rows, table):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        asked = rows["__asked"].combine_chunks()
+        parents = np.asarray(pc.list_parent_indices(asked))
+        asked = pc.list_flatten(asked)
+        found = table["found"].combine_chunks()
+        at = pc.index_in(asked.field("key"), value_set=table["key"].combine_chunks())
+        held = pc.is_valid(at)
+        hits = asked.filter(held)
+        values = [hits.field("i"), hits.field("n"), hits.field("key"), found.take(at.filter(held))]
+        ends = np.cumsum(np.bincount(parents[np.asarray(held)], minlength=len(rows)))
+        offsets = pa.array(np.concatenate([[0], ends]).astype("int32"))
+        hits = pa.StructArray.from_arrays(values, ["i", "n", "key", "found"])
+        listed = pa.ListArray.from_arrays(offsets, hits, type=pa.list_(pa.field("element", hits.type)))
+        return rows.select(columns).append_column(output, listed)
+
+    return look_up
 
 
 def _aligned(keys: Column, hits: Column) -> Column:
