@@ -81,8 +81,9 @@ def kafka_topic(brokers: str, topic: str, starting_offsets: str = "latest") -> C
 
 
 def message_folder(path: str, format: str = "text", since: datetime | None = None, **read_options: str) -> Channel:
-    """A folder of message files, from the beginning or from a time on; `maxFilesPerTrigger` bounds what a batch takes."""
-    return Channel(format, {"recursiveFileLookup": "true", **read_options}, path=path, since=since)
+    """A folder of compressed message files, from the beginning or from a time on; `maxFilesPerTrigger` bounds what a batch
+    takes."""
+    return Channel(format, {"recursiveFileLookup": "true", **read_options}, {"compression": "gzip"}, path, since)
 
 
 def topics(options: Options) -> dict[str, Channel]:
