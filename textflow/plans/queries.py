@@ -39,6 +39,8 @@ QUERIES: dict[str, Query] = {}
 ONCE = {"availableNow": True}
 # Documents that a word of a fitted vocabulary is in; words of a vocabulary, which a model holds as a whole.
 LEAST_DOCUMENTS, MOST_WORDS = 5, 1 << 22
+# Files of a part of messages, at least.
+LEAST_FILES = 20
 # The way for tables of any size.
 LARGE = {"way": "join"}
 
@@ -774,7 +776,9 @@ def stream_merge_batches(spark: SparkSession, folder: str) -> DataFrame:
     store = DocumentStore(spark, f"{place}/store").create()
     held = documents(spark, folder).withColumn("type", F.lit(None).cast("string"))
     store.add_documents(held, "id", 0)
-    enriched = message_folder(f"{place}/enriched", maxFilesPerTrigger="3")
+    # Files and their number in a batch grow with the session's tasks, so that no task's share grows with the input alone.
+    files = max(LEAST_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    enriched = message_folder(f"{place}/enriched", maxFilesPerTrigger=str(files * 3 // 5))
 
     def send(part: str, *answers: DataFrame) -> None:
         """Each document's answers into one file, one after the other."""
@@ -782,7 +786,7 @@ def stream_merge_batches(spark: SparkSession, folder: str) -> DataFrame:
         together = rows[0]
         for more in rows[1:]:
             together = together.unionByName(more)
-        in_order = together.repartition(5, "id").sortWithinPartitions("id", "turn")
+        in_order = together.repartition(files, "id").sortWithinPartitions("id", "turn")
         enriched.write_batch(envelope.prediction_messages(in_order), part)
         streams.start_merge(
             enriched.read_stream(spark), store, f"{place}/checkpoint", ONCE
