@@ -211,3 +211,23 @@ def test_wait_stops_all_legs_when_one_fails(spark, place):
     assert not going.isActive
     again = streams.start_dispatch(source.read_stream(spark), target, f"{place}/c1", ONCE)
     assert streams.wait(again) is True and values(target, spark) == ['{"id":"1","text":"a"}']
+
+
+def _documents(spark, folder: str, files: int) -> str:
+    rows = spark.range(60).selectExpr("id doc_id", "concat('word ', id, ' and more') text", "'en' lang", "'s' source", "20L n_chars")
+    rows.repartition(files).write.parquet(f"{folder}/documents.parquet")
+    rows.selectExpr("doc_id", "1 quality", "0 toxic").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_messages_of_many_tasks_come_in_many_files(spark, tmp_path, monkeypatch):
+    """Neither leg's messages go through one task, nor through a fixed number of tasks."""
+    from textflow.plans import queries
+
+    folder = _documents(spark, f"{tmp_path}/tables", 4)
+    for name, part, least in (("stream_two_legs", "part=1", 2), ("stream_merge_batches", "part=1", 10)):
+        monkeypatch.setattr(queries, "work_folder", lambda _, purpose, name=name: f"{tmp_path}/{name}")
+        assert queries.QUERIES[name](spark, folder).count() == 60
+        files = list((tmp_path / name / "enriched" / part).glob("part-*"))
+        assert len(files) >= least
+        assert all(file.name.endswith(".gz") for file in files)

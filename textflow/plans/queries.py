@@ -895,11 +895,10 @@ def stream_two_legs(spark: SparkSession, folder: str) -> DataFrame:
     place = work_folder(spark, "legs")
     store = FailsBetweenWrites(spark, f"{place}/store").create()
     store.add_documents(_untyped(labelled(spark, folder)), "id", 0)
-    enriched = message_folder(f"{place}/enriched", maxFilesPerTrigger="1")
+    enriched = message_folder(f"{place}/enriched")
     rows = documents(spark, folder)
     malformed = rows.limit(3).select(F.lit("{").alias("value"))
-    enriched.write_batch(malformed.coalesce(1), "part=0")
-    enriched.write_batch(envelope.prediction_messages(TotalWords("Words").predictions(rows)).coalesce(1), "part=1")
+    enriched.write_batch(malformed, "part=0")
     to_enrich = message_folder(f"{place}/messages")
 
     def start(store: DocumentStore):
@@ -912,6 +911,8 @@ def stream_two_legs(spark: SparkSession, folder: str) -> DataFrame:
         streams.wait(*start(store))
     except StreamingQueryException:
         failures = 1
+    # The batch of malformed messages failed and is delivered again; the next one has as many files as there are tasks.
+    enriched.write_batch(envelope.prediction_messages(TotalWords("Words").predictions(rows)), "part=1")
     store = DocumentStore(spark, store.path)
     streams.wait(*start(store))
     sent = envelope.requests_from(to_enrich.read_batch(spark))
