@@ -44,3 +44,16 @@ def test_classifier_gives_an_answer_for_each_document(spark):
     answers = QUERIES["fitted_model_quality"](spark, FOLDER)
     assert answers.count() == 200
     assert {row.prediction for row in answers.select("prediction").distinct().collect()} <= {"0.0", "1.0"}
+
+
+def test_typed_tags_moves_texts_and_parses_their_tags_once(spark, tmp_path):
+    """Ids that come twice, are null or have no text; the tags, many times their texts, stay in the task that makes them."""
+    given = [(1, "In a a"), (1, "in"), (2, None), (None, "in"), (3, "")]
+    spark.createDataFrame(given, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["typed_tags"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert plan.count("from_json") == 1 and not any("type#" in line for line in moved)
+    # Both rows of the id have its last predictions, which are those of the greater text: each type for itself.
+    rows = sorted((r.id, r.words, r.key, r.text) for r in found.collect())
+    assert rows == 2 * [("1", 1, "key1", "in")] or len(rows) == 6 and {r[2:] for r in rows} == {("key1", "In"), ("key2", "a"), ("key3", "a")}

@@ -180,3 +180,23 @@ def test_body_without_outer_field(spark):
     given = spark.createDataFrame([("A", "x")], "type string, p string")
     body = given.select(merge.update_body(F.col("type"), F.col("p"), under=None).alias("b")).first().b
     assert json.loads(body) == {"A": "x"}
+
+
+def test_a_prediction_is_moved_once(spark):
+    """The payload of an update is in the rows that are reduced a single time, and rows of equal order have one winner."""
+    given = spark.createDataFrame([("a", "T", "x", 1), ("a", "T", "y", 1), ("a", "T", None, 1)], "id string, type string, prediction string, seq int")
+    last = merge.latest(given, F.col("seq"), "seq")
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan
+    assert rows(last, "id", "type", "prediction", "seq", "updates") == [("a", "T", "y", 1, 3)]
+
+
+def test_stored_maps_and_lists_are_made_rows_from_one_computing(spark):
+    given = spark.createDataFrame([("a", '{"k":"v"}', '["x",null]'), ("b", None, "[]"), (None, "{}", None)], "id string, m string, l string")
+    typed = given.select("id", F.from_json("m", "map<string,string>").alias("m"), F.from_json("l", "array<string>").alias("l"))
+    found = views.exploded(typed.select("id", "m"), "m", "key", "value")
+    assert rows(found, "id", "key", "value") == [("a", "k", "v")]
+    places = views.exploded(typed.select("id", "l"), "l", "place", "value")
+    assert rows(places.fillna("-"), "id", "place", "value") == [("a", 0, "x"), ("a", 1, "-")]
+    for frame in (found, places):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1

@@ -22,6 +22,12 @@ FILTER_BITS = 21
 CHUNK_CHARS = 4 << 20
 
 
+def chunks_of(requests: DataFrame) -> int:
+    """Into how many chunks the texts are dealt: of about `CHUNK_CHARS` characters, and enough to keep all tasks busy."""
+    chars = requests.agg(F.sum(F.length("text")).alias("chars")).first()["chars"] or 0
+    return max(int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // CHUNK_CHARS + 1)
+
+
 class KeyFilter:
     """A Bloom filter of fixed size over a column `key`, made by Spark and held in the plan.
 
@@ -152,9 +158,7 @@ class LookupTable:
         into chunks by the hash of text and id, so both must be the same whenever they are computed; ids may repeat or
         be null.
         """
-        chars = requests.agg(F.sum(F.length("text")).alias("chars")).first()["chars"] or 0
-        # Enough chunks to keep all tasks busy.
-        chunks = max(int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions")), chars // CHUNK_CHARS + 1)
+        chunks = chunks_of(requests)
         by = [c for c in ("text", "id") if c in requests.columns]
         chunk = F.pmod(F.xxhash64(*by), F.lit(chunks)).cast("int")
         dealt = requests.withColumn("__chunk", chunk).repartition("__chunk")

@@ -16,7 +16,8 @@ def latest(predictions: DataFrame, order: Column, *keep: str) -> DataFrame:
 
     Repeated updates are reduced within each task before the shuffle.
     """
-    last = F.max_by(F.struct("prediction", *keep), F.struct(order, "prediction"))
+    # One struct, so that each prediction is moved once and not as value and as order.
+    last = F.max(F.struct(order.alias("order"), F.struct("prediction", *keep).alias("last")))["last"]
     number = F.sum("updates") if "updates" in predictions.columns else F.count("*")
     grouped = predictions.groupBy("id", "type").agg(last.alias("last"), number.alias("updates"))
     return grouped.select("id", "type", "last.*", "updates")

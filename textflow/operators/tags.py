@@ -33,7 +33,9 @@ class TokenTags(Enricher):
         """Requests with `tags`, a list of structs `key, text, pos, tag`."""
         tokens = X.class_tokens(F.col("text"))
         if self.row_local:
-            tags = F.transform(tokens, lambda token, i: _tag(token, i, self.lexicon.find(token)))
+            # Bound: a tag looks twice into what was found.
+            tag = lambda token, i: X.bind(self.lexicon.find(token), lambda found: _tag(token, i, found))
+            tags = F.transform(tokens, tag)
             return requests.withColumn("tags", tags)
         placed = F.transform(
             tokens, lambda token, i: F.struct(i.alias("i"), F.lit(1).alias("n"), token.alias("key"))

@@ -57,6 +57,16 @@ def typed(stored: DataFrame, types: dict[str, T.DataType] = TYPED_PREDICTIONS) -
     return stored.select("*", *columns)
 
 
+def exploded(rows: DataFrame, column: str, key: str, value: str) -> DataFrame:
+    """One row per entry of a map or place of a list, in place of the column.
+
+    The outer form: for the inner one Spark would compute the column twice more, in a filter.
+    """
+    others = [c for c in rows.columns if c != column]
+    entries = F.explode_outer if isinstance(rows.schema[column].dataType, T.MapType) else F.posexplode_outer
+    return rows.select(*others, entries(column).alias(key, value)).filter(F.col(key).isNotNull())
+
+
 def forms(enrichers: Sequence[Enricher]) -> dict[str, T.DataType]:
     """The declared forms of the structured predictions of enrichers, by label, for `typed`."""
     return {e.label: e.form for e in enrichers if e.form is not None}

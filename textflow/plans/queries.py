@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from textflow.functions import envelope, ids
 from textflow.functions import text as X
+from textflow.functions.lookup import chunks_of
 from textflow.operators import compare, intake, merge, views
 from textflow.operators.enricher import ColumnEnricher, Enricher, RowEnricher, all_predictions, side_by_side
 from textflow.operators.entities import EntityLinks, EntityNames, LinkedEntities, annotated_passages
@@ -545,7 +546,7 @@ def typed_predictions(spark: SparkSession, folder: str) -> DataFrame:
     rows = documents(spark, folder)
     found = EntityNames(lookups.GAZETTEER.frame(spark)).predictions(rows)
     stored = views.with_predictions(rows, merge.latest(found, F.lit(0)))
-    names = views.typed(stored).select("id", F.posexplode("OpenNER").alias("place", "entity"))
+    names = views.exploded(views.typed(stored).select("id", "OpenNER"), "OpenNER", "place", "entity")
     return names.select("id", F.col("place").cast("bigint").alias("place"), "entity.name", "entity.label")
 
 
@@ -556,17 +557,24 @@ def typed_links(spark: SparkSession, folder: str) -> DataFrame:
     linker = EntityLinks(lookups.ENTITIES.frame(spark))
     stored = views.with_predictions(rows, merge.latest(linker.predictions(rows), F.lit(0)))
     typed = views.typed(stored, views.forms([linker]))
-    return typed.select(F.col("id").alias("passage_id"), F.inline(linker.label))
+    links = views.exploded(typed.select(F.col("id").alias("passage_id"), linker.label), linker.label, "place", "link")
+    return links.select("passage_id", "link.*")
 
 
 @query
 def typed_tags(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored tags and word counts in their declared forms: one row per tagged token."""
+    """Stored tags in their declared form, one row per tagged token, next to the number of stored word counts."""
     rows = documents(spark, folder)
     enrichers = [TokenTags(lookups.TAGS.frame(spark)), WordCount(stop_words=())]
-    stored = views.with_predictions(rows, merge.latest(all_predictions(rows, enrichers), F.lit(0)))
-    typed = views.typed(stored, views.forms(enrichers))
-    found = typed.select("id", F.size("WordCount").cast("bigint").alias("words"), F.explode("Tags").alias("key", "token"))
+    # The tags of a text are many times its size, so texts are what is moved, and their tags stay where they are made.
+    together = rows.repartition(chunks_of(rows), "id")
+    last = merge.latest(all_predictions(together, enrichers), F.lit(0))
+    stored = views.documents_with(views.with_predictions(rows, last), "Tags")
+    typed = views.typed(stored, views.forms(enrichers[:1]))
+    # Counted as they are stored, and before tags become rows: after that each row would carry its text's word counts.
+    words = F.json_array_length(F.element_at("predictions", "WordCount")).cast("bigint")
+    counted = typed.select("id", words.alias("words"), "Tags")
+    found = views.exploded(counted, "Tags", "key", "token")
     return found.select("id", "words", "key", "token.*")
 
 
@@ -743,10 +751,9 @@ def stream_tag_view(spark: SparkSession, folder: str) -> DataFrame:
     tagger = TokenTags(lookups.TAGS.frame(spark))
     streams.wait(streams.start_tag_view(texts, tagger, f"{place}/checkpoint", ONCE, view))
     shown = envelope.parse(view.read_batch(spark), T.StructType().add("text", "string").add("prediction", "string"))
-    tagged = shown.select(
-        F.sha2("text", 256).alias("text_id"), F.explode(F.from_json("prediction", TAGGED_TOKENS)).alias("key", "token")
-    )
-    return tagged.select("text_id", "key", "token.*")
+    # Before tags become rows: after that the id would be made of the text once for each token.
+    tagged = shown.select(F.sha2("text", 256).alias("text_id"), F.from_json("prediction", TAGGED_TOKENS).alias("tags"))
+    return views.exploded(tagged, "tags", "key", "token").select("text_id", "key", "token.*")
 
 
 @query
