@@ -200,3 +200,19 @@ def test_stored_maps_and_lists_are_made_rows_from_one_computing(spark):
     assert rows(places.fillna("-"), "id", "place", "value") == [("a", 0, "x"), ("a", 1, "-")]
     for frame in (found, places):
         assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_texts_that_are_stored_do_not_move(spark, store, monkeypatch):
+    """A batch with few new ids and long stored texts, some ids twice, some null: the same rows in either way."""
+    moved = []
+    first_of_each_id = intake.first_of_each_id
+    monkeypatch.setattr(intake, "first_of_each_id", lambda rows, order: moved.append(rows.count()) or first_of_each_id(rows, order))
+    old = [("a", f"old {i}", i) for i in range(20)]
+    store.add_documents(calls(spark, *old), "at", 0)
+    batch = calls(spark, *old, ("b", "new", 31), ("a", "new", 30), ("a", None, 33))
+    assert rows(store.add_documents(batch, "at", 1), "text", "type") == [("new", "a")]
+    assert moved == [20, 2]
+    monkeypatch.setattr("textflow.operators.store.SENT_IDS", 0)
+    more = calls(spark, *old, ("b", "newer", 41), ("a", "newer", 40))
+    assert rows(store.add_documents(more, "at", 2), "text", "type") == [("newer", "a")]
+    assert store.documents().count() == 22

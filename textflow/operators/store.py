@@ -20,6 +20,8 @@ COMMIT_ORDER = ("run", "batch_id", "ts", "seq")
 COMPACTED_RUN = "!compacted"
 # Buckets by the hash of the id; a large store has some hundreds.
 BUCKETS = 8
+# New ids of a batch that are sent to all tasks, at most; with more of them texts move before stored ones are left out.
+SENT_IDS = 1 << 19
 # Parts of one level that become one part of the next.
 FAN = 4
 # Tables, and the log that names their parts: those of one log are committed together.
@@ -159,17 +161,24 @@ class DocumentStore:
 
     def add_documents(self, requests: DataFrame, order: str, batch_id: int) -> DataFrame:
         """Stores the first request of each new id and returns what was stored. Requests without id, such as
-        those of a null text, are left out: nothing could ever be merged into their documents."""
+        those of a null text, are left out: nothing could ever be merged into their documents.
+        Requests are read twice, first for their ids."""
         state = self.state("documents")
         if state.has(self.run, batch_id):
             return self.documents().filter((F.col("run") == self.run) & (F.col("batch_id") == batch_id))
-        firsts = intake.first_of_each_id(requests.filter("id is not null"), order)
-        firsts = self._placed(firsts).persist()
-        new = intake.only_new(firsts, self._known(firsts, state))
-        part = self._write(self._committed(new, batch_id), "documents")
+        requests = requests.filter("id is not null")
+        asked = self._placed(requests.select("id").distinct()).persist()
+        new = intake.only_new(asked, self._known(asked, state)).select("id").persist()
+        if new.count() <= SENT_IDS:
+            # Texts that are stored already are left out before any text moves.
+            firsts = intake.first_of_each_id(requests.join(F.broadcast(new), "id", "left_semi"), order)
+        else:
+            firsts = intake.first_of_each_id(requests, order).join(new, "id", "left_semi")
+        part = self._write(self._committed(firsts, batch_id), "documents")
         state = state.after_batch(self.run, batch_id, [part])
         self.logs["documents"].commit(state, self.path)
-        firsts.unpersist()
+        new.unpersist()
+        asked.unpersist()
         self.settle("documents", state)
         # What was merged meanwhile stays for some versions.
         return self._read("documents", parts=[part])

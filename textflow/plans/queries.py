@@ -846,10 +846,12 @@ def store_levels(spark: SparkSession, folder: str) -> DataFrame:
     digit = F.col("id").cast("long") % 10
     for k in range(10):
         store.add_documents(_untyped(rows.filter(digit <= k)), "id", k)
-    words = TotalWords("Words").predictions(rows)
+    # Without the texts, so that these are read and counted once for all batches.
+    words = TotalWords("Words").predictions(rows).drop("text").persist()
     for k in range(10):
         numbered = words.withColumn("prediction", F.concat_ws(":", F.lit(k), "prediction"))
         store.add_predictions(_arrived(numbered.filter(digit >= k)), k)
+    words.unpersist()
     return store.latest().join(store.documents().select("id", "text"), "id")
 
 
