@@ -4,6 +4,7 @@ import json
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.ml import Pipeline
@@ -293,3 +294,68 @@ def test_a_key_is_moved_once_for_each_chunk(spark, monkeypatch):
     found = lookup.LookupTable(table, "word", ["v"], way="join").join(rows, placed, "hits").collect()
     assert len(found) == texts and all([f"k{h.found[0].v}" for h in row.hits] == row.text.split(" ") for row in found)
     assert moved[0].count() <= int(spark.conf.get("spark.sql.shuffle.partitions")) * keys
+
+
+ODD_TEXTS = [
+    "", " ", None, "a1b2  c\x0bd\x1ce", "日本語テスト、123４５６ Ⅻ ½ 𝒳𝟘 😀😀áb", "\x00\x01\"\\/\x7f \x85", "don't “q” – ñ",
+    "".join(map(chr, range(0x3000))), "".join(chr(i) + " " for i in range(0xE000, 0x30000, 5)),
+]
+
+
+def test_arrays_are_cut_as_spark_cuts_texts(spark, monkeypatch):
+    from textflow.functions import arrays, text
+
+    rows = spark.createDataFrame([(t,) for t in ODD_TEXTS + texts(7)], "text string")
+    expected = [r.tokens for r in rows.select("text", text.class_tokens(F.col("text")).alias("tokens")).collect()]
+    given = pa.array([r.text for r in rows.collect()], pa.string())
+    cutter = arrays.Cutter(arrays.char_kinds(spark))
+    monkeypatch.setattr(arrays, "SLICE_BYTES", 200)
+    found = []
+    for part in arrays.slices(given):
+        cut = cutter(part)
+        words = cut.words.to_pylist()
+        found += [[words[c] for c in cut.codes[a:b]] for a, b in zip(cut.before[:-1], cut.before[1:])]
+    assert found == [tokens or [] for tokens in expected]
+    assert cutter.spelled(given).to_pylist() == [" ".join(tokens or []) for tokens in expected]
+
+
+def test_bytes_that_are_no_text_are_cut_as_signs(spark):
+    from textflow.functions import arrays
+
+    broken = pa.array([b"a\xffb", b"c d"]).view(pa.string())
+    assert arrays.Cutter(arrays.char_kinds(spark)).spelled(broken).to_pylist() == ["a � b", "c d"]
+
+
+def test_names_with_odd_signs_and_several_labels_are_the_same_both_ways(spark, monkeypatch):
+    from textflow.functions import arrays
+
+    monkeypatch.setattr(arrays, "SLICE_BYTES", 60)
+    phrases = [("a \"b", "x"), ("\\", "y\"z\\\n"), ("\x1b\x08", None), ("Times", "b\"c"), ("Times", "b#c"), ("Times", None), ("  Times ", "a"), ("é1", "é\t"), (None, "n"), (" ", "n")]
+    phrases += [(p, "B") for p in PHRASES + ["York City of the New"]]
+    gazetteer = spark.createDataFrame(phrases * 2, "phrase string, label string")
+    given = [*texts(5), *ODD_TEXTS[:7], "a \"b \\ \x1b\x08 Times", "New York City of the New York"]
+    frame = spark.createDataFrame([(str(i % 9) if i % 4 else None, t) for i, t in enumerate(given * 2)], "id string, text string")
+    for wrapper in (None, "Na\"mes\x1f"):
+        inline, joined = (
+            sorted((str(r.id), str(r.text), str(r.prediction)) for r in EntityNames(gazetteer, wrapper=wrapper, **limits).predictions(frame).collect())
+            for limits in ({}, {"way": "join"})
+        )
+        assert inline == joined and len(joined) == 2 * len(given)
+
+
+def test_joined_names_read_the_gazetteer_once_and_make_no_row_for_a_run(spark, requests):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    given = spark.createDataFrame([(f"name of {i}", "x") for i in range(50)], "phrase string, label string")
+    named = EntityNames(given.mapInArrow(counted, given.schema), way="join")
+    frame = requests(*[(str(t), " ".join(f"name of {(t + j) % 60}" for j in range(30))) for t in range(20)])
+    rows = named.predictions(frame)
+    assert "Generate" not in plan(rows)
+    found = {r.id: [e["name"] for e in json.loads(r.prediction)] for r in rows.collect()}
+    assert found == {str(t): [f"name of {(t + j) % 60}" for j in range(30) if (t + j) % 60 < 50] for t in range(20)}
+    assert read.value == 50

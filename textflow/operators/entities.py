@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from textflow.functions import text as X
 from textflow.functions.envelope import from_passages, to_passages
+from textflow.functions.arrays import escaped
 from textflow.functions.lookup import KeyFilter, LookupTable
 from textflow.operators.enricher import Enricher
+from textflow.operators.phrases import PhraseLists
 from textflow.schemas import ANNOTATION, ANNOTATIONS, NAMED_ENTITIES
 
 LINK_VALUES = ["entity_id", "entity_name", "entity_type", "rho", "confidence"]
@@ -140,6 +142,7 @@ class EntityNames(Enricher):
         self.wrapper = wrapper
         self.form = NAMED_ENTITIES if wrapper is None else T.StructType().add(wrapper, NAMED_ENTITIES)
         self.table = PhraseTable(gazetteer, ["label"], **limits)
+        self.lists = PhraseLists(gazetteer)
 
     @property
     def row_local(self) -> bool:
@@ -157,11 +160,20 @@ class EntityNames(Enricher):
         )
 
     def enrich(self, requests: DataFrame) -> DataFrame:
+        if not self.row_local:
+            return self._enrich_by_chunk(requests)
         listed = F.col("names")
         if self.wrapper:
             listed = F.when(listed.isNotNull(), F.struct(listed.alias(self.wrapper)))
         return self.named(requests).withColumn("prediction", F.to_json(listed)).drop("names")
 
+    def _enrich_by_chunk(self, requests: DataFrame) -> DataFrame:
+        """As `enrich`; the lists come as JSON, so that no list of structs is made for each text."""
+        listed = F.col("__listed")
+        if self.wrapper:
+            listed = F.concat(F.lit(f'{{"{escaped(self.wrapper)}":'), listed, F.lit("}"))
+        return self.lists.listed(requests, "__listed").withColumn("prediction", listed).drop("__listed")
+
 
 def collect_annotations(annotations: DataFrame) -> DataFrame:
     """All annotations of a passage as one list: `passage_id, prediction`."""

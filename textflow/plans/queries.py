@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+import numpy as np
 from pyspark.errors import StreamingQueryException
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textflow.functions import envelope, ids
+from textflow.functions import arrays, envelope, ids
 from textflow.functions import text as X
 from textflow.functions.lookup import chunks_of
 from textflow.operators import compare, intake, merge, views
@@ -364,12 +365,14 @@ def token_tags_document_lexicon(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def entity_names_document_gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     """Every fifth token of a document, with the one behind it, is a name."""
-    tokens = X.class_tokens(F.col("text"))
-    every = F.filter(F.transform(tokens, lambda _, i: i), lambda i: i % 5 == 4)
-    pair = lambda i: F.concat_ws(" ", F.get(F.col("tokens"), i), F.get(F.col("tokens"), i + 1))
-    listed = documents(spark, folder).select(tokens.alias("tokens"), every.alias("places"))
-    whole = F.filter("places", lambda i: i < F.size("tokens") - 1)
-    gazetteer = listed.select(F.explode(F.transform(whole, pair)).alias("phrase")).distinct()
+
+    def every_fifth(cut: arrays.Cut) -> np.ndarray:
+        places = np.arange(len(cut.codes))
+        inside = places - np.repeat(cut.before[:-1], np.diff(cut.before))
+        return places[(inside % 5 == 4) & (places + 1 < cut.ends)]
+
+    pairs = arrays.distinct_runs(arrays.char_kinds(spark), 2, every_fifth, "phrase")
+    gazetteer = documents(spark, folder).select("text").mapInArrow(pairs, "phrase string").distinct()
     named = EntityNames(gazetteer.withColumn("label", F.lit("pair")), **LARGE)
     return named.predictions(documents(spark, folder))
 
